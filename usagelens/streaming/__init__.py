@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+Every source of the original jobs is bounded (relational tables, document
+collections, one text file) and none of them uses windows, watermarks,
+triggers or state.  The products are therefore batch DataFrame jobs; no
+streaming operator is provided because none exists to match.
+"""
