@@ -1,0 +1,56 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+from usagelens import schemas  # noqa: E402
+from usagelens.session import build_session  # noqa: E402
+from usagelens.sources.inputs import UsageInputs  # noqa: E402
+
+SF0001 = "/root/testdata/sf0.001"
+SF001 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    scratch = tempfile.mkdtemp(prefix="usagelens-tests-")
+    session = build_session("local[*]", 8, "usagelens-tests", extra={
+        "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
+        "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
+    })
+    yield session
+    session.stop()
+
+
+@pytest.fixture()
+def scratch_dir():
+    return tempfile.mkdtemp(prefix="usagelens-test-")
+
+
+def make_inputs(spark, voice=(), sms=(), volume=(), subscriber=(), plans=(), locations=()):
+    """UsageInputs from Python rows.
+
+    voice: (sub, duration, location) / sms: (sub, network, location) /
+    volume: (sub, up, down, plan_id, seq) / subscriber: lines /
+    plans: (id, name) / locations: (code, country)
+    """
+    def df(rows, schema):
+        return spark.createDataFrame(list(rows), schema)
+    return UsageInputs(
+        voice_call_record=df(voice, schemas.VOICE_CALL_RECORD),
+        sms_record=df(sms, schemas.SMS_RECORD),
+        mobile_data_activity=df(volume, schemas.MOBILE_DATA_ACTIVITY),
+        subscriber=df([(line,) for line in subscriber], schemas.SUBSCRIBER_LINES),
+        rate_plan_product=df(plans, schemas.RATE_PLAN_PRODUCT),
+        location=df(locations, schemas.LOCATION),
+    )
+
+
+def rows(df, *cols):
+    out = df.select(*cols) if cols else df
+    return sorted((tuple(r) for r in out.collect()), key=lambda t: tuple(
+        (x is None, str(x)) for x in t))

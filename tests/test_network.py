@@ -1,0 +1,55 @@
+"""P3 network activity: country labels, null codes, modes, fill."""
+
+import pytest
+from pyspark.errors import PySparkException
+
+from conftest import make_inputs, rows
+from usagelens.functions.cleaning import LENIENT
+from usagelens.operators.counting import KEYS, RECORDS
+from usagelens.plans import network
+from usagelens.schemas import NETWORK_COLUMNS
+
+
+def test_unknown_code_gets_code_country_label(spark):
+    inp = make_inputs(spark, sms=[("1", "n", "Q"), ("2", "n", "L1")], locations=[("L1", "EU")])
+    assert rows(network.country_counts(inp, network.SMS)) == [("EU", 1), ("Q country", 1)]
+
+
+def test_null_code_strict_fails_lenient_rejects(spark):
+    inp = make_inputs(spark, sms=[("1", "n", None), ("2", "n", "L1")], locations=[("L1", "EU")])
+    with pytest.raises(PySparkException):
+        network.country_counts(inp, network.SMS).collect()
+    assert rows(network.country_counts(inp, network.SMS, mode=LENIENT)) == [("EU", 1)]
+    assert rows(network.location_rejects(inp), "series", "subscription_id") == [("sms", "1")]
+
+
+def test_keys_vs_records_and_duplicate_catalogue_codes(spark):
+    sms = [("1", "n", "L1"), ("2", "n", "L1"), ("3", "n", "L2"), ("4", "n", "L3")]
+    locs = [("L1", "EU"), ("L2", "EU"), ("L3", "AS"), ("L3", "ZZ")]
+    inp = make_inputs(spark, sms=sms, locations=locs)
+    assert rows(network.country_counts(inp, network.SMS, KEYS)) == [("AS", 1), ("EU", 2)]
+    assert rows(network.country_counts(inp, network.SMS, RECORDS)) == [("AS", 1), ("EU", 3)]
+
+
+def test_voice_series_reads_voice_calls(spark):
+    inp = make_inputs(spark, voice=[("1", 5, "L1"), ("1", 6, "L2")], locations=[("L1", "EU")])
+    assert rows(network.country_counts(inp, network.VOICE)) == [("EU", 1), ("L2 country", 1)]
+    assert network.country_counts(inp, network.SMS).count() == 0
+
+
+def test_product_fills_not_known_and_ranks(spark):
+    sms = [(str(i), "n", f"L{i % 3}") for i in range(9)] + [("x", "n", "L0")]
+    voice = [("1", 1, "L0")]
+    locs = [("L0", "A"), ("L1", "B"), ("L2", "C")]
+    inp = make_inputs(spark, sms=sms, voice=voice, locations=locs)
+    out = network.network_activity(inp, RECORDS).orderBy("rank").collect()
+    assert [r["rank"] for r in out] == [1, 2, 3]
+    sms_top, sms_least, voice_top, voice_least = NETWORK_COLUMNS
+    assert [r[sms_top] for r in out] == ["A", "B", "C"]
+    assert [r[sms_least] for r in out] == ["B", "C", "A"]
+    assert [r[voice_top] for r in out] == ["A", "Not known", "Not known"]
+    assert [r[voice_least] for r in out] == ["A", "Not known", "Not known"]
+
+
+def test_empty_gives_no_rows(spark):
+    assert network.network_activity(make_inputs(spark)).count() == 0

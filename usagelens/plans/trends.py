@@ -90,11 +90,14 @@ def subscriber_plan(inputs: UsageInputs, mode: str = STRICT,
     """(age_band, rate_plan_product_id, subscription_id) for subscribers
     that have both an age and a usage record (inner join); a subscriber
     appears once per band even if the file repeats them."""
-    bands = subscriber_age_bands(inputs, mode, truncate_ids).select(
-        "subscription_id", "age_band").distinct()
+    # Grouping by subscriber alone (the band set holds at most 4 values)
+    # leaves both join sides hash-partitioned on subscription_id, so the
+    # sort-merge join at scale needs no further shuffle of either side.
+    bands = (subscriber_age_bands(inputs, mode, truncate_ids)
+             .groupBy("subscription_id").agg(F.collect_set("age_band").alias("age_bands")))
     first = first_plan_per_subscriber(inputs, truncate_ids)
-    return bands.join(first, "subscription_id", "inner").select(
-        "age_band", PLAN_ID, "subscription_id")
+    return (bands.join(first, "subscription_id", "inner")
+            .select(F.explode("age_bands").alias("age_band"), PLAN_ID, "subscription_id"))
 
 
 def subscriber_plan_or_zero(inputs: UsageInputs, mode: str = STRICT,

@@ -14,8 +14,12 @@ from pyspark.sql.types import StructType
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Reorder/cast columns to the declared sink schema; a missing column
-    or an unsafe cast fails at analysis time, before any data moves."""
+    """Reorder/cast columns to the declared sink schema.  A missing column
+    fails here, before any data moves (``DataFrame.to`` alone would fill
+    a missing nullable column with nulls)."""
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns {missing} required by the sink schema are missing")
     return df.to(schema)
 
 
