@@ -135,3 +135,24 @@ def test_rank_count_invariants(spark):
 def test_empty_usage_gives_no_rows(spark):
     assert trends.rate_plan_trends(make_inputs(spark)).count() == 0
     assert trends.top_plans(make_inputs(spark)).count() == 0
+
+
+def test_first_by_packing_is_exact_at_the_boundaries(spark):
+    from usagelens.operators.counting import first_by
+    big, small = 2 ** 63 - 1, -(2 ** 63)
+    data = [("a", small, 5), ("a", big, 5),            # tie on order -> smaller value
+            ("b", big, 0), ("b", 1, 2 ** 62 - 1),       # earliest order wins
+            ("c", None, 3), ("c", 7, 3),                # null value sorts after a value
+            ("f", None, 3),                             # ... but is still a value
+            ("d", 4, None), ("d", 9, None),             # null order sorts last
+            ("e", 2, None)]
+    df = spark.createDataFrame(data, "k string, v long, o long")
+    got = dict(rows(first_by(df, "k", "v", "o")))
+    assert got == {"a": small, "b": big, "c": 7, "d": 4, "e": 2, "f": None}
+    # the generic (struct-ordered) path agrees on a non-integral value
+    sdf = df.selectExpr("k", "cast(v as string) AS v", "o")
+    assert dict(rows(first_by(sdf, "k", "v", "o"))) == {k: None if v is None else str(v)
+                                                          for k, v in got.items()}
+    with pytest.raises(PySparkException):
+        first_by(spark.createDataFrame([("x", 1, -1)], "k string, v long, o long"),
+                 "k", "v", "o").collect()

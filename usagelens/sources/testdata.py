@@ -24,8 +24,19 @@ from pyspark.sql import functions as F
 from usagelens.sources.inputs import UsageInputs
 
 
+# Per-session memo of table and input DataFrames (plans, not data): a
+# Parquet read infers its schema from file footers on the driver, which
+# costs more than planning a query over these small test tables.
+_TABLES: dict[tuple[SparkSession, str], DataFrame] = {}
+_INPUTS: dict[tuple[SparkSession, str], UsageInputs] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _location_code(nation_key) -> F.Column:
@@ -98,6 +109,13 @@ def location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_inputs(spark: SparkSession, sf_dir: str) -> UsageInputs:
+    key = (spark, sf_dir.rstrip("/"))
+    if key not in _INPUTS:
+        _INPUTS[key] = build_inputs(spark, sf_dir)
+    return _INPUTS[key]
+
+
+def build_inputs(spark: SparkSession, sf_dir: str) -> UsageInputs:
     return UsageInputs(
         voice_call_record=voice_call_record(spark, sf_dir),
         sms_record=sms_record(spark, sf_dir),
