@@ -94,7 +94,19 @@ location_keys AS (
 location_named AS (
   SELECT k.series, k.location_cd, k.n_records,
          coalesce(c.country, k.location_cd || ' country') AS country
-  FROM location_keys k LEFT JOIN location_catalogue c ON k.location_cd = c.location_cd)
+  FROM location_keys k LEFT JOIN location_catalogue c ON k.location_cd = c.location_cd),
+plan_sub_named AS (
+  SELECT k.series, k.subscription_id, coalesce(c.rate_plan_name, 'General Plan') AS plan_name
+  FROM (SELECT 'all' AS series, rate_plan_product_id, subscription_id FROM plan_usage
+        UNION ALL
+        SELECT age_band, rate_plan_product_id, subscription_id FROM sub_plan) k
+  LEFT JOIN plan_catalogue c ON k.rate_plan_product_id = c.rate_plan_product_id),
+location_sub_named AS (
+  SELECT k.series, k.subscription_id, coalesce(c.country, k.location_cd || ' country') AS country
+  FROM (SELECT 'sms' AS series, location_cd, subscription_id FROM sms_location
+        UNION ALL
+        SELECT 'voice', location_cd, subscription_id FROM voice_location) k
+  LEFT JOIN location_catalogue c ON k.location_cd = c.location_cd)
 """
 
 
@@ -102,8 +114,18 @@ def _with(body: str) -> str:
     return "WITH " + VIEWS.strip() + "\n" + body
 
 
+_N = {"keys": "count(*)", "records": "sum(n_records)",
+      "subscribers": "count(DISTINCT subscription_id)"}
+_SUB_NAMED = {"plan_named": "plan_sub_named", "location_named": "location_sub_named"}
+
+
+def _source(named: str, mode: str) -> str:
+    return _SUB_NAMED[named] if mode == "subscribers" else named
+
+
 def _counts(named: str, name: str, mode: str, extra_where: str = "") -> str:
-    n = "count(*)" if mode == "keys" else "sum(n_records)"
+    n = _N[mode]
+    named = _source(named, mode)
     return (f"SELECT series, {name}, CAST({n} AS BIGINT) AS n FROM {named} "
             f"{extra_where} GROUP BY series, {name}")
 
@@ -166,7 +188,8 @@ def network_activity(mode: str, columns: dict[str, str] = NETWORK_SERIES,
 
 def _single_series(named: str, name: str, series: str, mode: str, descending: bool,
                    k: int = 5, by_band: bool = False) -> str:
-    n = "count(*)" if mode == "keys" else "sum(n_records)"
+    n = _N[mode]
+    named = _source(named, mode)
     order = "DESC" if descending else "ASC"
     if by_band:
         return _with(f"""
@@ -265,23 +288,28 @@ FROM volumes GROUP BY 1"""),
         "rate_plan_trends_records": rate_plan_trends("records"),
         "network_activity": network_activity("keys"),
         "network_activity_records": network_activity("records"),
+        "rate_plan_trends_subscribers": rate_plan_trends("subscribers"),
+        "network_activity_subscribers": network_activity("subscribers"),
         # sinks (round trips return what they wrote)
         "sink_activity_roundtrip": ACTIVITY,
         "sink_trend_roundtrip": rate_plan_trends("keys"),
         "sink_network_roundtrip": network_activity("keys"),
         "sink_network_documents": network_activity("keys", NETWORK_DOCS, "Rank"),
     }
-    for mode, suffix in (("keys", ""), ("records", "_records")):
-        n = "count(*)" if mode == "keys" else "sum(n_records)"
+    for mode, suffix in (("keys", ""), ("records", "_records"), ("subscribers", "_subscribers")):
+        n = _N[mode]
+        plans, locations = _source("plan_named", mode), _source("location_named", mode)
         q["plan_usage_counts" + suffix] = _with(
-            f"SELECT plan_name, CAST({n} AS BIGINT) AS n FROM plan_named WHERE series = 'all' GROUP BY 1")
+            f"SELECT plan_name, CAST({n} AS BIGINT) AS n FROM {plans} WHERE series = 'all' GROUP BY 1")
         q["plan_by_age_counts" + suffix] = _with(
-            f"SELECT series AS age_band, plan_name, CAST({n} AS BIGINT) AS n FROM plan_named "
+            f"SELECT series AS age_band, plan_name, CAST({n} AS BIGINT) AS n FROM {plans} "
             f"WHERE series <> 'all' GROUP BY 1, 2")
         for series, key in (("sms", "sms_country_counts"), ("voice", "voice_country_counts")):
             q[key + suffix] = _with(
-                f"SELECT country, CAST({n} AS BIGINT) AS n FROM location_named "
+                f"SELECT country, CAST({n} AS BIGINT) AS n FROM {locations} "
                 f"WHERE series = '{series}' GROUP BY 1")
+        if mode == "subscribers":
+            continue
         for direction, desc in (("top5", True), ("least5", False)):
             q[f"{direction}_plans{suffix}"] = _single_series(
                 "plan_named", "plan_name", "all", mode, desc)

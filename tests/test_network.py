@@ -53,3 +53,10 @@ def test_product_fills_not_known_and_ranks(spark):
 
 def test_empty_gives_no_rows(spark):
     assert network.network_activity(make_inputs(spark)).count() == 0
+
+
+def test_subscribers_mode(spark):
+    from usagelens.operators.counting import SUBSCRIBERS
+    sms = [("1", "n", "L1"), ("1", "n", "L2"), ("1", "n", "L1"), ("2", "n", "L3")]
+    inp = make_inputs(spark, sms=sms, locations=[("L1", "EU"), ("L2", "EU"), ("L3", "AS")])
+    assert rows(network.country_counts(inp, network.SMS, SUBSCRIBERS)) == [("AS", 1), ("EU", 1)]

@@ -156,3 +156,14 @@ def test_first_by_packing_is_exact_at_the_boundaries(spark):
     with pytest.raises(PySparkException):
         first_by(spark.createDataFrame([("x", 1, -1)], "k string, v long, o long"),
                  "k", "v", "o").collect()
+
+
+def test_subscribers_mode_counts_distinct_subscribers_per_name(spark):
+    from usagelens.operators.counting import SUBSCRIBERS
+    # s1 uses plans 1 and 2 (both named X) twice each; s2 uses plan 2 once
+    usage = [("s1", "1", "1", 1, 1), ("s1", "1", "1", 1, 2), ("s1", "1", "1", 2, 3),
+             ("s2", "1", "1", 2, 4), ("s3", "1", "1", 9, 5)]
+    inp = make_inputs(spark, volume=usage, plans=[(1, "X"), (2, "X")])
+    assert rows(trends.plan_usage_counts(inp, SUBSCRIBERS)) == [("General Plan", 1), ("X", 2)]
+    assert rows(trends.plan_usage_counts(inp, KEYS)) == [("General Plan", 1), ("X", 2)]
+    assert rows(trends.plan_usage_counts(inp, RECORDS)) == [("General Plan", 1), ("X", 4)]

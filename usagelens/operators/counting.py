@@ -4,8 +4,10 @@ The original jobs emit exactly one (name, subscriber) pair per catalogue
 key after the lookup co-group, so their "count per name" is the number
 of *distinct keys* carrying that name.  Both readings are offered:
 
-* ``keys``    — distinct keys per name (the original's literal result)
-* ``records`` — records (usage rows, or subscribers in an age band) per name
+* ``keys``        — distinct keys per name (the original's literal result)
+* ``records``     — records (usage rows, or subscribers in an age band) per name
+* ``subscribers`` — distinct subscribers per name (what the original's
+  comments describe); null subscriber ids are not counted
 
 Both come from one pre-aggregation per key (``per_key_counts``), so the
 large fact table is shuffled once, as partial aggregates, whatever the
@@ -20,7 +22,15 @@ from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 KEYS = "keys"
 RECORDS = "records"
-COUNT_MODES = (KEYS, RECORDS)
+SUBSCRIBERS = "subscribers"
+COUNT_MODES = (KEYS, RECORDS, SUBSCRIBERS)
+SUBSCRIBER_COL = "subscription_id"
+
+
+def key_columns(group_cols: list[str], count_mode: str) -> list[str]:
+    """Pre-aggregation keys: ``subscribers`` mode also keeps the subscriber,
+    so distinct subscribers can be counted after the lookup."""
+    return list(group_cols) + ([SUBSCRIBER_COL] if count_mode == SUBSCRIBERS else [])
 
 
 def check_count_mode(mode: str) -> str:
@@ -36,10 +46,13 @@ def per_key_counts(df: DataFrame, group_cols: list[str]) -> DataFrame:
 
 def per_name_counts(per_key: DataFrame, group_cols: list[str], name_col: str,
                     count_mode: str) -> DataFrame:
-    """From one row per (group, key) with ``n_records`` and a resolved
-    ``name_col`` -> one row per (group, name) with column ``n``."""
+    """From one row per (group, key[, subscriber]) with ``n_records`` and a
+    resolved ``name_col`` -> one row per (group, name) with column ``n``."""
     check_count_mode(count_mode)
-    n = F.count(F.lit(1)) if count_mode == KEYS else F.sum("n_records")
+    if count_mode == SUBSCRIBERS:
+        n = F.count_distinct(F.col(SUBSCRIBER_COL))
+    else:
+        n = F.count(F.lit(1)) if count_mode == KEYS else F.sum("n_records")
     return per_key.groupBy(*group_cols, name_col).agg(n.cast("long").alias("n"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.cleaning import LENIENT, STRICT, check_mode
 from usagelens.functions.labels import country_label
-from usagelens.operators.counting import KEYS, per_key_counts, per_name_counts
+from usagelens.operators.counting import KEYS, key_columns, per_key_counts, per_name_counts
 from usagelens.operators.lookups import lookup
 from usagelens.operators.ranking import merge_ranks, top_and_least, top_k
 from usagelens.schemas import NETWORK_ACTIVITY, NETWORK_COLUMNS, NOT_KNOWN
@@ -62,7 +62,8 @@ def _name_locations(per_key: DataFrame, inputs: UsageInputs, mode: str) -> DataF
 def country_counts(inputs: UsageInputs, series: str, count_mode: str = KEYS,
                    mode: str = STRICT, truncate_ids: bool = True) -> DataFrame:
     """(country, n) for one series."""
-    per_key = per_key_counts(location_records(inputs, series, mode, truncate_ids), ["location_cd"])
+    per_key = per_key_counts(location_records(inputs, series, mode, truncate_ids),
+                             key_columns(["location_cd"], count_mode))
     return per_name_counts(_name_locations(per_key, inputs, mode), [], "country", count_mode)
 
 
@@ -86,9 +87,9 @@ def network_activity(inputs: UsageInputs, count_mode: str = KEYS, mode: str = ST
     check_mode(mode)
     per_key = None
     for series in SERIES_DATASETS:
+        keys = key_columns(["location_cd"], count_mode)
         part = per_key_counts(location_records(inputs, series, mode, truncate_ids, limit),
-                              ["location_cd"]).select(F.lit(series).alias("series"),
-                                                      "location_cd", "n_records")
+                              keys).select(F.lit(series).alias("series"), *keys, "n_records")
         per_key = part if per_key is None else per_key.unionByName(part)
     counts = per_name_counts(_name_locations(per_key, inputs, mode), ["series"], "country", count_mode)
     ranked = top_and_least(counts, k, "series", "country")

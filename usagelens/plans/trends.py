@@ -24,7 +24,9 @@ from usagelens.functions.cleaning import (
     subscriber_line_is_bad, truncate_id,
 )
 from usagelens.functions.labels import plan_label
-from usagelens.operators.counting import KEYS, first_by, per_key_counts, per_name_counts
+from usagelens.operators.counting import (
+    KEYS, first_by, key_columns, per_key_counts, per_name_counts,
+)
 from usagelens.operators.lookups import lookup
 from usagelens.operators.ranking import merge_ranks, top_and_least, top_k
 from usagelens.schemas import AGE_BANDS, GENERAL_PLAN, RATE_PLAN_TRENDS, TREND_COLUMNS
@@ -117,27 +119,29 @@ def _name_plans(per_key: DataFrame, inputs: UsageInputs) -> DataFrame:
 
 
 def _series_per_key(inputs: UsageInputs, mode: str, truncate_ids: bool,
-                    limit: int | None) -> DataFrame:
-    """(series, rate_plan_product_id, n_records) for the overall series
-    and the four bands."""
-    overall = per_key_counts(plan_usage(inputs, truncate_ids, limit), [PLAN_ID]) \
-        .select(F.lit(OVERALL).alias("series"), PLAN_ID, "n_records")
-    banded = per_key_counts(subscriber_plan(inputs, mode, truncate_ids), ["age_band", PLAN_ID]) \
-        .select(F.col("age_band").alias("series"), PLAN_ID, "n_records")
+                    limit: int | None, count_mode: str) -> DataFrame:
+    """(series, rate_plan_product_id[, subscription_id], n_records) for the
+    overall series and the four bands."""
+    keys = key_columns([PLAN_ID], count_mode)
+    overall = per_key_counts(plan_usage(inputs, truncate_ids, limit), keys) \
+        .select(F.lit(OVERALL).alias("series"), *keys, "n_records")
+    banded = per_key_counts(subscriber_plan(inputs, mode, truncate_ids), ["age_band"] + keys) \
+        .select(F.col("age_band").alias("series"), *keys, "n_records")
     return overall.unionByName(banded)
 
 
 def plan_usage_counts(inputs: UsageInputs, count_mode: str = KEYS,
                       truncate_ids: bool = True) -> DataFrame:
     """(plan_name, n) over all usage."""
-    per_key = per_key_counts(plan_usage(inputs, truncate_ids), [PLAN_ID])
+    per_key = per_key_counts(plan_usage(inputs, truncate_ids), key_columns([PLAN_ID], count_mode))
     return per_name_counts(_name_plans(per_key, inputs), [], PLAN_NAME, count_mode)
 
 
 def plan_by_age_counts(inputs: UsageInputs, count_mode: str = KEYS, mode: str = STRICT,
                        truncate_ids: bool = True) -> DataFrame:
     """(age_band, plan_name, n) from each subscriber's first plan."""
-    per_key = per_key_counts(subscriber_plan(inputs, mode, truncate_ids), ["age_band", PLAN_ID])
+    per_key = per_key_counts(subscriber_plan(inputs, mode, truncate_ids),
+                             key_columns(["age_band", PLAN_ID], count_mode))
     return per_name_counts(_name_plans(per_key, inputs), ["age_band"], PLAN_NAME, count_mode)
 
 
@@ -161,7 +165,7 @@ def rate_plan_trends(inputs: UsageInputs, count_mode: str = KEYS, mode: str = ST
     """One row per rank 1..k; a missing rank in a list reads
     ``General Plan`` (as in the original), or stays null with ``fill=None``."""
     check_mode(mode)
-    named = _name_plans(_series_per_key(inputs, mode, truncate_ids, limit), inputs)
+    named = _name_plans(_series_per_key(inputs, mode, truncate_ids, limit, count_mode), inputs)
     counts = per_name_counts(named, ["series"], PLAN_NAME, count_mode)
     ranked = top_and_least(counts, k, "series", PLAN_NAME)
     return merge_ranks(ranked, "series", PLAN_NAME, SERIES_COLUMNS, fill).to(RATE_PLAN_TRENDS)
