@@ -48,3 +48,22 @@ def test_ranked_products_use_window_group_limit_and_broadcast_lookup(inputs, pro
 def test_trend_overall_series_reads_only_plan_ids(inputs):
     plan = _plan(rate_plan_trends(inputs))
     assert "ReadSchema: struct<l_partkey:bigint>" in plan
+
+
+def _logical(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(extended=True)
+    return buf.getvalue().split("== Physical Plan ==")[0]
+
+
+def test_broadcast_hint_only_within_the_proven_bound(spark):
+    from conftest import make_inputs
+    from usagelens.operators.lookups import lookup
+    inp = make_inputs(spark, sms=[("1", "n", "L1")], locations=[(f"L{i}", "EU") for i in range(20)])
+    fact = inp.sms_record.select(inp.sms_record.called_location_cd.alias("location_cd"))
+    within = lookup(fact, inp.location, "location_cd", "country", max_broadcast_rows=20)
+    beyond = lookup(fact, inp.location, "location_cd", "country", max_broadcast_rows=19)
+    assert "strategy=broadcast" in _logical(within)
+    assert "strategy=broadcast" not in _logical(beyond)
+    assert [tuple(r) for r in beyond.collect()] == [("L1", "EU")]

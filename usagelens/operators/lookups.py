@@ -29,10 +29,25 @@ def dedupe_catalogue(catalogue: DataFrame, key: str, value: str) -> DataFrame:
             .groupBy(key).agg(F.min(value).alias(value)))
 
 
+# Results of the bound check per catalogue DataFrame object.  A DataFrame
+# is an immutable plan whose file listing is fixed when it is created, so
+# its row bound does not change while the object lives.
+_BOUNDS: dict[tuple[int, str, int], tuple[DataFrame, bool]] = {}
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def catalogue_is_small(catalogue: DataFrame, key: str, max_rows: int) -> bool:
+    memo_key = (id(catalogue), key, max_rows)
+    hit = _BOUNDS.get(memo_key)
+    if hit is None or hit[0] is not catalogue:
+        hit = (catalogue, has_at_most(catalogue.select(key), max_rows))
+        _BOUNDS[memo_key] = hit
+    return hit[1]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
                       bound_source: DataFrame | None = None) -> DataFrame:
     """``broadcast(df)`` if ``bound_source`` (default ``df``) has at most
@@ -48,5 +63,5 @@ def lookup(fact: DataFrame, catalogue: DataFrame, key: str, value: str,
     """``fact ⟕ dedupe(catalogue)`` on ``key``; adds column ``value``
     (null where the catalogue has no entry)."""
     deduped = dedupe_catalogue(catalogue.select(key, value), key, value)
-    side = bounded_broadcast(deduped, max_broadcast_rows, bound_source=catalogue.select(key))
-    return fact.join(side, key, "left")
+    small = catalogue_is_small(catalogue, key, max_broadcast_rows)
+    return fact.join(F.broadcast(deduped) if small else deduped, key, "left")
