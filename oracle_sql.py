@@ -290,6 +290,39 @@ FROM volumes GROUP BY 1"""),
         "network_activity_records": network_activity("records"),
         "rate_plan_trends_subscribers": rate_plan_trends("subscribers"),
         "network_activity_subscribers": network_activity("subscribers"),
+        # lenient mode: same results on clean data; rejects frames
+        "activity_snapshot_lenient": ACTIVITY,
+        "rate_plan_trends_lenient": rate_plan_trends("keys"),
+        "network_activity_lenient": network_activity("keys"),
+        "activity_rejects": _with("""
+, bad_volume AS (
+  SELECT subscription_id, uplink_volume, downlink_volume FROM mobile_data_activity
+  WHERE (uplink_volume IS NOT NULL AND trim(uplink_volume) <> ''
+         AND TRY_CAST(uplink_volume AS BIGINT) IS NULL)
+     OR (downlink_volume IS NOT NULL AND trim(downlink_volume) <> ''
+         AND TRY_CAST(downlink_volume AS BIGINT) IS NULL))
+, ids AS (SELECT subscription_id FROM voice_call_record
+          UNION ALL SELECT subscription_id FROM sms_record
+          UNION ALL SELECT subscription_id FROM mobile_data_activity)
+SELECT 'data_volume' AS source, subscription_id,
+       coalesce(uplink_volume, 'NULL') || '|' || coalesce(downlink_volume, 'NULL') AS value,
+       'volume is not an integer' AS reason
+FROM bad_volume
+UNION ALL
+SELECT DISTINCT 'snapshot', subscription_id, subscription_id, 'subscription_id is not an integer'
+FROM ids WHERE subscription_id IS NOT NULL AND TRY_CAST(subscription_id AS BIGINT) IS NULL"""),
+        "subscriber_rejects": _with("""
+SELECT value, 'line has no integer age in field 5' AS reason FROM subscriber
+WHERE value IS NULL OR len(string_split(value, ',')) < 6
+   OR TRY_CAST(split_part(value, ',', 6) AS INTEGER) IS NULL
+UNION ALL
+SELECT value, 'negative age' FROM subscriber
+WHERE len(string_split(value, ',')) >= 6 AND TRY_CAST(split_part(value, ',', 6) AS INTEGER) < 0"""),
+        "location_rejects": _with("""
+SELECT 'sms' AS series, subscription_id, 'null location code' AS reason
+FROM sms_location WHERE location_cd IS NULL
+UNION ALL
+SELECT 'voice', subscription_id, 'null location code' FROM voice_location WHERE location_cd IS NULL"""),
         # sinks (round trips return what they wrote)
         "sink_activity_roundtrip": ACTIVITY,
         "sink_trend_roundtrip": rate_plan_trends("keys"),
