@@ -127,3 +127,22 @@ def test_jdbc_options():
 
 def test_output_root_uses_checkpoint_dir(spark):
     assert output_root(spark).startswith(checkpoint_dir(spark))
+
+
+def test_materialised_inputs_and_command_line_job(spark, scratch_dir):
+    from usagelens.plans.run_all import main
+    from usagelens.plans import rate_plan_trends
+    from usagelens.sources.files import write_inputs
+    inp = load_inputs(spark, SF0001)
+    paths = write_inputs(inp, os.path.join(scratch_dir, "inputs"))
+    back = load_inputs_from_paths(spark, paths)
+    assert rows(activity_snapshot(back)) == rows(activity_snapshot(inp))
+    out = os.path.join(scratch_dir, "out")
+    main(["--voice", paths["voice_call_record"], "--sms", paths["sms_record"],
+          "--volume", paths["mobile_data_activity"], "--subscriber", paths["subscriber"],
+          "--rate-plans", paths["rate_plan_product"], "--locations", paths["location"],
+          "--out", out])
+    assert rows(read_table(spark, RATE_PLAN_TRENDS, path=os.path.join(out, "trends"))) == \
+        rows(rate_plan_trends(inp))
+    docs = read_documents(spark, os.path.join(out, "network_docs"))
+    assert rows(docs) == rows(to_documents(network_activity(inp)))

@@ -8,18 +8,32 @@ Outputs (all optional keys of ``outputs``):
 * ``network_docs``   — document collection for P3 (append, as the original)
 
 A value is a path, or ``{"table": name, "path": optional location}``.
+When both P3 outputs are requested, the documents are made from the
+written P3 table: the product is computed once and the document write
+starts from stored data, not from the whole lineage.
+
+Command line (the original job took its options the same way):
+
+    python -m usagelens.plans.run_all --voice P --sms P --volume P \\
+        --subscriber P --rate-plans P --locations P --out DIR [--lenient] [--count-mode M]
 """
 
 from __future__ import annotations
 
-from usagelens.functions.cleaning import STRICT
-from usagelens.operators.counting import KEYS
+import argparse
+import os
+
+from pyspark.sql import SparkSession
+
+from usagelens.functions.cleaning import LENIENT, STRICT
+from usagelens.operators.counting import COUNT_MODES, KEYS
 from usagelens.plans.activity import activity_snapshot
 from usagelens.plans.network import network_activity
 from usagelens.plans.trends import rate_plan_trends
 from usagelens.schemas import ACTIVITY_SNAPSHOT, NETWORK_ACTIVITY, RATE_PLAN_TRENDS
 from usagelens.sinks.documents import to_documents, write_documents
-from usagelens.sinks.warehouse import write_table
+from usagelens.sinks.warehouse import read_table, write_table
+from usagelens.sources.files import load_inputs_from_paths
 from usagelens.sources.inputs import UsageInputs
 
 
@@ -31,13 +45,40 @@ def run_all(inputs: UsageInputs, outputs: dict, mode: str = STRICT, count_mode:
             truncate_ids: bool = True, docs_mode: str = "append") -> None:
     if "activity" in outputs:
         write_table(activity_snapshot(inputs, mode), ACTIVITY_SNAPSHOT, **_target(outputs["activity"]))
-    network = None
     if "trends" in outputs:
         trends = rate_plan_trends(inputs, count_mode, mode, truncate_ids)
         write_table(trends, RATE_PLAN_TRENDS, num_files=1, **_target(outputs["trends"]))
     if "network" in outputs or "network_docs" in outputs:
         network = network_activity(inputs, count_mode, mode, truncate_ids)
-    if "network" in outputs:
-        write_table(network, NETWORK_ACTIVITY, num_files=1, **_target(outputs["network"]))
-    if "network_docs" in outputs:
-        write_documents(to_documents(network), outputs["network_docs"], mode=docs_mode)
+        if "network" in outputs:
+            target = _target(outputs["network"])
+            write_table(network, NETWORK_ACTIVITY, num_files=1, **target)
+            network = read_table(network.sparkSession, NETWORK_ACTIVITY, **target)
+        if "network_docs" in outputs:
+            write_documents(to_documents(network), outputs["network_docs"], mode=docs_mode)
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="Build and write the three usage products.")
+    for flag in ("voice", "sms", "volume", "subscriber", "rate-plans", "locations", "out"):
+        parser.add_argument(f"--{flag}", required=True)
+    parser.add_argument("--fact-format", default="parquet")
+    parser.add_argument("--lenient", action="store_true")
+    parser.add_argument("--count-mode", default=KEYS, choices=COUNT_MODES)
+    parser.add_argument("--docs-mode", default="append", choices=("append", "overwrite"))
+    args = parser.parse_args(argv)
+    spark = SparkSession.builder.appName("usagelens-run-all").getOrCreate()
+    inputs = load_inputs_from_paths(spark, {
+        "voice_call_record": args.voice, "sms_record": args.sms,
+        "mobile_data_activity": args.volume, "subscriber": args.subscriber,
+        "rate_plan_product": args.rate_plans, "location": args.locations,
+    }, fact_format=args.fact_format)
+    out = args.out.rstrip("/")
+    run_all(inputs, {name: os.path.join(out, name)
+                     for name in ("activity", "trends", "network", "network_docs")},
+            mode=LENIENT if args.lenient else STRICT, count_mode=args.count_mode,
+            docs_mode=args.docs_mode)
+
+
+if __name__ == "__main__":
+    main()

@@ -68,3 +68,25 @@ def load_inputs_from_paths(spark: SparkSession, paths: dict[str, str],
         rate_plan_product=read_document_collection(spark, "rate_plan_product", paths["rate_plan_product"]),
         location=read_document_collection(spark, "location", paths["location"]),
     )
+
+
+INPUT_FILES = {
+    "voice_call_record": "voice_call_record", "sms_record": "sms_record",
+    "mobile_data_activity": "mobile_data_activity", "subscriber": "subscriber",
+    "rate_plan_product": "rate_plan_product", "location": "location",
+}
+
+
+def write_inputs(inputs: UsageInputs, root: str, mode: str = "overwrite") -> dict[str, str]:
+    """Materialise the six inputs under ``root`` in the formats
+    ``load_inputs_from_paths`` reads (facts Parquet, catalogues JSON lines,
+    subscriber file text).  Reading them back cuts the lineage of derived
+    inputs; returns the path per input."""
+    root = root.rstrip("/")
+    paths = {name: f"{root}/{sub}" for name, sub in INPUT_FILES.items()}
+    for name in ("voice_call_record", "sms_record", "mobile_data_activity"):
+        getattr(inputs, name).write.mode(mode).parquet(paths[name])
+    for name in ("rate_plan_product", "location"):
+        getattr(inputs, name).write.mode(mode).json(paths[name])
+    inputs.subscriber.write.mode(mode).text(paths["subscriber"])
+    return paths
