@@ -167,3 +167,16 @@ def test_subscribers_mode_counts_distinct_subscribers_per_name(spark):
     assert rows(trends.plan_usage_counts(inp, SUBSCRIBERS)) == [("General Plan", 1), ("X", 2)]
     assert rows(trends.plan_usage_counts(inp, KEYS)) == [("General Plan", 1), ("X", 2)]
     assert rows(trends.plan_usage_counts(inp, RECORDS)) == [("General Plan", 1), ("X", 4)]
+
+
+def test_limit_applies_to_overall_and_band_series(spark):
+    # arrival 1..2 use plan 1 (subscribers a, b); later records use plan 2
+    usage = [("a", "1", "1", 1, 1), ("b", "1", "1", 1, 2), ("c", "1", "1", 2, 3),
+             ("a", "1", "1", 2, 4), ("d", "1", "1", 2, 5)]
+    subs = [_line(x, 40) for x in "abcd"]
+    inp = make_inputs(spark, volume=usage, subscriber=subs, plans=[(1, "P1"), (2, "P2")])
+    out = trends.rate_plan_trends(inp, RECORDS, limit=2).orderBy("rank").collect()
+    assert [r.top_five_plans_name_per_usage for r in out] == ["P1"]
+    assert [r.top5_plan_grouped30_50 for r in out] == ["P1"]
+    full = trends.rate_plan_trends(inp, RECORDS).orderBy("rank").collect()
+    assert [r.top5_plan_grouped30_50 for r in full] == ["P1", "P2"]  # 2 each, tie by name

@@ -81,14 +81,16 @@ def subscriber_rejects(inputs: UsageInputs) -> DataFrame:
 
 
 # ---------------------------------------------------------------- joins and counts
-def first_plan_per_subscriber(inputs: UsageInputs, truncate_ids: bool = True) -> DataFrame:
+def first_plan_per_subscriber(inputs: UsageInputs, truncate_ids: bool = True,
+                              limit: int | None = None) -> DataFrame:
     """(subscription_id, rate_plan_product_id): the plan of each
     subscriber's first usage record by arrival order."""
-    return first_by(plan_usage(inputs, truncate_ids), "subscription_id", PLAN_ID, "activity_seq")
+    return first_by(plan_usage(inputs, truncate_ids, limit), "subscription_id", PLAN_ID,
+                    "activity_seq")
 
 
 def subscriber_plan(inputs: UsageInputs, mode: str = STRICT,
-                    truncate_ids: bool = True) -> DataFrame:
+                    truncate_ids: bool = True, limit: int | None = None) -> DataFrame:
     """(age_band, rate_plan_product_id, subscription_id) for subscribers
     that have both an age and a usage record (inner join); a subscriber
     appears once per band even if the file repeats them."""
@@ -97,7 +99,7 @@ def subscriber_plan(inputs: UsageInputs, mode: str = STRICT,
     # sort-merge join at scale needs no further shuffle of either side.
     bands = (subscriber_age_bands(inputs, mode, truncate_ids)
              .groupBy("subscription_id").agg(F.collect_set("age_band").alias("age_bands")))
-    first = first_plan_per_subscriber(inputs, truncate_ids)
+    first = first_plan_per_subscriber(inputs, truncate_ids, limit)
     return (bands.join(first, "subscription_id", "inner")
             .select(F.explode("age_bands").alias("age_band"), PLAN_ID, "subscription_id"))
 
@@ -125,7 +127,7 @@ def _series_per_key(inputs: UsageInputs, mode: str, truncate_ids: bool,
     keys = key_columns([PLAN_ID], count_mode)
     overall = per_key_counts(plan_usage(inputs, truncate_ids, limit), keys) \
         .select(F.lit(OVERALL).alias("series"), *keys, "n_records")
-    banded = per_key_counts(subscriber_plan(inputs, mode, truncate_ids), ["age_band"] + keys) \
+    banded = per_key_counts(subscriber_plan(inputs, mode, truncate_ids, limit), ["age_band"] + keys) \
         .select(F.col("age_band").alias("series"), *keys, "n_records")
     return overall.unionByName(banded)
 
@@ -163,7 +165,9 @@ def rate_plan_trends(inputs: UsageInputs, count_mode: str = KEYS, mode: str = ST
                      truncate_ids: bool = True, k: int = 5, limit: int | None = None,
                      fill: str | None = GENERAL_PLAN) -> DataFrame:
     """One row per rank 1..k; a missing rank in a list reads
-    ``General Plan`` (as in the original), or stays null with ``fill=None``."""
+    ``General Plan`` (as in the original), or stays null with ``fill=None``.
+    ``limit`` restricts the usage scan (overall and band series alike) to
+    its first n records by arrival."""
     check_mode(mode)
     named = _name_plans(_series_per_key(inputs, mode, truncate_ids, limit, count_mode), inputs)
     counts = per_name_counts(named, ["series"], PLAN_NAME, count_mode)
