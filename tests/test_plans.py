@@ -67,3 +67,16 @@ def test_broadcast_hint_only_within_the_proven_bound(spark):
     assert "strategy=broadcast" in _logical(within)
     assert "strategy=broadcast" not in _logical(beyond)
     assert [tuple(r) for r in beyond.collect()] == [("L1", "EU")]
+
+
+def test_broadcast_bound_from_session_conf(spark):
+    from conftest import make_inputs
+    from usagelens.operators.lookups import MAX_BROADCAST_ROWS_CONF, lookup
+    inp = make_inputs(spark, sms=[("1", "n", "L1")], locations=[(f"L{i}", "EU") for i in range(5)])
+    fact = inp.sms_record.select(inp.sms_record.called_location_cd.alias("location_cd"))
+    spark.conf.set(MAX_BROADCAST_ROWS_CONF, "4")
+    try:
+        assert "strategy=broadcast" not in _logical(lookup(fact, inp.location, "location_cd", "country"))
+    finally:
+        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
+    assert "strategy=broadcast" in _logical(lookup(fact, inp.location, "location_cd", "country"))

@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a (key, name) catalogue that may be shipped to every executor:
-# ~100 bytes per row -> at most ~50 MB per executor.
+# ~100 bytes per row -> at most ~50 MB per executor.  A session can set
+# its own bound with ``usagelens.lookup.maxBroadcastRows``.
 MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_ROWS_CONF = "usagelens.lookup.maxBroadcastRows"
 
 
 def dedupe_catalogue(catalogue: DataFrame, key: str, value: str) -> DataFrame:
@@ -59,9 +61,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 
 def lookup(fact: DataFrame, catalogue: DataFrame, key: str, value: str,
-           max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int | None = None) -> DataFrame:
     """``fact ⟕ dedupe(catalogue)`` on ``key``; adds column ``value``
     (null where the catalogue has no entry)."""
+    if max_broadcast_rows is None:
+        max_broadcast_rows = int(catalogue.sparkSession.conf.get(
+            MAX_BROADCAST_ROWS_CONF, str(MAX_BROADCAST_ROWS)))
     deduped = dedupe_catalogue(catalogue.select(key, value), key, value)
     small = catalogue_is_small(catalogue, key, max_broadcast_rows)
     return fact.join(F.broadcast(deduped) if small else deduped, key, "left")
