@@ -18,10 +18,15 @@ SF001 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     scratch = tempfile.mkdtemp(prefix="usagelens-tests-")
-    session = build_session("local[*]", 8, "usagelens-tests", extra={
+    extra = {
         "spark.checkpoint.dir": os.path.join(scratch, "ckpt"),
         "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
-    })
+    }
+    # USAGELENS_TEST_ANSI=false runs the suite with ANSI SQL mode off: strict
+    # mode must still fail on bad input (it uses raise_error, not cast errors).
+    if os.environ.get("USAGELENS_TEST_ANSI"):
+        extra["spark.sql.ansi.enabled"] = os.environ["USAGELENS_TEST_ANSI"]
+    session = build_session("local[*]", 8, "usagelens-tests", extra=extra)
     yield session
     session.stop()
 
