@@ -256,8 +256,11 @@ LIMIT 100"""),
         "subscriber_plan": _with(
             "SELECT age_band, rate_plan_product_id, subscription_id FROM sub_plan"),
         "subscriber_plan_or_zero": _with("""
-SELECT b.subscription_id, b.age, coalesce(f.rate_plan_product_id, 0) AS rate_plan_product_id
-FROM banded b LEFT JOIN first_plan f ON b.subscription_id = f.subscription_id"""),
+, ids AS (SELECT subscription_id FROM first_plan UNION SELECT subscription_id FROM banded)
+SELECT CASE WHEN f.has_usage THEN f.rate_plan_product_id ELSE 0 END AS rate_plan_product_id,
+       ids.subscription_id
+FROM ids LEFT JOIN (SELECT subscription_id, rate_plan_product_id, true AS has_usage FROM first_plan) f
+  ON ids.subscription_id IS NOT DISTINCT FROM f.subscription_id"""),
         "plan_name_lookup": _with("""
 SELECT rate_plan_product_id, plan_name, CAST(n_records AS BIGINT) AS n_records
 FROM plan_named WHERE series = 'all'"""),

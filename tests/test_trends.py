@@ -86,8 +86,8 @@ def test_subscriber_plan_needs_both_sides_and_dedupes(spark):
     subs = [_line("A", 20), _line("A", 21), _line("A", 60), _line("C", 40)]
     inp = make_inputs(spark, volume=usage, subscriber=subs)
     assert rows(trends.subscriber_plan(inp)) == [("18_30", 5, "A"), ("50_plus", 5, "A")]
-    assert rows(trends.subscriber_plan_or_zero(inp), "subscription_id", "rate_plan_product_id") == [
-        ("A", 5), ("A", 5), ("A", 5), ("C", 0)]
+    # one row per subscriber on either side; no usage -> plan 0
+    assert rows(trends.subscriber_plan_or_zero(inp)) == [(0, "C"), (5, "A"), (6, "B")]
 
 
 def test_long_ids_truncated_on_both_sides(spark):

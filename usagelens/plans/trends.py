@@ -106,13 +106,18 @@ def subscriber_plan(inputs: UsageInputs, mode: str = STRICT,
 
 def subscriber_plan_or_zero(inputs: UsageInputs, mode: str = STRICT,
                             truncate_ids: bool = True) -> DataFrame:
-    """(subscription_id, age, rate_plan_product_id) for every subscriber
-    line; a subscriber without usage gets plan 0."""
-    subs = subscriber_age_bands(inputs, mode, truncate_ids).select("subscription_id", "age")
-    first = first_plan_per_subscriber(inputs, truncate_ids)
-    return (subs.join(first, "subscription_id", "left")
-            .select("subscription_id", "age",
-                    F.coalesce(F.col(PLAN_ID), F.lit(0).cast("long")).alias(PLAN_ID)))
+    """(rate_plan_product_id, subscription_id) for every subscriber seen in
+    usage or in the subscriber file: the first plan, or 0 without usage.
+    A union + groupBy merges the two sides null-safely, like a co-group."""
+    first = first_plan_per_subscriber(inputs, truncate_ids).select(
+        "subscription_id", PLAN_ID, F.lit(True).alias("has_usage"))
+    subs = subscriber_age_bands(inputs, mode, truncate_ids).select(
+        "subscription_id", F.lit(None).cast("long").alias(PLAN_ID), F.lit(False).alias("has_usage"))
+    merged = first.unionByName(subs).groupBy("subscription_id").agg(
+        F.max(PLAN_ID).alias(PLAN_ID), F.max("has_usage").alias("has_usage"))
+    return merged.select(
+        F.when(F.col("has_usage"), F.col(PLAN_ID)).otherwise(F.lit(0).cast("long")).alias(PLAN_ID),
+        "subscription_id")
 
 
 def _name_plans(per_key: DataFrame, inputs: UsageInputs) -> DataFrame:
