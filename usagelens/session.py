@@ -39,8 +39,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return spark.conf.get("spark.master", "")
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return _master(spark).startswith("local")
+
+
+def _set_checkpoint_dir(spark: SparkSession, path: str) -> None:
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # Spark Connect: the server owns the context
+        pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -51,16 +65,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configuration error, because executor-local folders do not survive the
     loss of an executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        _set_checkpoint_dir(spark, configured)
         return configured
     if not _is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/GCS)")
     scratch = tempfile.mkdtemp(prefix="usagelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
+    _set_checkpoint_dir(spark, scratch)
     return scratch
 
 
