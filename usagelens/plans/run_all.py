@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import argparse
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -33,7 +34,8 @@ from usagelens.plans.trends import rate_plan_trends
 from usagelens.schemas import ACTIVITY_SNAPSHOT, NETWORK_ACTIVITY, RATE_PLAN_TRENDS
 from usagelens.sinks.documents import to_documents, write_documents
 from usagelens.sinks.warehouse import read_table, write_table
-from usagelens.sources.files import load_inputs_from_paths
+from usagelens.session import checkpoint_dir
+from usagelens.sources.files import load_inputs_from_paths, write_inputs
 from usagelens.sources.inputs import UsageInputs
 
 
@@ -42,7 +44,16 @@ def _target(spec) -> dict:
 
 
 def run_all(inputs: UsageInputs, outputs: dict, mode: str = STRICT, count_mode: str = KEYS,
-            truncate_ids: bool = True, docs_mode: str = "append") -> None:
+            truncate_ids: bool = True, docs_mode: str = "append",
+            materialize_inputs: bool = False) -> None:
+    """Write the requested products.  ``materialize_inputs`` first writes
+    derived inputs (e.g. the test-data adapter's joins) once under the
+    shared checkpoint folder and reads them back, so the three products do
+    not each recompute them and their lineage starts at stored files."""
+    if materialize_inputs:
+        spark = inputs.voice_call_record.sparkSession
+        root = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{uuid.uuid4().hex}"
+        inputs = load_inputs_from_paths(spark, write_inputs(inputs, root))
     if "activity" in outputs:
         write_table(activity_snapshot(inputs, mode), ACTIVITY_SNAPSHOT, **_target(outputs["activity"]))
     if "trends" in outputs:
