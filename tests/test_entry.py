@@ -47,3 +47,24 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _canon(df.columns, df.collect()) == _canon(ocols, cur.fetchall())
+
+
+_CAP_NODES = ("GlobalLimit", "LocalLimit", "CollectLimit", "TakeOrderedAndProject", "Sample")
+
+
+def _is_top_k_report(name):
+    return name == "limited_scan" or name.startswith(("top5_", "least5_"))
+
+
+@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not _is_top_k_report(n)))
+def test_no_row_caps_outside_top_k_reports(spark, name):
+    """Whole tables: only the scan-limit feature and the top/least-k reports
+    may contain a limit; the products rank with WindowGroupLimit (k per series)."""
+    import contextlib
+    import io
+    df = entry.queries()[name](spark, SF0001)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    assert not [node for node in _CAP_NODES if node in plan], plan
