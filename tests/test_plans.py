@@ -80,3 +80,18 @@ def test_broadcast_bound_from_session_conf(spark):
     finally:
         spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
     assert "strategy=broadcast" in _logical(lookup(fact, inp.location, "location_cd", "country"))
+
+
+def test_broadcast_byte_bound(spark):
+    from conftest import make_inputs
+    from usagelens.operators.lookups import lookup, within_bound
+    inp = make_inputs(spark, sms=[("1", "n", "L1")],
+                      locations=[(f"L{i}", "X" * 100) for i in range(10)])
+    fact = inp.sms_record.select(inp.sms_record.called_location_cd.alias("location_cd"))
+    # 10 rows x (2-3 + 100 + 32) bytes ~ 1.35 kB
+    assert within_bound(inp.location, 10, 2000) and not within_bound(inp.location, 10, 1000)
+    assert not within_bound(inp.location, 9, 10 ** 9)
+    assert "strategy=broadcast" not in _logical(
+        lookup(fact, inp.location, "location_cd", "country", max_broadcast_bytes=1000))
+    assert "strategy=broadcast" in _logical(
+        lookup(fact, inp.location, "location_cd", "country", max_broadcast_bytes=2000))
