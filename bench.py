@@ -4,7 +4,8 @@
 
 Each query is run to completion with the ``noop`` sink (full execution,
 nothing collected to the driver): one warm-up pass, then
-``BENCH_REPEATS`` timed passes; the median per query is reported.
+``BENCH_REPEATS`` (default 5) timed passes; the median per query is
+reported.
 Prints ONE JSON line.
 """
 
@@ -43,7 +44,7 @@ def _run(spark, sf_dir: str, build) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, app_name="usagelens-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
     for build in HEADLINE.values():
