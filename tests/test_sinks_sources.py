@@ -9,7 +9,9 @@ from pyspark.errors import PySparkException
 from conftest import SF0001, make_inputs, rows
 from usagelens.plans import activity_snapshot, network_activity
 from usagelens.plans.run_all import run_all
-from usagelens.schemas import ACTIVITY_SNAPSHOT, NETWORK_DOCUMENT_FIELDS, RATE_PLAN_TRENDS
+from usagelens.schemas import (
+    ACTIVITY_SNAPSHOT, NETWORK_ACTIVITY, NETWORK_DOCUMENT_FIELDS, RATE_PLAN_TRENDS,
+)
 from usagelens.session import checkpoint_dir, output_root
 from usagelens.sinks import conform, read_documents, read_table, to_documents, write_documents, write_table
 from usagelens.sources import scan
@@ -148,3 +150,14 @@ def test_materialised_inputs_and_command_line_job(spark, scratch_dir):
         rows(rate_plan_trends(inp))
     docs = read_documents(spark, os.path.join(out, "network_docs"))
     assert rows(docs) == rows(to_documents(network_activity(inp)))
+
+
+def test_run_all_scan_limit_matches_limited_products(spark, scratch_dir):
+    from usagelens.plans import rate_plan_trends
+    inp = load_inputs(spark, SF0001)
+    out = {"trends": os.path.join(scratch_dir, "trends"), "network": os.path.join(scratch_dir, "net")}
+    run_all(inp, out, scan_limit=100)
+    assert rows(read_table(spark, RATE_PLAN_TRENDS, path=out["trends"])) == \
+        rows(rate_plan_trends(inp, limit=100))
+    assert rows(read_table(spark, NETWORK_ACTIVITY, path=out["network"])) == \
+        rows(network_activity(inp, limit=100))

@@ -16,6 +16,7 @@ Command line (the original job took its options the same way):
 
     python -m usagelens.plans.run_all --voice P --sms P --volume P \\
         --subscriber P --rate-plans P --locations P --out DIR [--lenient] [--count-mode M]
+        [--scan-limit N]
 """
 
 from __future__ import annotations
@@ -45,8 +46,10 @@ def _target(spec) -> dict:
 
 def run_all(inputs: UsageInputs, outputs: dict, mode: str = STRICT, count_mode: str = KEYS,
             truncate_ids: bool = True, docs_mode: str = "append",
-            materialize_inputs: bool = False) -> None:
-    """Write the requested products.  ``materialize_inputs`` first writes
+            materialize_inputs: bool = False, scan_limit: int | None = None) -> None:
+    """Write the requested products.  ``scan_limit`` reproduces the
+    original's "first n rows" scans of P2/P3 (taken in arrival / key order,
+    off by default).  ``materialize_inputs`` first writes
     derived inputs (e.g. the test-data adapter's joins) once under the
     shared checkpoint folder and reads them back, so the three products do
     not each recompute them and their lineage starts at stored files."""
@@ -57,10 +60,10 @@ def run_all(inputs: UsageInputs, outputs: dict, mode: str = STRICT, count_mode:
     if "activity" in outputs:
         write_table(activity_snapshot(inputs, mode), ACTIVITY_SNAPSHOT, **_target(outputs["activity"]))
     if "trends" in outputs:
-        trends = rate_plan_trends(inputs, count_mode, mode, truncate_ids)
+        trends = rate_plan_trends(inputs, count_mode, mode, truncate_ids, limit=scan_limit)
         write_table(trends, RATE_PLAN_TRENDS, num_files=1, **_target(outputs["trends"]))
     if "network" in outputs or "network_docs" in outputs:
-        network = network_activity(inputs, count_mode, mode, truncate_ids)
+        network = network_activity(inputs, count_mode, mode, truncate_ids, limit=scan_limit)
         if "network" in outputs:
             target = _target(outputs["network"])
             write_table(network, NETWORK_ACTIVITY, num_files=1, **target)
@@ -77,6 +80,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lenient", action="store_true")
     parser.add_argument("--count-mode", default=KEYS, choices=COUNT_MODES)
     parser.add_argument("--docs-mode", default="append", choices=("append", "overwrite"))
+    parser.add_argument("--scan-limit", type=int, default=None,
+                        help="first n usage / location records for P2 and P3 (default: all)")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("usagelens-run-all").getOrCreate()
     inputs = load_inputs_from_paths(spark, {
@@ -88,7 +93,7 @@ def main(argv: list[str] | None = None) -> None:
     run_all(inputs, {name: os.path.join(out, name)
                      for name in ("activity", "trends", "network", "network_docs")},
             mode=LENIENT if args.lenient else STRICT, count_mode=args.count_mode,
-            docs_mode=args.docs_mode)
+            docs_mode=args.docs_mode, scan_limit=args.scan_limit)
 
 
 if __name__ == "__main__":
