@@ -73,3 +73,60 @@ def test_country_counts_match_brute_force_in_every_mode(spark, sms, locations):
     assert got[KEYS] == dict(keys)
     assert got[RECORDS] == dict(records)
     assert got[SUBSCRIBERS] == {k: len(v) for k, v in subs.items()}
+
+
+PLAN_IDS = list(range(1, 9))
+NAMES = ["A", "B", "C", "D", None]
+
+usage_rows = st.lists(st.tuples(_hot(SUBS, HOT_SUB), st.one_of(st.sampled_from(PLAN_IDS), st.none())),
+                      max_size=40)
+ages = st.lists(st.tuples(st.sampled_from(SUBS), st.integers(0, 90)), max_size=15)
+plan_catalogue = st.lists(st.tuples(st.sampled_from(PLAN_IDS[:6]), st.sampled_from(NAMES)),
+                          max_size=10)
+
+
+def _brute_trends(usage, subs, catalogue, k=5):
+    """The original's co-group steps, literally (keys mode)."""
+    names = {}
+    for pid, name in catalogue:
+        if name is not None:
+            names[pid] = min(names.get(pid, name), name)
+
+    def label(pid):
+        return names.get(pid, "General Plan")
+
+    def ranked(keys):
+        counts = Counter(label(pid) for pid in keys)
+        top = sorted(counts, key=lambda n: (-counts[n], n))[:k]
+        least = sorted(counts, key=lambda n: (counts[n], n))[:k]
+        return top, least
+
+    series = {"all": {pid for _, pid, _ in usage}}
+    first = {}
+    for sub, pid, seq in sorted(usage, key=lambda r: (r[2], r[1] is None, r[1] or 0)):
+        first.setdefault(sub, pid)
+    band_of = {"50_plus": lambda a: a >= 50, "30_50": lambda a: 30 <= a < 50,
+               "18_30": lambda a: 18 <= a < 30, "18_less": lambda a: a < 18}
+    for band, test in band_of.items():
+        members = {sub for sub, age in subs if test(age)}
+        series[band] = {first[s] for s in members if s in first}
+    lists = {}
+    for name, keys in series.items():
+        lists["top_" + name], lists["least_" + name] = ranked(keys)
+    depth = max((len(v) for v in lists.values()), default=0)
+    return lists, depth
+
+
+@settings(SETTINGS, max_examples=5)
+@given(usage=usage_rows, subs=ages, catalogue=plan_catalogue)
+def test_rate_plan_trends_matches_brute_force(spark, usage, subs, catalogue):
+    from usagelens.plans import trends
+    usage = [(s, pid, i) for i, (s, pid) in enumerate(usage)]
+    inp = make_inputs(spark, volume=[(s, "1", "1", pid, seq) for s, pid, seq in usage],
+                      subscriber=[f"{s},a,b,c,d,{a}" for s, a in subs], plans=catalogue)
+    lists, depth = _brute_trends(usage, subs, catalogue)
+    out = trends.rate_plan_trends(inp, KEYS).orderBy("rank").collect()
+    assert [r["rank"] for r in out] == list(range(1, depth + 1))
+    for series, column in trends.SERIES_COLUMNS.items():
+        expected = lists[series] + ["General Plan"] * (depth - len(lists[series]))
+        assert [r[column] for r in out] == expected, series
