@@ -161,3 +161,10 @@ def test_run_all_scan_limit_matches_limited_products(spark, scratch_dir):
         rows(rate_plan_trends(inp, limit=100))
     assert rows(read_table(spark, NETWORK_ACTIVITY, path=out["network"])) == \
         rows(network_activity(inp, limit=100))
+
+
+def test_cluster_conf():
+    from usagelens.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=4)
+    assert conf["spark.sql.shuffle.partitions"] == "16000"
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -84,3 +84,29 @@ def output_root(spark: SparkSession) -> str:
     if configured:
         return configured
     return os.path.join(checkpoint_dir(spark), "outputs")
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:  # noqa: ARG001
+    """Starting settings for a large cluster (pass to ``--conf`` / the builder).
+
+    * scans: 128 MB splits -> input_bytes / 128 MB map tasks (100 TB:
+      ~820k tasks, ~200 waves on 4000 cores);
+    * shuffles: every product shuffles per-task partial aggregates, far
+      smaller than the input, so start from 4 partitions per core and let
+      AQE coalesce to ~128 MB (the initial number only caps parallelism);
+    * skew: AQE splits a join partition 5x the median and over 256 MB;
+    * broadcasts: planner-driven ones stay at Spark's 10 MB default; the
+      catalogue lookups use their own proven bound (operators.lookups).
+    """
+    cores = executors * cores_per_executor
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(max(200, 4 * cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    }
