@@ -168,3 +168,5 @@ def test_cluster_conf():
     conf = cluster_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=4)
     assert conf["spark.sql.shuffle.partitions"] == "16000"
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(512 * 1024 ** 2)
+    assert cluster_conf(10 ** 9, 2, 4)["spark.sql.files.maxPartitionBytes"] == str(128 * 1024 ** 2)
