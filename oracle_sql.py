@@ -293,6 +293,10 @@ FROM volumes GROUP BY 1"""),
         "network_activity_records": network_activity("records"),
         "rate_plan_trends_subscribers": rate_plan_trends("subscribers"),
         "network_activity_subscribers": network_activity("subscribers"),
+        "rank_positions": _with(_ranked(_counts("plan_named", "plan_name", "keys"), "plan_name")
+                                + "SELECT s AS series, CAST(rank AS BIGINT) AS rank, "
+                                  "name_col AS plan_name FROM ranked"),
+        "schema_contract": network_activity("keys"),
         # lenient mode: same results on clean data; rejects frames
         "activity_snapshot_lenient": ACTIVITY,
         "rate_plan_trends_lenient": rate_plan_trends("keys"),

@@ -173,11 +173,19 @@ def rate_plan_trends(inputs: UsageInputs, count_mode: str = KEYS, mode: str = ST
     ``General Plan`` (as in the original), or stays null with ``fill=None``.
     ``limit`` restricts the usage scan (overall and band series alike) to
     its first n records by arrival."""
+    ranked = ranked_plan_lists(inputs, count_mode, mode, truncate_ids, k, limit)
+    return merge_ranks(ranked, "series", PLAN_NAME, SERIES_COLUMNS, fill).to(RATE_PLAN_TRENDS)
+
+
+def ranked_plan_lists(inputs: UsageInputs, count_mode: str = KEYS, mode: str = STRICT,
+                      truncate_ids: bool = True, k: int = 5,
+                      limit: int | None = None) -> DataFrame:
+    """The 10 ranked lists in long form, before the rank merge:
+    (series, rank, plan_name) with series ``top_all`` ... ``least_18_less``."""
     check_mode(mode)
     named = _name_plans(_series_per_key(inputs, mode, truncate_ids, limit, count_mode), inputs)
     counts = per_name_counts(named, ["series"], PLAN_NAME, count_mode)
-    ranked = top_and_least(counts, k, "series", PLAN_NAME)
-    return merge_ranks(ranked, "series", PLAN_NAME, SERIES_COLUMNS, fill).to(RATE_PLAN_TRENDS)
+    return top_and_least(counts, k, "series", PLAN_NAME)
 
 
 def plan_name_lookup(inputs: UsageInputs, truncate_ids: bool = True) -> DataFrame:
