@@ -130,3 +130,28 @@ def test_rate_plan_trends_matches_brute_force(spark, usage, subs, catalogue):
     for series, column in trends.SERIES_COLUMNS.items():
         expected = lists[series] + ["General Plan"] * (depth - len(lists[series]))
         assert [r[column] for r in out] == expected, series
+
+
+def _brute_network(sms, voice, locations, k=5):
+    names = {}
+    for code, country in locations:
+        if country is not None:
+            names[code] = min(names.get(code, country), country)
+    lists = {}
+    for series, rows_ in (("sms", sms), ("voice", voice)):
+        counts = Counter(names.get(code, f"{code} country") for code in {r[2] for r in rows_})
+        lists["top_" + series] = sorted(counts, key=lambda n: (-counts[n], n))[:k]
+        lists["least_" + series] = sorted(counts, key=lambda n: (counts[n], n))[:k]
+    return lists, max((len(v) for v in lists.values()), default=0)
+
+
+@settings(SETTINGS, max_examples=5)
+@given(sms=sms_rows, voice=voice_rows, locations=catalogue)
+def test_network_activity_matches_brute_force(spark, sms, voice, locations):
+    inp = make_inputs(spark, sms=sms, voice=voice, locations=locations)
+    lists, depth = _brute_network(sms, voice, locations)
+    out = network.network_activity(inp, KEYS).orderBy("rank").collect()
+    assert [r["rank"] for r in out] == list(range(1, depth + 1))
+    for series, column in network.SERIES_COLUMNS.items():
+        expected = lists[series] + ["Not known"] * (depth - len(lists[series]))
+        assert [r[column] for r in out] == expected, series
