@@ -6,17 +6,56 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from usagelens.llm import byte_bpe, host_rules, separator_scan, token_shards
 from usagelens.llm.minhash_dedup import near_duplicates
-from usagelens.llm.shared import table
+from usagelens.llm.oracles import OP3
+from usagelens.llm.shared import shared_path, table
+
+END_OF_DOCUMENT = 50256  # <|endoftext|> of byte_bpe_50k
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = host_rules.quality(table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("doc.doc_id", *[f"counts.{c}" for c in host_rules.COUNTS],
+                         "base_failed", "host_n", "host_failed", "kept")
+
+
+def op6_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "flat-tokens")
+    separator_scan.write_flat(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
+                              public_tokenizers.PATTERN, END_OF_DOCUMENT, header=True)
+    return separator_scan.count_tokens(spark, path, END_OF_DOCUMENT, header=True).select("doc_id", "n_tokens")
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
+    return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-shards")
+    token_shards.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.PATTERN, end_id=2)
+    return token_shards.digests(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op3_host_rules": op3_host_rules,
+    "op6_separator_scan": op6_separator_scan,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op10_token_shards": op10_token_shards,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_host_rules": OP3}
