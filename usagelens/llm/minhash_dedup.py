@@ -12,13 +12,15 @@ each family agrees.
    texts of the same shingles are never compared).
 2. A class whose first-family collections all stand alone can meet nobody:
    only collections that repeat take part in forming table keys.
-3. Pairs of a table are confirmed on full shingle sets, in rounds: every
-   class with the smallest class it meets anywhere, then the classes of
-   tables that still hold several components with that table's hub, then
-   what is left of such tables pair by pair across components.  A link
-   inside a component already joined cannot change the result, so a group
-   of copies costs its size, not its square; no pair across components is
-   left out.
+3. Pairs of a table are confirmed on full shingle sets, in rounds.  First
+   every class with the smallest class it meets anywhere.  Then, of tables
+   that still hold several components, every member with one pivot class.
+   Members not linked with the pivot are compared by their differences from
+   it: linked sets must share enough of the difference (an exact bound, see
+   ``_across``), and unrelated edits of one text share next to nothing, so a
+   group of copies costs about its size, not its square.  A link inside a
+   component already joined cannot change the result; no pair across
+   components is left out.
 4. Components by star rounds on written tables.
 
 The chance that a pair exactly at the threshold meets in no table is at most
@@ -116,6 +118,63 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
             .select("a", "b").distinct())
 
 
+def _named(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """``rows`` with the component of their ``class_id``."""
+    return (rows.join(joined, rows.class_id == joined.node, "left")
+            .select(*[rows[c] for c in rows.columns], F.coalesce("component", "class_id").alias("component")))
+
+
+def _apart(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(class_id, pivot) with the set's size ``n``, the size ``apart`` of its
+    symmetric difference from the pivot's set, whether the two are
+    ``linked``, and the head of that difference: what the pivot lacks first,
+    then what it has, each in the order of the hashes.
+
+    Sets x and y are linked only if |x ^ y| <= (den - num) / (den + num)
+    (|x| + |y|), which is at most (den - num) / num |x|.  With differences dx
+    and dy from the same pivot, |x ^ y| = |dx| + |dy| - 2 |dx & dy|, so the
+    overlap they need is known, and its first element is among the first
+    ``head`` ones of each.
+    """
+    own = sets.select("class_id", F.col("shingles").alias("own"))
+    other = sets.select(F.col("class_id").alias("pivot"), F.col("shingles").alias("other"))
+    n, apart = F.col("n"), F.col("apart")
+    head = apart - F.greatest(F.lit(1), F.ceil((num * (apart + 1) - (den - num) * n) / (2 * num) - 1e-9)) + 1
+    return (members.join(own, "class_id").join(other, "pivot")
+            .withColumn("n", F.size("own"))
+            .withColumn("diff", F.concat(F.sort_array(F.array_except("own", "other")),
+                                         F.sort_array(F.array_except("other", "own"))))
+            .withColumn("apart", F.size("diff"))
+            .select("class_id", "pivot", "n", "apart",
+                    ((den + num) * apart <= (den - num) * (n + F.size("other"))).alias("linked"),
+                    F.slice("diff", 1, head.cast("int")).alias("head")))
+
+
+def _across(apart: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of different components that may still be linked: two
+    members of a pivot that share an element of their differences early
+    enough for the rest to reach the overlap needed.
+
+    Linked x and y must share one.  Else |dx| + |dy| <= q (|x| + |y|) with
+    q = (den - num) / (den + num); one of them, say x, is not linked with the
+    pivot p (both being linked, they are of one component), so
+    |dx| > q (|x| + |p|), hence |dy| < q (|y| - |p|) <= q |dy|, which no |dy|
+    satisfies.
+    """
+    of = lambda side, rows: rows.select(
+        "pivot", *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "pivot"])
+    tokens = apart.select("pivot", "class_id", "component", "n", "apart", F.posexplode("head").alias("at", "token"))
+    left = of("a", tokens).withColumnRenamed("token_a", "token")
+    right = of("b", tokens).withColumnRenamed("token_b", "token")
+    most = (den - num) * (F.col("n_a") + F.col("n_b"))
+    both = F.col("apart_a") + F.col("apart_b")
+    shared = F.least(F.col("apart_a") - F.col("at_a"), F.col("apart_b") - F.col("at_b"))
+    differ = (F.col("class_id_a") > F.col("class_id_b")) & (F.col("component_a") != F.col("component_b"))
+    pairs = left.join(right, (left.pivot == right.pivot) & (left.token == right.token) & differ
+                      & ((den + num) * (both - 2 * shared) <= most))
+    return pairs.select(F.col("class_id_a").alias("a"), F.col("class_id_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(85, 100),
                     rows: int = ROWS, halves: int | None = None) -> DataFrame:
     """Documents (doc_id, text) -> (doc_id, n_shingles, component_id, kept).
@@ -159,25 +218,19 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
     found = found.unionByName(
         of_class.join(owner, "doc_id").where("class_id != b").select(F.col("class_id").alias("a"), "b").distinct())
     links = stored(found, "links")
-    for last in (False, True):
-        joined = components(links)
-        named = met.join(joined, met.class_id == joined.node, "left") \
-            .select("key", "class_id", F.coalesce("component", "class_id").alias("component"))
-        open_keys = (named.groupBy("key")
-                     .agg(F.min("component").alias("low"), F.max("component").alias("top"),
-                          F.min(F.struct(F.xxhash64("class_id"), "class_id", "component")).alias("hub"))
-                     .where("low < top"))
-        rest = named.join(open_keys.select("key", "hub"), "key")
-        if last:
-            rest = stored(rest.select("key", "class_id", "component"), "open")
-            other = rest.select("key", F.col("class_id").alias("b"), F.col("component").alias("other"))
-            pairs = (rest.withColumnRenamed("class_id", "a").join(other, "key")
-                     .where("a > b and component != other").select("a", "b").distinct())
-        else:
-            pairs = (rest.where(F.col("component") != F.col("hub.component"))
-                     .select(F.greatest("class_id", "hub.class_id").alias("a"),
-                             F.least("class_id", "hub.class_id").alias("b")).distinct())
-        links = stored(links.unionByName(_confirmed(pairs, sets, num, den)), "links")
+
+    # tables that still hold several components: every member against one pivot class of the table
+    joined = stored(components(links), "joined")
+    named = _named(met, joined)
+    several = (named.groupBy("key").agg(F.min("component").alias("pivot"), F.max("component").alias("top"))
+               .where("pivot < top").select("key", "pivot"))
+    members = stored(named.join(several, "key").where("class_id != pivot")
+                     .select("class_id", "pivot").distinct(), "members")
+    apart = stored(_apart(members, sets, num, den), "apart")
+    links = stored(links.unionByName(apart.where("linked").select(F.col("class_id").alias("a"),
+                                                                 F.col("pivot").alias("b"))), "links")
+    joined = stored(components(links), "joined")
+    links = stored(links.unionByName(_confirmed(_across(_named(apart, joined), num, den), sets, num, den)), "links")
 
     joined = components(links)
     by_doc = (of_class.select("doc_id", "class_id").distinct()
