@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from usagelens.llm import host_rules
+from usagelens.llm import chat, host_rules, license_dice
 
 OP3 = rf"""
 WITH w AS (
@@ -45,3 +45,58 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND coalesce(ok, true) AS kept
 FROM base LEFT JOIN verdict v ON base.source = v.source
 """
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _licences() -> str:
+    rows = ", ".join(f"({_text(name)}, [{', '.join(map(_text, license_dice.plain_bigrams(text)))}])"
+                     for name, text in license_dice.NOTICES)
+    return f"""
+WITH notices AS (SELECT * FROM (VALUES {rows}) AS v(license, b)),
+lines AS (
+  SELECT row_number() OVER () AS r, doc_id, trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')) AS unit FROM (
+    SELECT doc_id, unnest(list_concat(
+      string_split(text, chr(10)),
+      list_filter(regexp_split_to_array(text, '\n[ \t]*\n'), lambda p: contains(p, chr(10))))) AS unit FROM documents)),
+words AS (SELECT r, doc_id, string_split(unit, ' ') AS w FROM lines WHERE unit <> ''),
+own AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 1 THEN w ELSE
+    list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS b FROM words),
+hits AS (
+  SELECT r, doc_id, license, max(2.0::DOUBLE * len(list_intersect(own.b, n.b)) / (len(own.b) + len(n.b))) AS s
+  FROM own JOIN notices n
+    ON 2.0::DOUBLE * least(len(own.b), len(n.b)) / (len(own.b) + len(n.b)) >= {license_dice.THRESHOLD}::DOUBLE
+  GROUP BY r, doc_id, license)
+SELECT doc_id, license, CAST(count(*) AS BIGINT) AS n_units, max(s) AS similarity
+FROM hits WHERE s >= {license_dice.THRESHOLD}::DOUBLE GROUP BY doc_id, license
+"""
+
+
+OP5 = _licences()
+
+OP2 = f"""
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+coded AS (
+  SELECT conv_id, place,
+         coalesce(length(role) || 'r' || role, 'n') || coalesce(length(text) || 't' || text, 'n') AS code,
+         '{chat.START}' || coalesce(role, 'unknown') || chr(10)
+         || regexp_replace(coalesce(text, ''), '<\|(im_start|im_end)\|>', '<| \1 |>', 'g')
+         || '{chat.END}' || chr(10) AS shown
+  FROM t),
+prefixes AS (
+  SELECT conv_id, place, shown, string_agg(code, '') OVER (PARTITION BY conv_id ORDER BY place) AS p,
+         max(place) OVER (PARTITION BY conv_id) AS n FROM coded),
+ends AS (SELECT conv_id, n, p FROM prefixes WHERE place = n),
+keep AS (
+  SELECT min(conv_id) AS conv_id, n, count(*) AS n_copies FROM ends
+  WHERE p NOT IN (SELECT p FROM prefixes WHERE place < n) GROUP BY n, p)
+SELECT keep.conv_id, CAST(keep.n AS BIGINT) AS n_turns, CAST(n_copies AS BIGINT) AS n_copies,
+       string_agg(shown, '' ORDER BY place) AS text
+FROM keep JOIN prefixes ON keep.conv_id = prefixes.conv_id GROUP BY ALL
+"""

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from usagelens.llm import byte_bpe, host_rules, separator_scan, token_shards
+from usagelens.llm import byte_bpe, chat, host_rules, license_dice, separator_scan, token_shards, url_model
 from usagelens.llm.minhash_dedup import near_duplicates
-from usagelens.llm.oracles import OP3
+from usagelens.llm.oracles import OP2, OP3, OP5
 from usagelens.llm.shared import shared_path, table
 
 END_OF_DOCUMENT = 50256  # <|endoftext|> of byte_bpe_50k
@@ -21,12 +21,20 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.quality(table(spark, sf_dir, "documents"), ["doc_id"])
     return judged.select("doc.doc_id", *[f"counts.{c}" for c in host_rules.COUNTS],
                          "base_failed", "host_n", "host_failed", "kept")
 
 
+def op5_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_dice.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "flat-tokens")
     separator_scan.write_flat(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
@@ -42,6 +50,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+URL_RULES = [url_model.Rule("net", "/", "block"), url_model.Rule("example.net", "/en/", "allow"),
+             url_model.Rule("example.com", "/de/", "block"), url_model.Rule("org", "/fr/", "allow")]
+
+
+def op9_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_model.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-shards")
     token_shards.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
@@ -51,11 +67,14 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_chat_render": op2_chat_render,
     "op3_host_rules": op3_host_rules,
+    "op5_license_dice": op5_license_dice,
     "op6_separator_scan": op6_separator_scan,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_url_model": op9_url_model,
     "op10_token_shards": op10_token_shards,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op3_host_rules": OP3}
+ORACLES: dict[str, str] = {"op2_chat_render": OP2, "op3_host_rules": OP3, "op5_license_dice": OP5}
