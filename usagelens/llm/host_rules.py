@@ -24,12 +24,10 @@ count as often as they occur; no hosts or one host give no correlation.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.shared import stored
+from usagelens.llm.shared import let, stored
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -39,11 +37,6 @@ SYMBOL = "[#*$%&|<>]"
 LEAST, MOST = 1e-6, 1 - 1e-6
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` on a value that is worked out once a row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _repeat_words(words: Column) -> Column:
     """Words in 3-word windows that occur twice or more (64-bit window hashes)."""
     hashes = F.slice(F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))),
@@ -63,20 +56,20 @@ def _repeat_words(words: Column) -> Column:
     def count(h: Column) -> Column:
         order = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(
-            _let(order, lambda o: covered(starts(o))))
+            let(order, lambda o: covered(starts(o))))
 
-    return _let(hashes, count)
+    return let(hashes, count)
 
 
 def measures(text: Column) -> Column:
     """A struct of the counts the base rules use."""
     text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
-    return _let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda words: F.struct(
+    return let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda words: F.struct(
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit(SYMBOL)).cast("long").alias("n_symbols"),
-        _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         _repeat_words(words).cast("long").alias("n_repeat_words")))
 
 

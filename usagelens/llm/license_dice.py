@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from usagelens.llm.shared import let
+
 THRESHOLD = 0.8
 
 #: The wording by which the licences are announced.
@@ -82,21 +84,22 @@ def scan(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES, threshold: f
     sizes = {len(b) for of_name in known.values() for b in of_name}
     near = [n for n in range(1, int(2 * max(sizes) / threshold) + 1)
             if any(2.0 * min(n, m) / (n + m) >= threshold for m in sizes)]
-    rows = (docs.select("doc_id", F.explode(units(F.col("text").cast("string"))).alias("unit"))
-            .select("doc_id", F.split(normalised(F.col("unit")), " ").alias("words"))
-            .where((F.get("words", F.lit(0)) != "") & (F.size("words") >= near[0]))
-            .select("doc_id", bigrams(F.col("words")).alias("own"))
-            .where(F.size("own").between(near[0], near[-1])))
-    size = F.size("own")
-
-    def dice(notice: list[str]) -> Column:
-        n = F.lit(len(notice))
+    def dice(own: Column, notice: list[str]) -> Column:
+        n, size = F.lit(len(notice)), F.size(own)
         fits = 2.0 * F.least(size, n) / (size + n) >= threshold
-        common = F.size(F.array_intersect("own", F.array(*[F.lit(b) for b in notice])))
+        common = F.size(F.array_intersect(own, F.array(*[F.lit(b) for b in notice])))
         return F.when(fits, 2.0 * common / (size + n)).otherwise(0.0)
 
-    hits = F.array(*[F.struct(F.lit(name).alias("license"), F.greatest(F.lit(0.0), *map(dice, of_name)).alias("similarity"))
-                     for name, of_name in known.items()])
-    found = rows.select("doc_id", F.explode(F.filter(hits, lambda x: x["similarity"] >= threshold)).alias("hit"))
+    def hits(own: Column) -> Column:
+        every = F.array(*[F.struct(F.lit(name).alias("license"),
+                                   F.greatest(F.lit(0.0), *[dice(own, b) for b in of_name]).alias("similarity"))
+                          for name, of_name in known.items()])
+        return F.when(F.size(own).between(near[0], near[-1]), F.filter(every, lambda x: x["similarity"] >= threshold))
+
+    def of_words(words: Column) -> Column:
+        return F.when((F.get(words, F.lit(0)) != "") & (F.size(words) >= near[0]), let(bigrams(words), hits))
+
+    rows = docs.select("doc_id", F.explode(units(F.col("text").cast("string"))).alias("unit"))
+    found = rows.select("doc_id", F.explode(let(F.split(normalised(F.col("unit")), " "), of_words)).alias("hit"))
     return found.groupBy("doc_id", F.col("hit.license").alias("license")).agg(
         F.count(F.lit(1)).alias("n_units"), F.max("hit.similarity").alias("similarity"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from usagelens.llm import byte_bpe, chat, host_rules, license_dice, separator_scan, token_shards, url_model
+from usagelens.llm import byte_bpe, chat, decontaminate, host_rules, html_template, license_dice, separator_scan, token_shards, url_model
 from usagelens.llm.minhash_dedup import near_duplicates
 from usagelens.llm.oracles import OP2, OP3, OP5
 from usagelens.llm.shared import shared_path, table
@@ -31,6 +31,10 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "host_n", "host_failed", "kept")
 
 
+def op4_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_dice.scan(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,10 @@ def op6_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separator_scan.count_tokens(spark, path, END_OF_DOCUMENT, header=True).select("doc_id", "n_tokens")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,8 +77,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_chat_render": op2_chat_render,
     "op3_host_rules": op3_host_rules,
+    "op4_html_template": op4_html_template,
     "op5_license_dice": op5_license_dice,
     "op6_separator_scan": op6_separator_scan,
+    "op7_decontaminate": op7_decontaminate,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_url_model": op9_url_model,
     "op10_token_shards": op10_token_shards,

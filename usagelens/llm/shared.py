@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.session import checkpoint_dir
@@ -14,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` on a value that is worked out once a row (a column that a
+    later step names several times may be worked out as often)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder named by ``spark.checkpoint.dir``."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
