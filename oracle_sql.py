@@ -9,7 +9,7 @@ aliased to the Spark column name.
 
 from __future__ import annotations
 
-VIEWS = """
+SOURCES = """
 voice_call_record AS (
   SELECT CAST(o.o_custkey AS VARCHAR) AS subscription_id,
          CAST(floor(o.o_totalprice / 1000) AS BIGINT) AS actual_duration,
@@ -25,7 +25,7 @@ mobile_data_activity AS (
          CASE WHEN l.l_linenumber = 1 THEN ' '
               ELSE CAST(CAST(floor(l.l_quantity) AS BIGINT) AS VARCHAR) END AS uplink_volume,
          CAST(CAST(floor(l.l_extendedprice) AS BIGINT) AS VARCHAR) AS downlink_volume,
-         CAST(l.l_partkey AS BIGINT) AS rate_plan_product_id,
+         CAST(l.l_partkey AS INTEGER) AS rate_plan_product_id,
          CAST(l.l_orderkey * 10 + l.l_linenumber AS BIGINT) AS activity_seq
   FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey),
 subscriber AS (
@@ -34,7 +34,7 @@ subscriber AS (
                    CAST(c_custkey % 90 AS VARCHAR)) AS value
   FROM customer),
 rate_plan_product AS (
-  SELECT CAST(p_partkey AS BIGINT) AS rate_plan_product_id, p_name AS rate_plan_name FROM part),
+  SELECT CAST(p_partkey AS INTEGER) AS rate_plan_product_id, p_name AS rate_plan_name FROM part),
 location AS (
   SELECT 'L' || CAST(n.n_nationkey AS VARCHAR) AS location_cd, r.r_name AS country
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
@@ -44,24 +44,81 @@ volumes AS (
          CASE WHEN downlink_volume = ' ' THEN 0 ELSE CAST(downlink_volume AS BIGINT) END AS downlink_volume
   FROM mobile_data_activity),
 plan_usage AS (
-  SELECT CAST(rate_plan_product_id AS BIGINT) AS rate_plan_product_id,
-         substr(subscription_id, 1, 15) AS subscription_id, activity_seq
+  SELECT CAST(rate_plan_product_id AS INTEGER) AS rate_plan_product_id, subscription_id, activity_seq
   FROM mobile_data_activity),
 sms_location AS (
-  SELECT substr(subscription_id, 1, 15) AS subscription_id,
-         substr(called_location_cd, 1, 15) AS location_cd FROM sms_record),
+  SELECT subscription_id, called_location_cd AS location_cd FROM sms_record),
 voice_location AS (
-  SELECT substr(subscription_id, 1, 15) AS subscription_id,
-         substr(called_location_cd, 1, 15) AS location_cd FROM voice_call_record),
+  SELECT subscription_id, called_location_cd AS location_cd FROM voice_call_record),
 parsed AS (
   SELECT split_part(value, ',', 1) AS subscription_id,
          CAST(split_part(value, ',', 6) AS INTEGER) AS age
   FROM subscriber),
 banded AS (
-  SELECT substr(subscription_id, 1, 15) AS subscription_id, age,
+  SELECT subscription_id, age,
          CASE WHEN age >= 50 THEN '50_plus' WHEN age >= 30 THEN '30_50'
               WHEN age >= 18 THEN '18_30' ELSE '18_less' END AS age_band
   FROM parsed),
+"""
+
+# The dirty inputs, cleaned leniently.
+DIRTY = """
+voice_call_record AS (
+  SELECT CASE WHEN o.o_custkey % 97 = 0 THEN 'C-' || o.o_custkey ELSE CAST(o.o_custkey AS VARCHAR) END AS subscription_id,
+         CAST(floor(o.o_totalprice / 1000) AS BIGINT) AS actual_duration,
+         CASE WHEN o.o_custkey % 11 = 0 THEN NULL WHEN o.o_custkey % 13 = 0 THEN 'X' || c.c_nationkey
+              ELSE 'L' || c.c_nationkey || '-' || (o.o_custkey % (c.c_nationkey + 1)) END AS called_location_cd
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+sms_record AS (
+  SELECT CAST(e.user_id AS VARCHAR) AS subscription_id, e.event_type AS network_id,
+         CASE WHEN e.user_id % 11 = 0 THEN NULL WHEN e.user_id % 13 = 0 THEN 'X' || c.c_nationkey
+              ELSE 'L' || c.c_nationkey || '-' || (e.user_id % (c.c_nationkey + 1)) END AS called_location_cd
+  FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey),
+mobile_data_activity AS (
+  SELECT CAST(o.o_custkey AS VARCHAR) AS subscription_id,
+         CASE WHEN l.l_linenumber = 1 THEN ''
+              WHEN l.l_linenumber = 2 AND o.o_orderpriority = '1-URGENT' THEN o.o_orderpriority
+              ELSE CAST(CAST(floor(l.l_quantity) AS BIGINT) AS VARCHAR) END AS uplink_volume,
+         CAST(CAST(floor(l.l_extendedprice) AS BIGINT) AS VARCHAR) AS downlink_volume,
+         CASE WHEN l.l_partkey % 50 = 0 THEN 'P-' || l.l_partkey
+              WHEN l.l_partkey % 17 = 0 THEN CAST(l.l_partkey + 1000000 AS VARCHAR)
+              ELSE CAST(l.l_partkey AS VARCHAR) END AS rate_plan_product_id,
+         CAST(l.l_orderkey * 10 + l.l_linenumber AS BIGINT) AS activity_seq
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey),
+subscriber AS (
+  SELECT concat_ws(',', CAST(c_custkey AS VARCHAR), c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR), 'x',
+                   CASE WHEN c_custkey % 19 <> 0 THEN CAST(CAST(floor(c_acctbal / 100) AS BIGINT) AS VARCHAR) END) AS value
+  FROM customer),
+rate_plan_product AS (
+  SELECT CAST(p_partkey AS INTEGER) AS rate_plan_product_id, p_name AS rate_plan_name FROM part),
+location AS (
+  SELECT 'L' || p.n || '-' || p.j AS location_cd, r.r_name AS country
+  FROM (SELECT n_nationkey AS n, n_regionkey AS k, unnest(range(n_nationkey + 1)) AS j FROM nation) p
+  LEFT JOIN region r ON p.k = r.r_regionkey),
+volumes AS (
+  SELECT subscription_id, coalesce(TRY_CAST(uplink_volume AS BIGINT), 0) AS uplink_volume,
+         coalesce(TRY_CAST(downlink_volume AS BIGINT), 0) AS downlink_volume
+  FROM mobile_data_activity
+  WHERE (trim(uplink_volume) = '' OR TRY_CAST(uplink_volume AS BIGINT) IS NOT NULL)
+    AND (trim(downlink_volume) = '' OR TRY_CAST(downlink_volume AS BIGINT) IS NOT NULL)),
+plan_usage AS (
+  SELECT TRY_CAST(rate_plan_product_id AS INTEGER) AS rate_plan_product_id, subscription_id, activity_seq
+  FROM mobile_data_activity WHERE TRY_CAST(rate_plan_product_id AS INTEGER) IS NOT NULL),
+sms_location AS (
+  SELECT subscription_id, called_location_cd AS location_cd FROM sms_record WHERE called_location_cd IS NOT NULL),
+voice_location AS (
+  SELECT subscription_id, called_location_cd AS location_cd FROM voice_call_record WHERE called_location_cd IS NOT NULL),
+parsed AS (
+  SELECT split_part(value, ',', 1) AS subscription_id, TRY_CAST(split_part(value, ',', 6) AS INTEGER) AS age
+  FROM subscriber WHERE TRY_CAST(split_part(value, ',', 6) AS INTEGER) IS NOT NULL),
+banded AS (
+  SELECT subscription_id, age,
+         CASE WHEN age >= 50 THEN '50_plus' WHEN age >= 30 THEN '30_50'
+              WHEN age >= 18 THEN '18_30' ELSE '18_less' END AS age_band
+  FROM parsed WHERE age >= 0),
+"""
+
+PRODUCTS = """
 first_plan AS (
   SELECT subscription_id, rate_plan_product_id FROM (
     SELECT subscription_id, rate_plan_product_id,
@@ -110,8 +167,13 @@ location_sub_named AS (
 """
 
 
-def _with(body: str) -> str:
-    return "WITH " + VIEWS.strip() + "\n" + body
+def _with(body: str, sources: str = SOURCES) -> str:
+    return "WITH " + sources.strip() + "\n" + PRODUCTS.strip() + "\n" + body
+
+
+def _dirty(sql: str) -> str:
+    """The same query over the dirty inputs."""
+    return sql.replace(SOURCES.strip(), DIRTY.strip())
 
 
 _N = {"keys": "count(*)", "records": "sum(n_records)",
@@ -208,7 +270,7 @@ WHERE rank <= {k}""")
 ACTIVITY = _with("""
 , ids AS (SELECT subscription_id FROM voice_call_record
           UNION SELECT subscription_id FROM sms_record
-          UNION SELECT subscription_id FROM mobile_data_activity)
+          UNION SELECT subscription_id FROM volumes)
 , v AS (SELECT subscription_id, min(actual_duration) AS mn, max(actual_duration) AS mx
         FROM voice_call_record GROUP BY 1)
 , s AS (SELECT subscription_id, count(*) AS n FROM sms_record GROUP BY 1)
@@ -225,6 +287,43 @@ LEFT JOIN v ON ids.subscription_id IS NOT DISTINCT FROM v.subscription_id
 LEFT JOIN s ON ids.subscription_id IS NOT DISTINCT FROM s.subscription_id
 LEFT JOIN d ON ids.subscription_id IS NOT DISTINCT FROM d.subscription_id
 """)
+ACTIVITY_LENIENT = _dirty(ACTIVITY).replace(
+    "SELECT CAST(ids.subscription_id AS BIGINT)", "SELECT TRY_CAST(ids.subscription_id AS BIGINT)") + \
+    "WHERE ids.subscription_id IS NULL OR TRY_CAST(ids.subscription_id AS BIGINT) IS NOT NULL"
+
+_BAD_PLAN = "rate_plan_product_id IS NOT NULL AND TRY_CAST(rate_plan_product_id AS INTEGER) IS NULL"
+ACTIVITY_REJECTS = """
+SELECT 'voice_call_record' AS source, subscription_id, subscription_id AS value,
+       'subscription_id is not an integer' AS reason
+FROM voice_call_record WHERE TRY_CAST(subscription_id AS BIGINT) IS NULL AND subscription_id IS NOT NULL
+UNION ALL
+SELECT 'sms_record', subscription_id, subscription_id, 'subscription_id is not an integer'
+FROM sms_record WHERE TRY_CAST(subscription_id AS BIGINT) IS NULL AND subscription_id IS NOT NULL
+UNION ALL
+SELECT 'mobile_data_activity', subscription_id, subscription_id, 'subscription_id is not an integer'
+FROM mobile_data_activity WHERE TRY_CAST(subscription_id AS BIGINT) IS NULL AND subscription_id IS NOT NULL
+UNION ALL
+SELECT 'mobile_data_activity', subscription_id,
+       coalesce(uplink_volume, 'NULL') || '|' || coalesce(downlink_volume, 'NULL'), 'volume is not an integer'
+FROM mobile_data_activity
+WHERE (TRY_CAST(subscription_id AS BIGINT) IS NOT NULL OR subscription_id IS NULL)
+  AND ((trim(uplink_volume) <> '' AND TRY_CAST(uplink_volume AS BIGINT) IS NULL)
+       OR (trim(downlink_volume) <> '' AND TRY_CAST(downlink_volume AS BIGINT) IS NULL))"""
+PLAN_REJECTS = f"""
+SELECT 'mobile_data_activity' AS source, subscription_id AS key, rate_plan_product_id AS value,
+       'rate_plan_product_id is not an integer' AS reason
+FROM mobile_data_activity WHERE {_BAD_PLAN}"""
+SUBSCRIBER_REJECTS = """
+SELECT value, CASE WHEN len(string_split(value, ',')) < 6 OR TRY_CAST(split_part(value, ',', 6) AS INTEGER) IS NULL
+                   THEN 'line has no integer age in field 5' ELSE 'negative age' END AS reason
+FROM subscriber
+WHERE len(string_split(value, ',')) < 6 OR TRY_CAST(split_part(value, ',', 6) AS INTEGER) IS NULL
+   OR TRY_CAST(split_part(value, ',', 6) AS INTEGER) < 0"""
+LOCATION_REJECTS = """
+SELECT 'sms' AS series, subscription_id, 'null location code' AS reason
+FROM sms_record WHERE called_location_cd IS NULL
+UNION ALL
+SELECT 'voice', subscription_id, 'null location code' FROM voice_call_record WHERE called_location_cd IS NULL"""
 
 
 def oracle_queries() -> dict[str, str]:
@@ -296,46 +395,40 @@ FROM volumes GROUP BY 1"""),
         "rank_positions": _with(_ranked(_counts("plan_named", "plan_name", "keys"), "plan_name")
                                 + "SELECT s AS series, CAST(rank AS BIGINT) AS rank, "
                                   "name_col AS plan_name FROM ranked"),
-        "schema_contract": network_activity("keys"),
-        # lenient mode: same results on clean data; rejects frames
-        "activity_snapshot_lenient": ACTIVITY,
-        "rate_plan_trends_lenient": rate_plan_trends("keys"),
-        "network_activity_lenient": network_activity("keys"),
-        "activity_rejects": _with("""
-, bad_volume AS (
-  SELECT subscription_id, uplink_volume, downlink_volume FROM mobile_data_activity
-  WHERE (uplink_volume IS NOT NULL AND trim(uplink_volume) <> ''
-         AND TRY_CAST(uplink_volume AS BIGINT) IS NULL)
-     OR (downlink_volume IS NOT NULL AND trim(downlink_volume) <> ''
-         AND TRY_CAST(downlink_volume AS BIGINT) IS NULL))
-, ids AS (SELECT subscription_id FROM voice_call_record
-          UNION ALL SELECT subscription_id FROM sms_record
-          UNION ALL SELECT subscription_id FROM mobile_data_activity)
-SELECT 'data_volume' AS source, subscription_id,
-       coalesce(uplink_volume, 'NULL') || '|' || coalesce(downlink_volume, 'NULL') AS value,
-       'volume is not an integer' AS reason
-FROM bad_volume
-UNION ALL
-SELECT DISTINCT 'snapshot', subscription_id, subscription_id, 'subscription_id is not an integer'
-FROM ids WHERE subscription_id IS NOT NULL AND TRY_CAST(subscription_id AS BIGINT) IS NULL"""),
-        "subscriber_rejects": _with("""
-SELECT value, 'line has no integer age in field 5' AS reason FROM subscriber
-WHERE value IS NULL OR len(string_split(value, ',')) < 6
-   OR TRY_CAST(split_part(value, ',', 6) AS INTEGER) IS NULL
-UNION ALL
-SELECT value, 'negative age' FROM subscriber
-WHERE len(string_split(value, ',')) >= 6 AND TRY_CAST(split_part(value, ',', 6) AS INTEGER) < 0"""),
-        "location_rejects": _with("""
-SELECT 'sms' AS series, subscription_id, 'null location code' AS reason
-FROM sms_location WHERE location_cd IS NULL
-UNION ALL
-SELECT 'voice', subscription_id, 'null location code' FROM voice_location WHERE location_cd IS NULL"""),
+        "schema_contract": ACTIVITY,
+        "varchar_truncate": "SELECT substr(c_name, 1, 15) AS c_name, count(*) AS n FROM customer GROUP BY 1",
+        # lenient mode over the dirty inputs
+        "activity_snapshot_lenient": ACTIVITY_LENIENT,
+        "rate_plan_trends_lenient": _dirty(rate_plan_trends("keys")),
+        "network_activity_lenient": _dirty(network_activity("keys")),
+        "activity_rejects": _dirty(_with(ACTIVITY_REJECTS)),
+        "plan_rejects": _dirty(_with(PLAN_REJECTS)),
+        "subscriber_rejects": _dirty(_with(SUBSCRIBER_REJECTS)),
+        "location_rejects": _dirty(_with(LOCATION_REJECTS)),
+        "plan_name_lookup_fallback": _dirty(_with("""
+SELECT rate_plan_product_id, plan_name, CAST(n_records AS BIGINT) AS n_records
+FROM plan_named WHERE series = 'all'""")),
+        "country_lookup_fallback": _dirty(_with("""
+SELECT location_cd, country, CAST(n_records AS BIGINT) AS n_records
+FROM location_named WHERE series = 'sms'""")),
+        "run_all_rejects": _dirty(_with(f"""
+, a AS ({ACTIVITY_REJECTS}), p AS ({PLAN_REJECTS}), s AS ({SUBSCRIBER_REJECTS}), l AS ({LOCATION_REJECTS})
+SELECT 'activity' AS product, source, subscription_id AS key, value, reason FROM a
+UNION ALL SELECT 'trends', source, key, value, reason FROM p
+UNION ALL SELECT 'trends', 'subscriber', NULL, value, reason FROM s
+UNION ALL SELECT 'network', CASE series WHEN 'sms' THEN 'sms_record' ELSE 'voice_call_record' END,
+                 subscription_id, NULL, reason FROM l""")),
         # sinks (round trips return what they wrote)
         "sink_activity_roundtrip": ACTIVITY,
         "sink_trend_roundtrip": rate_plan_trends("keys"),
         "sink_network_roundtrip": network_activity("keys"),
-        "sink_network_documents": network_activity("keys", NETWORK_DOCS, "Rank"),
+        "sink_network_documents": network_activity("keys", NETWORK_DOCS, "Rank").replace(
+            "SELECT CAST(rank AS BIGINT) AS Rank,", "SELECT 'run-' || rank AS _id, CAST(rank AS BIGINT) AS Rank,"),
     }
+    q |= {"read_rate_plan_documents": q["lookup_rate_plan"], "read_location_documents": q["lookup_location"],
+          "read_subscriber_lines": q["scan_subscriber_csv"], "read_activity_snapshot": ACTIVITY,
+          "run_all_activity": ACTIVITY, "run_all_trends": q["rate_plan_trends"],
+          "run_all_network": q["network_activity"]}
     for mode, suffix in (("keys", ""), ("records", "_records"), ("subscribers", "_subscribers")):
         n = _N[mode]
         plans, locations = _source("plan_named", mode), _source("location_named", mode)

@@ -74,6 +74,25 @@ def test_non_numeric_subscriber(spark):
     assert [r.value for r in activity_rejects(inp).collect()] == ["abc"]
 
 
+def test_one_row_per_numeric_id(spark):
+    inp = make_inputs(spark, voice=[("7", 3, "L1"), ("07", 9, "L1")], sms=[(" 7", "n", "L1")])
+    out = activity_snapshot(inp).collect()
+    assert [(r.subscription_id, r.shortest_call, r.longest_call, r.total_sms_sent) for r in out] == [(7, 3, 9, 1)]
+
+
+def test_rows_in_are_rows_used_and_rejects(spark):
+    inp = make_inputs(spark, voice=[("1", 3, "L1"), ("x", 1, "L1"), (None, 2, "L1")], sms=[("y", "n", "L1")],
+                      volume=[("1", "2", "3", 1, 1), ("1", "bad", "3", 1, 2), ("z", "1", "1", 1, 3), ("z", "bad", "1", 1, 4)])
+    bad = {s: [r for r in activity_rejects(inp).collect() if r.source == s]
+           for s in ("voice_call_record", "sms_record", "mobile_data_activity")}
+    assert [len(v) for v in bad.values()] == [1, 1, 3]
+    from usagelens.plans.activity import _with_id, clean_volumes
+    from usagelens.sources import scan
+    used = (_with_id(scan(inp, "voice_call"), LENIENT).count(), _with_id(scan(inp, "sms_rec"), LENIENT).count(),
+            _with_id(clean_volumes(inp, LENIENT), LENIENT).count())
+    assert used == (3 - 1, 1 - 1, 4 - 3)
+
+
 def test_output_schema_and_row_count_invariant(spark):
     inp = make_inputs(spark, voice=[("1", 1, "L"), ("2", 2, "L")], sms=[("2", "n", "L"), ("4", "n", "L")],
                       volume=[("3", "1", "1", 1, 1), ("1", "1", "1", 1, 2)])

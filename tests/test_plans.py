@@ -38,11 +38,10 @@ def test_activity_is_one_aggregate_over_pruned_scans(inputs):
 
 
 @pytest.mark.parametrize("product", [rate_plan_trends, network_activity])
-def test_ranked_products_use_window_group_limit_and_broadcast_lookup(inputs, product):
+def test_ranked_products_use_window_group_limit(inputs, product):
     plan = _plan(product(inputs))
     _no_python(plan)
     assert "WindowGroupLimit" in plan and "Partial" in plan
-    assert "BroadcastHashJoin" in plan
 
 
 def test_trend_overall_series_reads_only_plan_ids(inputs):
@@ -50,48 +49,44 @@ def test_trend_overall_series_reads_only_plan_ids(inputs):
     assert "ReadSchema: struct<l_partkey:bigint>" in plan
 
 
-def _logical(df) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain(extended=True)
-    return buf.getvalue().split("== Physical Plan ==")[0]
-
-
-def test_broadcast_hint_only_within_the_proven_bound(spark):
+def _lookup(spark, n):
     from conftest import make_inputs
     from usagelens.operators.lookups import lookup
-    inp = make_inputs(spark, sms=[("1", "n", "L1")], locations=[(f"L{i}", "EU") for i in range(20)])
+    inp = make_inputs(spark, sms=[("1", "n", f"L{i}") for i in range(50)], locations=[(f"L{i}", "EU") for i in range(n)])
     fact = inp.sms_record.select(inp.sms_record.called_location_cd.alias("location_cd"))
-    within = lookup(fact, inp.location, "location_cd", "country", max_broadcast_rows=20)
-    beyond = lookup(fact, inp.location, "location_cd", "country", max_broadcast_rows=19)
-    assert "strategy=broadcast" in _logical(within)
-    assert "strategy=broadcast" not in _logical(beyond)
-    assert [tuple(r) for r in beyond.collect()] == [("L1", "EU")]
+    return lookup(fact, inp.location, "location_cd", "country")
 
 
-def test_broadcast_bound_from_session_conf(spark):
-    from conftest import make_inputs
-    from usagelens.operators.lookups import MAX_BROADCAST_ROWS_CONF, lookup
-    inp = make_inputs(spark, sms=[("1", "n", "L1")], locations=[(f"L{i}", "EU") for i in range(5)])
-    fact = inp.sms_record.select(inp.sms_record.called_location_cd.alias("location_cd"))
-    spark.conf.set(MAX_BROADCAST_ROWS_CONF, "4")
+@pytest.mark.parametrize("threshold,join", [("1m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")])
+def test_lookup_join_follows_the_measured_size(spark, threshold, join):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set(keys[0], "-1")
+    spark.conf.set(keys[1], threshold)
     try:
-        assert "strategy=broadcast" not in _logical(lookup(fact, inp.location, "location_cd", "country"))
+        df = _lookup(spark, 20)
+        assert len(df.collect()) == 50
+        assert join in _plan(df).split("== Initial Plan ==")[0]
     finally:
-        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
-    assert "strategy=broadcast" in _logical(lookup(fact, inp.location, "location_cd", "country"))
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def test_broadcast_byte_bound(spark):
-    from conftest import make_inputs
-    from usagelens.operators.lookups import lookup, within_bound
-    inp = make_inputs(spark, sms=[("1", "n", "L1")],
-                      locations=[(f"L{i}", "X" * 100) for i in range(10)])
-    fact = inp.sms_record.select(inp.sms_record.called_location_cd.alias("location_cd"))
-    # 10 rows x (2-3 + 100 + 32) bytes ~ 1.35 kB
-    assert within_bound(inp.location, 10, 2000) and not within_bound(inp.location, 10, 1000)
-    assert not within_bound(inp.location, 9, 10 ** 9)
-    assert "strategy=broadcast" not in _logical(
-        lookup(fact, inp.location, "location_cd", "country", max_broadcast_bytes=1000))
-    assert "strategy=broadcast" in _logical(
-        lookup(fact, inp.location, "location_cd", "country", max_broadcast_bytes=2000))
+def test_no_job_runs_while_a_plan_is_built(spark, inputs):
+    spark.sparkContext.setJobGroup("plan-only", "building plans")
+    try:
+        for product in (activity_snapshot, rate_plan_trends, network_activity):
+            product(inputs)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")) == []
+        activity_snapshot(inputs).count()
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_subscribers_mode_reads_usage_once(spark, inputs):
+    from usagelens.operators.counting import SUBSCRIBERS
+    df = rate_plan_trends(inputs, SUBSCRIBERS)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert final.count("lineitem.parquet") == 1 and "ReusedExchange" in final

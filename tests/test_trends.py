@@ -90,11 +90,33 @@ def test_subscriber_plan_needs_both_sides_and_dedupes(spark):
     assert rows(trends.subscriber_plan_or_zero(inp)) == [(0, "C"), (5, "A"), (6, "B")]
 
 
-def test_long_ids_truncated_on_both_sides(spark):
-    long_id = "1234567890123456"
-    inp = make_inputs(spark, volume=[(long_id, "1", "1", 5, 1)], subscriber=[_line(long_id, 40)])
-    assert rows(trends.subscriber_plan(inp)) == [("30_50", 5, long_id[:15])]
-    assert trends.subscriber_plan(inp, truncate_ids=False).count() == 1
+def test_long_ids_stay_whole_unless_cut_on_both_sides(spark):
+    a, b = "subscriber-000001-a", "subscriber-000001-b"
+    inp = make_inputs(spark, volume=[(a, "1", "1", 5, 1), (b, "1", "1", 6, 2)],
+                      subscriber=[_line(a, 40), _line(b, 60)])
+    assert rows(trends.subscriber_plan(inp)) == [("30_50", 5, a), ("50_plus", 6, b)]
+    assert rows(trends.subscriber_plan(inp, truncate_ids=True)) == [("30_50", 5, a[:15]), ("50_plus", 5, a[:15])]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_plan_ids_that_are_no_integers(spark, ansi):
+    from usagelens.sources.inputs import UsageInputs
+    clean = make_inputs(spark, volume=[("s", "1", "1", 1, 1)])
+    usage = clean.mobile_data_activity.selectExpr("subscription_id", "uplink_volume", "downlink_volume",
+                                                  "explode(array('7', 'x', null)) AS rate_plan_product_id", "activity_seq")
+    plans = spark.createDataFrame([("7", "Gold"), ("y", "Bad"), (None, "None")], "rate_plan_product_id string, rate_plan_name string")
+    inp = UsageInputs(clean.voice_call_record, clean.sms_record, usage, clean.subscriber, plans, clean.location)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException):
+            trends.plan_usage(inp).collect()
+        assert rows(trends.plan_name_lookup(inp, mode=LENIENT)) == [(7, "Gold", 1), (None, "General Plan", 1)]
+        assert rows(trends.plan_rejects(inp)) == [
+            ("mobile_data_activity", "s", "x", "rate_plan_product_id is not an integer"),
+            ("rate_plan_product", "Bad", "y", "rate_plan_product_id is not an integer")]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_ties_break_by_name_in_both_directions(spark):
@@ -137,25 +159,24 @@ def test_empty_usage_gives_no_rows(spark):
     assert trends.top_plans(make_inputs(spark)).count() == 0
 
 
-def test_first_by_packing_is_exact_at_the_boundaries(spark):
+@pytest.mark.parametrize("kind,big", [("int", 2 ** 31 - 1), ("long", 2 ** 63 - 1)])
+def test_first_by_is_exact_at_the_extremes(spark, kind, big):
     from usagelens.operators.counting import first_by
-    big, small = 2 ** 63 - 1, -(2 ** 63)
+    small, first, last = -big - 1, -(2 ** 63), 2 ** 63 - 1
     data = [("a", small, 5), ("a", big, 5),            # tie on order -> smaller value
-            ("b", big, 0), ("b", 1, 2 ** 62 - 1),       # earliest order wins
+            ("b", big, first), ("b", 1, last),          # earliest order wins
             ("c", None, 3), ("c", 7, 3),                # null value sorts after a value
             ("f", None, 3),                             # ... but is still a value
             ("d", 4, None), ("d", 9, None),             # null order sorts last
-            ("e", 2, None)]
-    df = spark.createDataFrame(data, "k string, v long, o long")
+            ("g", 1, None), ("g", 2, last),
+            ("e", 2, None), ("h", 3, -1), ("h", 4, 0)]
+    df = spark.createDataFrame(data, f"k string, v {kind}, o long")
     got = dict(rows(first_by(df, "k", "v", "o")))
-    assert got == {"a": small, "b": big, "c": 7, "d": 4, "e": 2, "f": None}
+    assert got == {"a": small, "b": big, "c": 7, "d": 4, "e": 2, "f": None, "g": 2, "h": 3}
     # the generic (struct-ordered) path agrees on a non-integral value
     sdf = df.selectExpr("k", "cast(v as string) AS v", "o")
     assert dict(rows(first_by(sdf, "k", "v", "o"))) == {k: None if v is None else str(v)
                                                           for k, v in got.items()}
-    with pytest.raises(PySparkException):
-        first_by(spark.createDataFrame([("x", 1, -1)], "k string, v long, o long"),
-                 "k", "v", "o").collect()
 
 
 def test_subscribers_mode_counts_distinct_subscribers_per_name(spark):
@@ -169,14 +190,14 @@ def test_subscribers_mode_counts_distinct_subscribers_per_name(spark):
     assert rows(trends.plan_usage_counts(inp, RECORDS)) == [("General Plan", 1), ("X", 4)]
 
 
-def test_limit_applies_to_overall_and_band_series(spark):
-    # arrival 1..2 use plan 1 (subscribers a, b); later records use plan 2
-    usage = [("a", "1", "1", 1, 1), ("b", "1", "1", 1, 2), ("c", "1", "1", 2, 3),
-             ("a", "1", "1", 2, 4), ("d", "1", "1", 2, 5)]
-    subs = [_line(x, 40) for x in "abcd"]
-    inp = make_inputs(spark, volume=usage, subscriber=subs, plans=[(1, "P1"), (2, "P2")])
-    out = trends.rate_plan_trends(inp, RECORDS, limit=2).orderBy("rank").collect()
-    assert [r.top_five_plans_name_per_usage for r in out] == ["P1"]
-    assert [r.top5_plan_grouped30_50 for r in out] == ["P1"]
-    full = trends.rate_plan_trends(inp, RECORDS).orderBy("rank").collect()
-    assert [r.top5_plan_grouped30_50 for r in full] == ["P1", "P2"]  # 2 each, tie by name
+def test_subscribers_mode_equals_counts_from_records(spark):
+    from usagelens.operators.counting import SUBSCRIBERS
+    usage = [(f"s{i % 9}", "1", "1", i % 5, 100 - i) for i in range(60)] + [(None, "1", "1", 1, 3)]
+    subs = [_line(f"s{i}", 10 * i) for i in range(9)] + [_line("s1", 70)]
+    inp = make_inputs(spark, volume=usage, subscriber=subs, plans=[(i, f"P{i % 3}") for i in range(5)])
+    counts = {(r.series, r.plan_name): r.n for r in trends.per_name_counts(
+        trends._name_plans(trends._series_per_key(inp, "strict", False, SUBSCRIBERS), inp),
+        ["series"], "plan_name", SUBSCRIBERS).collect()}
+    want = {("all", r.plan_name): r.n for r in trends.plan_usage_counts(inp, SUBSCRIBERS).collect()}
+    want |= {(r.age_band, r.plan_name): r.n for r in trends.plan_by_age_counts(inp, SUBSCRIBERS).collect()}
+    assert counts == want

@@ -8,7 +8,7 @@ subscriber file and two catalogues (rate plans, locations):
 * ``plans.network.network_activity``    — top / least five countries (P3)
 
 Everything is expressed with the DataFrame API so Catalyst plans it:
-partial aggregation before every shuffle, size-checked broadcast lookups,
+partial aggregation before every shuffle, lookups whose join AQE picks by size,
 ``WindowGroupLimit`` top-k, one pivot per product.
 """
 

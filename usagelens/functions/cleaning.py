@@ -42,6 +42,22 @@ def truncate_id(c, width: int = ID_WIDTH) -> Column:
     return F.substring(_col(c).cast("string"), 1, width)
 
 
+def integer_id(c, mode: str = STRICT, to: str = "int") -> Column:
+    """An id as a number; null stays null.  strict: any other value fails
+    the job, whatever the session's ANSI setting.  lenient: it becomes null
+    (select it with ``id_is_bad``)."""
+    check_mode(mode)
+    v = _col(c)
+    parsed = v.try_cast(to)
+    if mode == LENIENT:
+        return parsed
+    return F.when(v.isNotNull(), F.coalesce(parsed, _fail("id is not an integer: ", v)))
+
+
+def id_is_bad(c, to: str = "int") -> Column:
+    return _col(c).isNotNull() & _col(c).try_cast(to).isNull()
+
+
 # ---------------------------------------------------------------- volumes
 def clean_volume(c, mode: str = STRICT) -> Column:
     """Text volume -> long.  Exactly one space means zero.

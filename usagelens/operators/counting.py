@@ -56,31 +56,27 @@ def per_name_counts(per_key: DataFrame, group_cols: list[str], name_col: str,
     return per_key.groupBy(*group_cols, name_col).agg(n.cast("long").alias("n"))
 
 
-# Integral (order, value) pairs are packed into one DECIMAL(38,0) whose
-# minimum is the lexicographic minimum of the pair.  A decimal buffer is
-# fixed-width, so Spark keeps a hash aggregate (partial + final); ordering
-# by a struct would fall back to a sort-based aggregate of every row.
-#   key    = order' * (2^64 + 1) + value'
-#   order' = order, required in [0, 2^62); a null order -> 2^62 (last)
-#   value' = value + 2^63, in [0, 2^64); a null value -> 2^64 (last)
-# The largest key is below 2^126 + 2^65 < 10^38, so the packing is exact.
-_ORDER_LIMIT = "4611686018427387904"      # 2^62
-_VALUE_SHIFT = "9223372036854775808"      # 2^63
-_NULL_VALUE = "18446744073709551616"      # 2^64
-_BASE = "18446744073709551617"            # 2^64 + 1
-_INTEGRAL = (LongType, IntegerType, ShortType, ByteType)
+# An integral order and a value of at most 32 bits are packed into one
+# DECIMAL(38,0) whose minimum is the lexicographic minimum of the pair.  A
+# decimal buffer is fixed-width, so Spark keeps a hash aggregate (partial +
+# final); ordering by a struct would fall back to a sort-based aggregate.
+#   key    = order' * (2^32 + 1) + value'
+#   order' = order + 2^63, in [0, 2^64); a null order -> 2^64 (last)
+#   value' = value + 2^31, in [0, 2^32); a null value -> 2^32 (last)
+# The largest key is below 2^97 < 10^38, so every pair packs exactly.
+_ORDER_SHIFT, _NULL_ORDER = 2 ** 63, 2 ** 64
+_VALUE_SHIFT, _NULL_VALUE = 2 ** 31, 2 ** 32
+_BASE = 2 ** 32 + 1
+_NARROW = (IntegerType, ShortType, ByteType)
+_INTEGRAL = (LongType, *_NARROW)
 
 
-def _dec(literal: str) -> Column:
-    return F.expr(f"CAST({literal} AS DECIMAL(38,0))")
+def _dec(value: int) -> Column:
+    return F.expr(f"CAST({value} AS DECIMAL(38,0))")
 
 
 def _packed(value: Column, order: Column) -> Column:
-    order_ = (F.when(order.isNull(), _dec(_ORDER_LIMIT))
-               .when((order < 0) | (order >= F.lit(2 ** 62)),
-                     F.raise_error(F.concat(F.lit("arrival order out of [0, 2^62): "),
-                                            order.cast("string"))).cast("decimal(38,0)"))
-               .otherwise(order.cast("decimal(38,0)")))
+    order_ = F.when(order.isNull(), _dec(_NULL_ORDER)).otherwise(order.cast("decimal(38,0)") + _dec(_ORDER_SHIFT))
     value_ = F.when(value.isNull(), _dec(_NULL_VALUE)).otherwise(value.cast("decimal(38,0)") + _dec(_VALUE_SHIFT))
     return (order_ * _dec(_BASE) + value_).cast("decimal(38,0)")
 
@@ -96,7 +92,7 @@ def first_by(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
     aggregate, not a window: a hot key is reduced map-side instead of
     being sorted in one task."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    if isinstance(types[value], _INTEGRAL) and isinstance(types[order], _INTEGRAL):
+    if isinstance(types[value], _NARROW) and isinstance(types[order], _INTEGRAL):
         return df.groupBy(key).agg(
             _unpacked(F.min(_packed(F.col(value), F.col(order))), types[value]).alias(value))
     ordering = F.struct(F.col(order).isNull(), F.col(order), F.col(value).isNull(), F.col(value))

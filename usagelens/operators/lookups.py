@@ -1,4 +1,4 @@
-"""Catalogue lookups: dedupe, size-checked broadcast, left join from the fact.
+"""Catalogue lookups: dedupe, then a left join from the fact.
 
 The original co-group of a fact with a catalogue keeps only keys present
 in the fact and takes the *first* catalogue value of a key.  Here:
@@ -6,13 +6,12 @@ in the fact and takes the *first* catalogue value of a key.  Here:
 * ``dedupe_catalogue`` keeps one value per key (the smallest, so the
   choice is deterministic) and drops null keys, which can match nothing;
   it is a partial + final aggregate.
-* ``within_bound`` proves a catalogue has at most ``max_rows`` rows and
-  ``max_bytes`` of (key, value) data, reading at most ``max_rows + 1``
-  rows (a limit that stops early).  Only then is the lookup side marked
-  for broadcast; beyond the bound the join stays a shuffle join, which AQE
-  may still turn into a broadcast once it has measured the real size.
 * ``lookup`` joins fact -> catalogue as a left outer join, so every fact
-  key survives and unknown keys get a fallback label downstream.
+  key survives and unknown keys get a fallback label downstream.  Nothing is
+  forced: adaptive execution knows the exact size of the deduplicated side
+  once its aggregate has run, and broadcasts it if it is below
+  ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that the join
+  stays a shuffle join whose skewed partitions are split.
 """
 
 from __future__ import annotations
@@ -20,71 +19,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Size of a (key, name) catalogue that may be shipped to every executor.
-# Sessions can set their own bounds with the two conf keys below.
-MAX_BROADCAST_ROWS = 500_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_BROADCAST_ROWS_CONF = "usagelens.lookup.maxBroadcastRows"
-MAX_BROADCAST_BYTES_CONF = "usagelens.lookup.maxBroadcastBytes"
-ROW_OVERHEAD_BYTES = 32  # hashed-relation entry + row header, per row
-
 
 def dedupe_catalogue(catalogue: DataFrame, key: str, value: str) -> DataFrame:
     return (catalogue.where(F.col(key).isNotNull())
             .groupBy(key).agg(F.min(value).alias(value)))
 
 
-def within_bound(df: DataFrame, max_rows: int, max_bytes: int) -> bool:
-    """At most ``max_rows`` rows and ``max_bytes`` bytes (text length of
-    every column plus a per-row overhead), reading at most max_rows + 1 rows."""
-    width = F.lit(ROW_OVERHEAD_BYTES)
-    for c in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
-    n, size = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return n <= max_rows and size <= max_bytes
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-# Results of the bound check per catalogue DataFrame object.  A DataFrame
-# is an immutable plan whose file listing is fixed when it is created, so
-# its size does not change while the object lives.
-_BOUNDS: dict[tuple, tuple[DataFrame, bool]] = {}
-
-
-def catalogue_is_small(catalogue: DataFrame, key: str, value: str,
-                       max_rows: int, max_bytes: int) -> bool:
-    memo_key = (id(catalogue), key, value, max_rows, max_bytes)
-    hit = _BOUNDS.get(memo_key)
-    if hit is None or hit[0] is not catalogue:
-        hit = (catalogue, within_bound(catalogue.select(key, value), max_rows, max_bytes))
-        _BOUNDS[memo_key] = hit
-    return hit[1]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` if ``df`` is within the bound, else ``df`` unchanged."""
-    return F.broadcast(df) if within_bound(df, max_rows, max_bytes) else df
-
-
-def _conf_int(df: DataFrame, key: str, default: int) -> int:
-    return int(df.sparkSession.conf.get(key, str(default)))
-
-
-def lookup(fact: DataFrame, catalogue: DataFrame, key: str, value: str,
-           max_broadcast_rows: int | None = None,
-           max_broadcast_bytes: int | None = None) -> DataFrame:
-    """``fact ⟕ dedupe(catalogue)`` on ``key``; adds column ``value``
-    (null where the catalogue has no entry).  The raw catalogue is bounded,
-    so the (smaller) deduplicated side is bounded too."""
-    if max_broadcast_rows is None:
-        max_broadcast_rows = _conf_int(catalogue, MAX_BROADCAST_ROWS_CONF, MAX_BROADCAST_ROWS)
-    if max_broadcast_bytes is None:
-        max_broadcast_bytes = _conf_int(catalogue, MAX_BROADCAST_BYTES_CONF, MAX_BROADCAST_BYTES)
-    deduped = dedupe_catalogue(catalogue.select(key, value), key, value)
-    small = catalogue_is_small(catalogue, key, value, max_broadcast_rows, max_broadcast_bytes)
-    return fact.join(F.broadcast(deduped) if small else deduped, key, "left")
+def lookup(fact: DataFrame, catalogue: DataFrame, key: str, value: str) -> DataFrame:
+    """``fact`` left-joined with ``dedupe(catalogue)`` on ``key``; adds column
+    ``value`` (null where the catalogue has no entry)."""
+    return fact.join(dedupe_catalogue(catalogue.select(key, value), key, value), key, "left")

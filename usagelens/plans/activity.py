@@ -5,7 +5,8 @@ longest call, SMS count, total uplink and downlink volume; a fact the
 subscriber has no record in contributes 0.
 
 Plan: the three projections are unioned and aggregated by ONE
-``groupBy(subscription_id)`` — partial aggregation in every scan task,
+``groupBy(subscription_id)``, the id being a number by then (so ``7`` and
+``07`` are one subscriber and the shuffle key is narrow) — partial aggregation in every scan task,
 one shuffle of per-task partials, one final aggregation.  A hot
 subscriber therefore costs one partial row per task, not a skewed
 partition, and the five-way merge needs no join at all (null
@@ -17,10 +18,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions.cleaning import LENIENT, STRICT, check_mode, clean_volume, volume_is_bad
+from usagelens.functions.cleaning import (
+    LENIENT, STRICT, check_mode, clean_volume, id_is_bad, integer_id, volume_is_bad,
+)
 from usagelens.schemas import ACTIVITY_SNAPSHOT
 from usagelens.sources import UsageInputs, scan
 
+BAD_ID = "subscription_id is not an integer"
+BAD_VOLUME = "volume is not an integer"
+
+
 def _null_long():
     return F.lit(None).cast("long")
 
@@ -54,24 +61,22 @@ def volume_totals(inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
                  F.sum("downlink_volume").alias("total_downlink_vol")))
 
 
-def _subscriber_id(mode: str):
-    sid = F.col("subscription_id")
-    if mode == STRICT:
-        return F.when(sid.isNull(), _null_long()).otherwise(
-            F.coalesce(sid.try_cast("long"),
-                       F.raise_error(F.concat(F.lit("subscription_id is not an integer: "), sid))))
-    return sid.try_cast("long")
+def _with_id(df: DataFrame, mode: str) -> DataFrame:
+    """Subscriber ids as numbers; lenient mode leaves out records whose id is none."""
+    if mode == LENIENT:
+        df = df.where(~id_is_bad("subscription_id", "long"))
+    return df.withColumn("subscription_id", integer_id("subscription_id", mode, "long"))
 
 
 def activity_snapshot(inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
     check_mode(mode)
-    calls = scan(inputs, "voice_call").select(
+    calls = _with_id(scan(inputs, "voice_call"), mode).select(
         "subscription_id", F.col("actual_duration").cast("long").alias("duration"),
         F.lit(0).alias("sms"), _null_long().alias("uplink"), _null_long().alias("downlink"))
-    sms = scan(inputs, "sms_rec").select(
+    sms = _with_id(scan(inputs, "sms_rec"), mode).select(
         "subscription_id", _null_long().alias("duration"),
         F.lit(1).alias("sms"), _null_long().alias("uplink"), _null_long().alias("downlink"))
-    volumes = clean_volumes(inputs, mode).select(
+    volumes = _with_id(clean_volumes(inputs, mode), mode).select(
         "subscription_id", _null_long().alias("duration"), F.lit(0).alias("sms"),
         F.col("uplink_volume").alias("uplink"), F.col("downlink_volume").alias("downlink"))
 
@@ -82,13 +87,9 @@ def activity_snapshot(inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
         F.sum("uplink").alias("total_uplink_vol"),
         F.sum("downlink").alias("total_downlink_vol"))
 
-    if mode == LENIENT:
-        sid = F.col("subscription_id")
-        per_subscriber = per_subscriber.where(sid.isNull() | sid.try_cast("long").isNotNull())
-
     zero = F.lit(0).cast("long")
     out = per_subscriber.select(
-        _subscriber_id(mode).alias("subscription_id"),
+        "subscription_id",
         *[F.coalesce(F.col(c).cast("long"), zero).alias(c)
           for c in ("shortest_call", "longest_call", "total_sms_sent",
                     "total_uplink_vol", "total_downlink_vol")])
@@ -96,19 +97,18 @@ def activity_snapshot(inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
 
 
 def activity_rejects(inputs: UsageInputs) -> DataFrame:
-    """Rows lenient mode keeps out of the snapshot, with a reason:
-    unparsable volumes and non-numeric subscriber ids."""
-    vol = scan(inputs, "data_volume")
-    bad_volume = vol.where(volume_is_bad("uplink_volume") | volume_is_bad("downlink_volume")).select(
-        F.lit("data_volume").alias("source"), "subscription_id",
-        F.concat_ws("|", F.coalesce("uplink_volume", F.lit("NULL")),
-                    F.coalesce("downlink_volume", F.lit("NULL"))).alias("value"),
-        F.lit("volume is not an integer").alias("reason"))
-    ids = (scan(inputs, "voice_call").select("subscription_id")
-           .unionByName(scan(inputs, "sms_rec").select("subscription_id"))
-           .unionByName(vol.select("subscription_id")))
-    sid = F.col("subscription_id")
-    bad_id = (ids.where(sid.isNotNull() & sid.try_cast("long").isNull()).distinct()
-              .select(F.lit("snapshot").alias("source"), "subscription_id",
-                      sid.alias("value"), F.lit("subscription_id is not an integer").alias("reason")))
-    return bad_volume.unionByName(bad_id)
+    """(source, subscription_id, value, reason): a row for every record that
+    lenient mode keeps out of the snapshot.  Each source is read once."""
+    bad_id = F.when(id_is_bad("subscription_id", "long"), BAD_ID)
+    bad_volume = F.when(volume_is_bad("uplink_volume") | volume_is_bad("downlink_volume"), BAD_VOLUME)
+    volumes = F.concat_ws("|", F.coalesce("uplink_volume", F.lit("NULL")),
+                          F.coalesce("downlink_volume", F.lit("NULL")))
+    out = None
+    for source, name, reason in (("voice_call_record", "voice_call", bad_id), ("sms_record", "sms_rec", bad_id),
+                                 ("mobile_data_activity", "data_volume", F.coalesce(bad_id, bad_volume))):
+        value = F.when(F.col("reason") == BAD_ID, F.col("subscription_id"))
+        value = value.otherwise(volumes) if name == "data_volume" else value
+        bad = (scan(inputs, name).withColumn("reason", reason).where("reason is not null")
+               .select(F.lit(source).alias("source"), "subscription_id", value.alias("value"), "reason"))
+        out = bad if out is None else out.unionByName(bad)
+    return out

@@ -6,6 +6,8 @@ Outputs (all optional keys of ``outputs``):
 * ``trends``         — warehouse folder/table for P2 (overwrite)
 * ``network``        — warehouse folder/table for P3 (overwrite)
 * ``network_docs``   — document collection for P3 (append, as the original)
+* ``rejects``        — what lenient mode left out (overwrite); lenient mode
+  needs it, so no record goes unseen
 
 A value is a path, or ``{"table": name, "path": optional location}``.
 When both P3 outputs are requested, the documents are made from the
@@ -16,7 +18,7 @@ Command line (the original job took its options the same way):
 
     python -m usagelens.plans.run_all --voice P --sms P --volume P \\
         --subscriber P --rate-plans P --locations P --out DIR [--lenient] [--count-mode M]
-        [--scan-limit N]
+        [--truncate-ids]
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ from usagelens.functions.cleaning import LENIENT, STRICT
 from usagelens.operators.counting import COUNT_MODES, KEYS
 from usagelens.plans.activity import activity_snapshot
 from usagelens.plans.network import network_activity
+from usagelens.plans.rejects import rejects
 from usagelens.plans.trends import rate_plan_trends
-from usagelens.schemas import ACTIVITY_SNAPSHOT, NETWORK_ACTIVITY, RATE_PLAN_TRENDS
+from usagelens.schemas import ACTIVITY_SNAPSHOT, NETWORK_ACTIVITY, RATE_PLAN_TRENDS, REJECTS
 from usagelens.sinks.documents import to_documents, write_documents
 from usagelens.sinks.warehouse import read_table, write_table
 from usagelens.session import checkpoint_dir
@@ -45,14 +48,15 @@ def _target(spec) -> dict:
 
 
 def run_all(inputs: UsageInputs, outputs: dict, mode: str = STRICT, count_mode: str = KEYS,
-            truncate_ids: bool = True, docs_mode: str = "append",
-            materialize_inputs: bool = False, scan_limit: int | None = None) -> None:
-    """Write the requested products.  ``scan_limit`` reproduces the
-    original's "first n rows" scans of P2/P3 (taken in arrival / key order,
-    off by default).  ``materialize_inputs`` first writes
+            truncate_ids: bool = False, docs_mode: str = "append",
+            materialize_inputs: bool = False, run_id: str | None = None) -> None:
+    """Write the requested products.  ``run_id`` goes into the document ids
+    (a fresh one by default).  ``materialize_inputs`` first writes
     derived inputs (e.g. the test-data adapter's joins) once under the
     shared checkpoint folder and reads them back, so the three products do
     not each recompute them and their lineage starts at stored files."""
+    if mode == LENIENT and "rejects" not in outputs:
+        raise ValueError("lenient mode leaves records out: give it a 'rejects' output")
     if materialize_inputs:
         spark = inputs.voice_call_record.sparkSession
         root = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{uuid.uuid4().hex}"
@@ -60,16 +64,19 @@ def run_all(inputs: UsageInputs, outputs: dict, mode: str = STRICT, count_mode:
     if "activity" in outputs:
         write_table(activity_snapshot(inputs, mode), ACTIVITY_SNAPSHOT, **_target(outputs["activity"]))
     if "trends" in outputs:
-        trends = rate_plan_trends(inputs, count_mode, mode, truncate_ids, limit=scan_limit)
+        trends = rate_plan_trends(inputs, count_mode, mode, truncate_ids)
         write_table(trends, RATE_PLAN_TRENDS, num_files=1, **_target(outputs["trends"]))
     if "network" in outputs or "network_docs" in outputs:
-        network = network_activity(inputs, count_mode, mode, truncate_ids, limit=scan_limit)
+        network = network_activity(inputs, count_mode, mode, truncate_ids)
         if "network" in outputs:
             target = _target(outputs["network"])
             write_table(network, NETWORK_ACTIVITY, num_files=1, **target)
             network = read_table(network.sparkSession, NETWORK_ACTIVITY, **target)
         if "network_docs" in outputs:
-            write_documents(to_documents(network), outputs["network_docs"], mode=docs_mode)
+            write_documents(to_documents(network, run_id or uuid.uuid4().hex), outputs["network_docs"],
+                            mode=docs_mode, num_files=1)
+    if mode == LENIENT:
+        write_table(rejects(inputs), REJECTS, **_target(outputs["rejects"]))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -80,8 +87,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lenient", action="store_true")
     parser.add_argument("--count-mode", default=KEYS, choices=COUNT_MODES)
     parser.add_argument("--docs-mode", default="append", choices=("append", "overwrite"))
-    parser.add_argument("--scan-limit", type=int, default=None,
-                        help="first n usage / location records for P2 and P3 (default: all)")
+    parser.add_argument("--truncate-ids", action="store_true",
+                        help="cut ids to 15 characters in P2 and P3, as the original's scans did")
+    parser.add_argument("--run-id", default=None, help="prefix of the document ids (default: a fresh one)")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("usagelens-run-all").getOrCreate()
     inputs = load_inputs_from_paths(spark, {
@@ -90,10 +98,10 @@ def main(argv: list[str] | None = None) -> None:
         "rate_plan_product": args.rate_plans, "location": args.locations,
     }, fact_format=args.fact_format)
     out = args.out.rstrip("/")
-    run_all(inputs, {name: os.path.join(out, name)
-                     for name in ("activity", "trends", "network", "network_docs")},
+    names = ["activity", "trends", "network", "network_docs", *["rejects"] * args.lenient]
+    run_all(inputs, {name: os.path.join(out, name) for name in names},
             mode=LENIENT if args.lenient else STRICT, count_mode=args.count_mode,
-            docs_mode=args.docs_mode, scan_limit=args.scan_limit)
+            truncate_ids=args.truncate_ids, docs_mode=args.docs_mode, run_id=args.run_id)
 
 
 if __name__ == "__main__":

@@ -1,36 +1,41 @@
 """P2 — rate-plan trends: top-5 and least-5 plan names by usage, overall
 and per age band (10 ranked lists merged on rank).
 
-Plan (one pass per input, no per-band branches):
+Plan (usage is read twice, no per-band branches):
 
 1. usage ``sub_rec`` -> per plan id record counts (partial aggregate).
-2. subscriber CSV -> (subscriber, age band), deduplicated.
-3. usage -> first plan per subscriber by arrival (``min_by`` aggregate,
-   so a subscriber with a third of all rows is reduced map-side).
-4. (2) ⋈ (3) on subscriber -> per (band, plan id) subscriber counts.
-5. (1) ∪ (4) tagged by series -> ONE lookup join with the deduplicated,
-   size-checked catalogue (rows = distinct plan ids, not usage rows).
+2. subscriber CSV -> (subscriber, mask of age bands), deduplicated.
+3. usage -> first plan per subscriber by arrival (an aggregate, so a
+   subscriber with a third of all rows is reduced map-side).
+4. (2) join (3) on subscriber -> per (band, plan id) subscriber counts.
+5. (1) union (4) tagged by series -> ONE lookup join with the deduplicated
+   catalogue (rows = distinct plan ids, not usage rows).
 6. per (series, name) counts in the chosen counting mode, top/least 5
    per series via ``WindowGroupLimit``, one pivot on rank.
+
+In ``subscribers`` mode both series come from one aggregate of usage by
+(plan, subscriber), so usage is read once there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import dataclasses
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions.cleaning import (
-    LENIENT, STRICT, age_band, age_is_bad, check_mode, subscriber_fields,
+    LENIENT, STRICT, age_band, age_is_bad, check_mode, id_is_bad, subscriber_fields,
     subscriber_line_is_bad, truncate_id,
 )
 from usagelens.functions.labels import plan_label
 from usagelens.operators.counting import (
-    KEYS, first_by, key_columns, per_key_counts, per_name_counts,
+    KEYS, SUBSCRIBERS, first_by, key_columns, per_key_counts, per_name_counts,
 )
 from usagelens.operators.lookups import lookup
 from usagelens.operators.ranking import merge_ranks, top_and_least, top_k
 from usagelens.schemas import AGE_BANDS, GENERAL_PLAN, RATE_PLAN_TRENDS, TREND_COLUMNS
-from usagelens.sources import UsageInputs, scan
+from usagelens.sources import UsageInputs, plan_catalogue, scan
 
 PLAN_ID = "rate_plan_product_id"
 PLAN_NAME = "plan_name"
@@ -44,10 +49,25 @@ SERIES_COLUMNS = dict(zip(
 
 
 # ---------------------------------------------------------------- inputs
-def plan_usage(inputs: UsageInputs, truncate_ids: bool = True,
-               limit: int | None = None) -> DataFrame:
-    """(rate_plan_product_id, subscription_id, activity_seq)."""
-    return scan(inputs, "sub_rec", limit=limit, truncate_ids=truncate_ids)
+def plan_usage(inputs: UsageInputs, truncate_ids: bool = False, mode: str = STRICT) -> DataFrame:
+    """(rate_plan_product_id, subscription_id, activity_seq); lenient mode
+    leaves out records whose plan id is no integer."""
+    if mode == LENIENT:
+        usage = inputs.mobile_data_activity
+        inputs = dataclasses.replace(inputs, mobile_data_activity=usage.where(~id_is_bad(PLAN_ID)))
+    return scan(inputs, "sub_rec", truncate_ids=truncate_ids, mode=mode)
+
+
+def plan_rejects(inputs: UsageInputs) -> DataFrame:
+    """(source, key, value, reason): plan ids lenient mode leaves out, of
+    usage records and of catalogue documents."""
+    bad = id_is_bad(PLAN_ID)
+    reason = F.lit("rate_plan_product_id is not an integer").alias("reason")
+    value = F.col(PLAN_ID).cast("string").alias("value")
+    usage = inputs.mobile_data_activity.where(bad).select(
+        F.lit("mobile_data_activity").alias("source"), F.col("subscription_id").alias("key"), value, reason)
+    return usage.unionByName(inputs.rate_plan_product.where(bad).select(
+        F.lit("rate_plan_product").alias("source"), F.col("rate_plan_name").cast("string").alias("key"), value, reason))
 
 
 def parse_subscribers(inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
@@ -60,7 +80,7 @@ def parse_subscribers(inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
 
 
 def subscriber_age_bands(inputs: UsageInputs, mode: str = STRICT,
-                         truncate_ids: bool = True) -> DataFrame:
+                         truncate_ids: bool = False) -> DataFrame:
     """(subscription_id, age, age_band) for every parsed line."""
     subs = parse_subscribers(inputs, mode)
     if mode == LENIENT:
@@ -70,86 +90,115 @@ def subscriber_age_bands(inputs: UsageInputs, mode: str = STRICT,
 
 
 def subscriber_rejects(inputs: UsageInputs) -> DataFrame:
-    """Lines lenient mode leaves out: unparsable lines and negative ages."""
-    lines = inputs.subscriber
-    bad_line = lines.where(subscriber_line_is_bad("value")).select(
-        "value", F.lit("line has no integer age in field 5").alias("reason"))
-    sub, age = subscriber_fields("value", LENIENT)
-    bad_age = (lines.where(~subscriber_line_is_bad("value")).where(age_is_bad(age))
-               .select("value", F.lit("negative age").alias("reason")))
-    return bad_line.unionByName(bad_age)
+    """Lines lenient mode leaves out: unparsable lines and negative ages.
+    The file is read once."""
+    _, age = subscriber_fields("value", LENIENT)
+    reason = (F.when(subscriber_line_is_bad("value"), "line has no integer age in field 5")
+              .when(age_is_bad(age), "negative age"))
+    return inputs.subscriber.withColumn("reason", reason).where("reason is not null").select("value", "reason")
 
 
 # ---------------------------------------------------------------- joins and counts
-def first_plan_per_subscriber(inputs: UsageInputs, truncate_ids: bool = True,
-                              limit: int | None = None) -> DataFrame:
+def first_plan_per_subscriber(inputs: UsageInputs, truncate_ids: bool = False,
+                              mode: str = STRICT) -> DataFrame:
     """(subscription_id, rate_plan_product_id): the plan of each
     subscriber's first usage record by arrival order."""
-    return first_by(plan_usage(inputs, truncate_ids, limit), "subscription_id", PLAN_ID,
-                    "activity_seq")
+    return first_by(plan_usage(inputs, truncate_ids, mode), "subscription_id", PLAN_ID, "activity_seq")
+
+
+def _subscriber_bands(inputs: UsageInputs, mode: str, truncate_ids: bool) -> DataFrame:
+    """(subscription_id, age_bands): the bands the file gives a subscriber,
+    gathered as a bit mask so the aggregate stays a hash aggregate."""
+    bit = F.lit(0)
+    for i, band in enumerate(AGE_BANDS):
+        bit = F.when(F.col("age_band") == band, F.lit(1 << i)).otherwise(bit)
+    names = F.array_compact(F.array(*[F.when(F.col("bands").bitwiseAND(F.lit(1 << i)) != 0, F.lit(band))
+                                      for i, band in enumerate(AGE_BANDS)]))
+    return (subscriber_age_bands(inputs, mode, truncate_ids)
+            .groupBy("subscription_id").agg(F.bit_or(bit).alias("bands"))
+            .select("subscription_id", names.alias("age_bands")))
+
+
+def _banded(first: DataFrame, inputs: UsageInputs, mode: str, truncate_ids: bool) -> DataFrame:
+    """First plans joined with the subscribers' bands: (age_band, plan id,
+    subscription_id), a subscriber once per band even if the file repeats them."""
+    # Grouping by subscriber alone leaves both join
+    # sides hash-partitioned on subscription_id, so the sort-merge join at
+    # scale needs no further shuffle of either side.
+    return (_subscriber_bands(inputs, mode, truncate_ids).join(first, "subscription_id", "inner")
+            .select(F.explode("age_bands").alias("age_band"), PLAN_ID, "subscription_id"))
 
 
-def subscriber_plan(inputs: UsageInputs, mode: str = STRICT,
-                    truncate_ids: bool = True, limit: int | None = None) -> DataFrame:
+def subscriber_plan(inputs: UsageInputs, mode: str = STRICT, truncate_ids: bool = False) -> DataFrame:
     """(age_band, rate_plan_product_id, subscription_id) for subscribers
-    that have both an age and a usage record (inner join); a subscriber
-    appears once per band even if the file repeats them."""
-    # Grouping by subscriber alone (the band set holds at most 4 values)
-    # leaves both join sides hash-partitioned on subscription_id, so the
-    # sort-merge join at scale needs no further shuffle of either side.
-    bands = (subscriber_age_bands(inputs, mode, truncate_ids)
-             .groupBy("subscription_id").agg(F.collect_set("age_band").alias("age_bands")))
-    first = first_plan_per_subscriber(inputs, truncate_ids, limit)
-    return (bands.join(first, "subscription_id", "inner")
-            .select(F.explode("age_bands").alias("age_band"), PLAN_ID, "subscription_id"))
+    that have both an age and a usage record (inner join)."""
+    return _banded(first_plan_per_subscriber(inputs, truncate_ids, mode), inputs, mode, truncate_ids)
 
 
 def subscriber_plan_or_zero(inputs: UsageInputs, mode: str = STRICT,
-                            truncate_ids: bool = True) -> DataFrame:
+                            truncate_ids: bool = False) -> DataFrame:
     """(rate_plan_product_id, subscription_id) for every subscriber seen in
     usage or in the subscriber file: the first plan, or 0 without usage.
     A union + groupBy merges the two sides null-safely, like a co-group."""
-    first = first_plan_per_subscriber(inputs, truncate_ids).select(
+    first = first_plan_per_subscriber(inputs, truncate_ids, mode).select(
         "subscription_id", PLAN_ID, F.lit(True).alias("has_usage"))
     subs = subscriber_age_bands(inputs, mode, truncate_ids).select(
-        "subscription_id", F.lit(None).cast("long").alias(PLAN_ID), F.lit(False).alias("has_usage"))
+        "subscription_id", F.lit(None).cast("int").alias(PLAN_ID), F.lit(False).alias("has_usage"))
     merged = first.unionByName(subs).groupBy("subscription_id").agg(
         F.max(PLAN_ID).alias(PLAN_ID), F.max("has_usage").alias("has_usage"))
     return merged.select(
-        F.when(F.col("has_usage"), F.col(PLAN_ID)).otherwise(F.lit(0).cast("long")).alias(PLAN_ID),
+        F.when(F.col("has_usage"), F.col(PLAN_ID)).otherwise(F.lit(0)).alias(PLAN_ID),
         "subscription_id")
 
 
-def _name_plans(per_key: DataFrame, inputs: UsageInputs) -> DataFrame:
-    named = lookup(per_key, inputs.rate_plan_product, PLAN_ID, "rate_plan_name")
+def _name_plans(per_key: DataFrame, inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
+    named = lookup(per_key, plan_catalogue(inputs, mode), PLAN_ID, "rate_plan_name")
     return named.withColumn(PLAN_NAME, plan_label("rate_plan_name")).drop("rate_plan_name")
 
 
-def _series_per_key(inputs: UsageInputs, mode: str, truncate_ids: bool,
-                    limit: int | None, count_mode: str) -> DataFrame:
+def _series_per_key(inputs: UsageInputs, mode: str, truncate_ids: bool, count_mode: str) -> DataFrame:
     """(series, rate_plan_product_id[, subscription_id], n_records) for the
     overall series and the four bands."""
-    keys = key_columns([PLAN_ID], count_mode)
-    overall = per_key_counts(plan_usage(inputs, truncate_ids, limit), keys) \
-        .select(F.lit(OVERALL).alias("series"), *keys, "n_records")
-    banded = per_key_counts(subscriber_plan(inputs, mode, truncate_ids, limit), ["age_band"] + keys) \
-        .select(F.col("age_band").alias("series"), *keys, "n_records")
+    usage = plan_usage(inputs, truncate_ids, mode)
+    if count_mode == SUBSCRIBERS:
+        return _series_per_subscriber(usage, inputs, mode, truncate_ids)
+    overall = per_key_counts(usage, [PLAN_ID]).select(F.lit(OVERALL).alias("series"), PLAN_ID, "n_records")
+    first = first_by(usage, "subscription_id", PLAN_ID, "activity_seq")
+    banded = per_key_counts(_banded(first, inputs, mode, truncate_ids), ["age_band", PLAN_ID]) \
+        .select(F.col("age_band").alias("series"), PLAN_ID, "n_records")
     return overall.unionByName(banded)
 
 
-def plan_usage_counts(inputs: UsageInputs, count_mode: str = KEYS,
-                      truncate_ids: bool = True) -> DataFrame:
+def _series_per_subscriber(usage: DataFrame, inputs: UsageInputs, mode: str, truncate_ids: bool) -> DataFrame:
+    """Both kinds of series from one aggregate of usage by (plan, subscriber):
+    every such row counts overall, and the one of the subscriber's first plan
+    in the subscriber's bands.  The window holds a subscriber's plans, at most
+    as many as there are plan ids."""
+    per_plan = usage.groupBy(PLAN_ID, "subscription_id").agg(
+        F.min("activity_seq").alias("activity_seq"), F.count(F.lit(1)).alias("n_records"))
+    arrival = Window.partitionBy("subscription_id").orderBy(
+        F.col("activity_seq").asc_nulls_last(), F.col(PLAN_ID).asc_nulls_last())
+    rows = per_plan.withColumn("place", F.row_number().over(arrival)).join(
+        _subscriber_bands(inputs, mode, truncate_ids), "subscription_id", "left")
+    none = F.array().cast("array<string>")
+    bands = F.when(F.col("place") == 1, F.coalesce("age_bands", none)).otherwise(none)
+    return rows.select(F.explode(F.concat(F.array(F.lit(OVERALL)), bands)).alias("series"),
+                       PLAN_ID, "subscription_id", "n_records")
+
+
+def plan_usage_counts(inputs: UsageInputs, count_mode: str = KEYS, mode: str = STRICT,
+                      truncate_ids: bool = False) -> DataFrame:
     """(plan_name, n) over all usage."""
-    per_key = per_key_counts(plan_usage(inputs, truncate_ids), key_columns([PLAN_ID], count_mode))
-    return per_name_counts(_name_plans(per_key, inputs), [], PLAN_NAME, count_mode)
+    per_key = per_key_counts(plan_usage(inputs, truncate_ids, mode), key_columns([PLAN_ID], count_mode))
+    return per_name_counts(_name_plans(per_key, inputs, mode), [], PLAN_NAME, count_mode)
 
 
 def plan_by_age_counts(inputs: UsageInputs, count_mode: str = KEYS, mode: str = STRICT,
-                       truncate_ids: bool = True) -> DataFrame:
+                       truncate_ids: bool = False) -> DataFrame:
     """(age_band, plan_name, n) from each subscriber's first plan."""
     per_key = per_key_counts(subscriber_plan(inputs, mode, truncate_ids),
                              key_columns(["age_band", PLAN_ID], count_mode))
-    return per_name_counts(_name_plans(per_key, inputs), ["age_band"], PLAN_NAME, count_mode)
+    return per_name_counts(_name_plans(per_key, inputs, mode), ["age_band"], PLAN_NAME, count_mode)
 
 
 def top_plans(inputs: UsageInputs, k: int = 5, descending: bool = True,
@@ -167,29 +216,26 @@ def top_plans_by_age(inputs: UsageInputs, k: int = 5, descending: bool = True,
 
 # ---------------------------------------------------------------- product
 def rate_plan_trends(inputs: UsageInputs, count_mode: str = KEYS, mode: str = STRICT,
-                     truncate_ids: bool = True, k: int = 5, limit: int | None = None,
+                     truncate_ids: bool = False, k: int = 5,
                      fill: str | None = GENERAL_PLAN) -> DataFrame:
     """One row per rank 1..k; a missing rank in a list reads
-    ``General Plan`` (as in the original), or stays null with ``fill=None``.
-    ``limit`` restricts the usage scan (overall and band series alike) to
-    its first n records by arrival."""
-    ranked = ranked_plan_lists(inputs, count_mode, mode, truncate_ids, k, limit)
+    ``General Plan`` (as in the original), or stays null with ``fill=None``."""
+    ranked = ranked_plan_lists(inputs, count_mode, mode, truncate_ids, k)
     return merge_ranks(ranked, "series", PLAN_NAME, SERIES_COLUMNS, fill).to(RATE_PLAN_TRENDS)
 
 
 def ranked_plan_lists(inputs: UsageInputs, count_mode: str = KEYS, mode: str = STRICT,
-                      truncate_ids: bool = True, k: int = 5,
-                      limit: int | None = None) -> DataFrame:
+                      truncate_ids: bool = False, k: int = 5) -> DataFrame:
     """The 10 ranked lists in long form, before the rank merge:
     (series, rank, plan_name) with series ``top_all`` ... ``least_18_less``."""
     check_mode(mode)
-    named = _name_plans(_series_per_key(inputs, mode, truncate_ids, limit, count_mode), inputs)
+    named = _name_plans(_series_per_key(inputs, mode, truncate_ids, count_mode), inputs, mode)
     counts = per_name_counts(named, ["series"], PLAN_NAME, count_mode)
     return top_and_least(counts, k, "series", PLAN_NAME)
 
 
-def plan_name_lookup(inputs: UsageInputs, truncate_ids: bool = True) -> DataFrame:
+def plan_name_lookup(inputs: UsageInputs, truncate_ids: bool = False, mode: str = STRICT) -> DataFrame:
     """(rate_plan_product_id, plan_name, n_records): every plan id seen in
     usage, once, with its catalogue name or the fallback label."""
-    per_key = per_key_counts(plan_usage(inputs, truncate_ids), [PLAN_ID])
-    return _name_plans(per_key, inputs).select(PLAN_ID, PLAN_NAME, "n_records")
+    per_key = per_key_counts(plan_usage(inputs, truncate_ids, mode), [PLAN_ID])
+    return _name_plans(per_key, inputs, mode).select(PLAN_ID, PLAN_NAME, "n_records")

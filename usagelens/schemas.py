@@ -6,7 +6,7 @@ names the original jobs publish so downstream readers keep working.
 
 from __future__ import annotations
 
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 
 def _struct(*fields: tuple[str, object]) -> StructType:
@@ -32,14 +32,14 @@ MOBILE_DATA_ACTIVITY = _struct(
     ("subscription_id", StringType),
     ("uplink_volume", StringType),
     ("downlink_volume", StringType),
-    ("rate_plan_product_id", LongType),
+    ("rate_plan_product_id", IntegerType),
     ("activity_seq", LongType),
 )
 
 SUBSCRIBER_LINES = _struct(("value", StringType))
 
 RATE_PLAN_PRODUCT = _struct(
-    ("rate_plan_product_id", LongType),
+    ("rate_plan_product_id", IntegerType),
     ("rate_plan_name", StringType),
 )
 
@@ -91,7 +91,11 @@ RATE_PLAN_TRENDS = _struct(("rank", LongType), *[(c, StringType) for c in TREND_
 
 NETWORK_ACTIVITY = _struct(("rank", LongType), *[(c, StringType) for c in NETWORK_COLUMNS])
 
-NETWORK_DOCUMENT = _struct(("Rank", LongType), *[(c, StringType) for c in NETWORK_DOCUMENT_FIELDS])
+NETWORK_DOCUMENT = _struct(("_id", StringType), ("Rank", LongType),
+                           *[(c, StringType) for c in NETWORK_DOCUMENT_FIELDS])
+
+REJECTS = _struct(("product", StringType), ("source", StringType), ("key", StringType),
+                  ("value", StringType), ("reason", StringType))
 
 INPUTS = {
     "voice_call_record": VOICE_CALL_RECORD,

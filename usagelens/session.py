@@ -1,13 +1,14 @@
 """Session construction and shared-storage locations.
 
 On a cluster the deployment owns the session; ``build_session`` is for
-tests, the bench and local runs.  ``output_root`` never invents a
-machine-local folder unless Spark itself runs locally.
+tests, the bench and local runs.  ``output_root`` and ``checkpoint_dir``
+never invent a folder.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -19,6 +20,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -39,42 +41,25 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def _master(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.master
-    except Exception:  # Spark Connect sessions have no SparkContext
-        return spark.conf.get("spark.master", "")
-
-
-def _is_local(spark: SparkSession) -> bool:
-    return _master(spark).startswith("local")
-
-
-def _set_checkpoint_dir(spark: SparkSession, path: str) -> None:
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # Spark Connect: the server owns the context
-        pass
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Read from the session.  Only a local session (tests, bench) without the
-    setting gets a fresh scratch folder; a cluster session without it is a
-    configuration error, because executor-local folders do not survive the
-    loss of an executor.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        _set_checkpoint_dir(spark, configured)
-        return configured
-    if not _is_local(spark):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/GCS)")
-    scratch = tempfile.mkdtemp(prefix="usagelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    _set_checkpoint_dir(spark, scratch)
-    return scratch
+    """The shared folder named by ``spark.checkpoint.dir``, read from the
+    session (else the checkpoint folder its context was given).  Without
+    either there is none: folders of one machine do not survive the loss of
+    an executor."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return configured
+
+
+def scratch_checkpoint_dir(spark: SparkSession) -> None:
+    """Gives a local session (tests, a notebook) that names no checkpoint
+    folder a scratch one; leaves any other session as it is."""
+    if spark.conf.get("spark.checkpoint.dir", None):
+        return
+    context = spark.sparkContext
+    if re.fullmatch(r"local(\[.*\])?", context.master) and not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="usagelens-ckpt-"))
 
 
 def output_root(spark: SparkSession) -> str:
@@ -86,29 +71,28 @@ def output_root(spark: SparkSession) -> str:
     return os.path.join(checkpoint_dir(spark), "outputs")
 
 
-def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
+def cluster_conf(executors: int, cores_per_executor: int, split_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
     """Starting settings for a large cluster (pass to ``--conf`` / the builder).
 
-    * scans: 128 MB splits; above 10 TB of input 512 MB splits, so 100 TB
-      is ~205k map tasks rather than ~820k (fewer shuffle blocks and map
-      statuses on the driver, ~50 waves on 4000 cores);
+    * scans: ``split_bytes`` a task; 512 MB makes 100 TB ~205k map tasks
+      rather than ~820k (fewer shuffle blocks and map statuses on the driver);
     * shuffles: every product shuffles per-task partial aggregates, far
       smaller than the input, so start from 4 partitions per core and let
       AQE coalesce to ~128 MB (the initial number only caps parallelism);
     * skew: AQE splits a join partition 5x the median and over 256 MB;
-    * broadcasts: planner-driven ones stay at Spark's 10 MB default; the
-      catalogue lookups use their own proven bound (operators.lookups).
+    * broadcasts: the planner's estimate stays at Spark's 10 MB default;
+      adaptive execution, which knows exact sizes, goes up to 64 MB.
     """
     cores = executors * cores_per_executor
-    split = (512 if input_bytes > 10 * 1024 ** 4 else 128) * 1024 * 1024
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(max(200, 4 * cores)),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
         "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     }

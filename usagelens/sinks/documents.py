@@ -1,8 +1,10 @@
 """Document sink for the network activity snapshot.
 
-Each output row becomes one JSON document with a ``Rank`` field and four
-human-readable field names.  The original appends one auto-id document
-per row on every run; ``write_documents`` appends by default too
+Each output row becomes one JSON document with an ``_id``, a ``Rank`` field
+and four human-readable field names.  ``_id`` is ``<run>-<rank>``: the caller
+names the run, so documents of two appended runs can be told apart and a
+repeated run writes the same ids.  The original appends one document per row
+on every run; ``write_documents`` appends by default too
 (``mode="overwrite"`` gives an idempotent collection).  Documents are
 written by Spark's file sink, so retried tasks never publish twice.
 """
@@ -15,16 +17,20 @@ from pyspark.sql import functions as F
 from usagelens.schemas import NETWORK_COLUMNS, NETWORK_DOCUMENT, NETWORK_DOCUMENT_FIELDS
 
 
-def to_documents(network: DataFrame) -> DataFrame:
-    """rank -> Rank, table column names -> document field names."""
+def to_documents(network: DataFrame, run: str = "run") -> DataFrame:
+    """rank -> Rank, table column names -> document field names, and the
+    document id."""
     return network.select(
+        F.concat(F.lit(run + "-"), F.col("rank").cast("string")).alias("_id"),
         F.col("rank").cast("long").alias("Rank"),
         *[F.col(c).alias(f) for c, f in zip(NETWORK_COLUMNS, NETWORK_DOCUMENT_FIELDS)]
     ).to(NETWORK_DOCUMENT)
 
 
 def write_documents(documents: DataFrame, path: str, mode: str = "append",
-                    num_files: int | None = 1) -> None:
+                    num_files: int | None = None) -> None:
+    """``num_files`` coalesces; the ranked product has at most k rows, so
+    its callers ask for one file."""
     if num_files is not None:
         documents = documents.coalesce(num_files)
     documents.write.mode(mode).json(path)

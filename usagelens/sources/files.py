@@ -2,17 +2,19 @@
 
 * relational facts and catalogues: Parquet (or any format Spark reads)
   with the declared schema, so no inference pass and full pushdown;
-* document collections exported as JSON lines: explicit schema; ids are
-  cast to the key type, names kept as text (a missing field stays NULL
-  so the fallback label applies, instead of becoming the text "None");
+* document collections exported as JSON lines: explicit schema; every field
+  is text, ids become numbers where they are used (``plan_catalogue``), and a
+  missing field stays NULL so the fallback label applies, instead of becoming
+  the text "None";
 * the subscriber file: plain text lines, no header skipping — the
   parser decides what a bad line is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
 from usagelens.schemas import INPUTS, LOCATION, RATE_PLAN_PRODUCT
 from usagelens.sources.inputs import UsageInputs
@@ -26,15 +28,28 @@ def read_input(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
     return conform_input(df, name)
 
 
+def _typed(c: Column, kind: DataType) -> Column:
+    """Cast that fails on a value it cannot take, with ANSI on or off."""
+    if isinstance(kind, StringType):
+        return c.cast(kind)
+    bad = F.raise_error(F.concat(F.lit(f"not a {kind.simpleString()}: "), c.cast("string")))
+    return F.when(c.isNotNull(), F.coalesce(c.try_cast(kind), bad))
+
+
 def conform_input(df: DataFrame, name: str) -> DataFrame:
-    """Project and cast to the declared input schema.  ``activity_seq``
+    """Project and cast to the declared input schema.  A plan id that comes
+    as text stays text until it is used, so that lenient mode can reject it.
+    ``activity_seq``
     (arrival order) may be absent from a source: it is then NULL and the
     first plan of a subscriber falls back to the smallest plan id."""
     present = set(df.columns)
     cols = []
     for f in INPUTS[name].fields:
-        if f.name in present:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        if f.name == "rate_plan_product_id" and f.name in present and \
+                isinstance(df.schema[f.name].dataType, StringType):
+            cols.append(F.col(f.name))
+        elif f.name in present:
+            cols.append(_typed(F.col(f.name), f.dataType).alias(f.name))
         elif f.name == "activity_seq":
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
@@ -43,11 +58,8 @@ def conform_input(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_document_collection(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A catalogue exported as JSON documents; every field is read as text
-    and converted to the declared type (id -> long, name -> string)."""
-    schema = DOCUMENT_SCHEMAS[name]
-    raw = spark.read.schema(", ".join(f"`{f.name}` STRING" for f in schema.fields)).json(path)
-    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """A catalogue exported as JSON documents; every field is read as text."""
+    return spark.read.schema(", ".join(f"`{f.name}` STRING" for f in DOCUMENT_SCHEMAS[name].fields)).json(path)
 
 
 def read_subscriber_lines(spark: SparkSession, path: str) -> DataFrame:
