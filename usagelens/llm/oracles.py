@@ -77,7 +77,7 @@ FROM hits WHERE s >= {license_dice.THRESHOLD}::DOUBLE GROUP BY doc_id, license
 
 OP5 = _licences()
 
-OP2 = f"""
+OP2 = rf"""
 WITH t AS (
   SELECT conv_id, role, text, row_number() OVER (
     PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS place

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.session import checkpoint_dir
+from usagelens.session import checkpoint_dir, scratch_checkpoint_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder named by ``spark.checkpoint.dir``."""
+    scratch_checkpoint_dir(spark)  # only where a local session has none
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
