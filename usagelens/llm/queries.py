@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import byte_bpe, chat, decontaminate, host_rules, html_template, license_dice, separator_scan, token_shards, url_model
+import corpus_pipeline
+from usagelens.llm import (
+    byte_bpe, chat, decontaminate, host_rules, html_template, license_dice, separator_scan, token_shards, url_model,
+)
 from usagelens.llm.minhash_dedup import near_duplicates
 from usagelens.llm.oracles import OP2, OP3, OP5
 from usagelens.llm.shared import shared_path, table
@@ -42,7 +44,7 @@ def op5_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "flat-tokens")
     separator_scan.write_flat(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
-                              public_tokenizers.PATTERN, END_OF_DOCUMENT, header=True)
+                              END_OF_DOCUMENT, header=True)
     return separator_scan.count_tokens(spark, path, END_OF_DOCUMENT, header=True).select("doc_id", "n_tokens")
 
 
@@ -68,8 +70,7 @@ def op9_url_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-shards")
-    token_shards.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
-                       public_tokenizers.PATTERN, end_id=2)
+    token_shards.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return token_shards.digests(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
@@ -84,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_url_model": op9_url_model,
     "op10_token_shards": op10_token_shards,
+    "pipeline": corpus_pipeline.run,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

@@ -43,15 +43,14 @@ def _spelled(doc_id: int | None) -> list[int]:
     return [n // BASE ** k % BASE for k in reversed(range(HEADER))]
 
 
-def _flat(tokenizer: str, pattern: str, end_id: int, kind: str, header: bool) -> Callable[[Batches], Batches]:
+def _flat(tokenizer: str, end_id: int, kind: str, header: bool) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         for batch in batches:
             _, offsets = wordhash.text_buffers(batch.column(1))
             for at, to in wordhash.slices(offsets):
-                texts = [t or "" for t in batch.column(1).slice(at, to - at).to_pylist()]
                 rows = []
                 for doc, ids in zip(batch.column(0).slice(at, to - at).to_pylist(),
-                                    encoder(tokenizer, pattern).encode(texts)):
+                                    encoder(tokenizer).encode(batch.column(1).slice(at, to - at))):
                     first = _spelled(doc) if header else []
                     whole = np.concatenate((first, ids, [end_id])).astype(kind).tobytes()
                     rows.append(whole[:-1])  # the writer adds the last byte
@@ -59,8 +58,7 @@ def _flat(tokenizer: str, pattern: str, end_id: int, kind: str, header: bool) ->
     return run
 
 
-def write_flat(docs: DataFrame, to: str, tokenizer: str, pattern: str, end_id: int, kind: str = ">u2",
-               header: bool = False) -> None:
+def write_flat(docs: DataFrame, to: str, tokenizer: str, end_id: int, kind: str = ">u2", header: bool = False) -> None:
     """Writes the ids of (doc_id, text), each document followed by
     ``end_id``, as flat files of ``kind`` (numpy's name of the id type).
 
@@ -72,7 +70,7 @@ def write_flat(docs: DataFrame, to: str, tokenizer: str, pattern: str, end_id: i
     if last > 127:
         raise ValueError(f"the last byte of end id {end_id} as {kind} is not below 128")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    (rows.mapInArrow(_flat(tokenizer, pattern, end_id, kind, header), "row binary")
+    (rows.mapInArrow(_flat(tokenizer, end_id, kind, header), "row binary")
      .select(F.col("row").cast("string").alias("row"))
      .write.option("lineSep", chr(last)).text(to))
 

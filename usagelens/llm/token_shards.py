@@ -52,15 +52,14 @@ def _shard(part: int, shard: int, doc_ids: list, ids: list[np.ndarray], width: i
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
 
-def _packed(path: str, pattern: str, end_id: int, width: int, shard_ids: int) -> Callable[[Batches], Batches]:
+def _packed(tokenizer: str, end_id: int, width: int, shard_ids: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         part, shard, held, docs, size = TaskContext.get().partitionId(), 0, [], [], 0
         for batch in batches:
             _, offsets = wordhash.text_buffers(batch.column(1))
             for at, to in wordhash.slices(offsets):
-                texts = [t or "" for t in batch.column(1).slice(at, to - at).to_pylist()]
                 for doc, ids in zip(batch.column(0).slice(at, to - at).to_pylist(),
-                                    encoder(path, pattern).encode(texts)):
+                                    encoder(tokenizer).encode(batch.column(1).slice(at, to - at))):
                     held.append(np.append(ids, np.uint32(end_id)).astype(f"<u{width}"))
                     docs.append(doc)
                     size += len(ids) + 1
@@ -72,15 +71,14 @@ def _packed(path: str, pattern: str, end_id: int, width: int, shard_ids: int) ->
     return run
 
 
-def write(docs: DataFrame, to: str, tokenizer: str, pattern: str, end_id: int,
-          shard_ids: int = SHARD_IDS) -> None:
+def write(docs: DataFrame, to: str, tokenizer: str, end_id: int, shard_ids: int = SHARD_IDS) -> None:
     """Encodes (doc_id, text) without special tokens, appends ``end_id`` to
     each document and writes the shards to the folder ``to``."""
     width = 2 if max(vocabulary_size(tokenizer), end_id + 1) <= 1 << 16 else 4
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     tie = F.xxhash64("text")
     (rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
-     .mapInArrow(_packed(tokenizer, pattern, end_id, width, shard_ids), SCHEMA)
+     .mapInArrow(_packed(tokenizer, end_id, width, shard_ids), SCHEMA)
      .write.option("compression", "zstd").parquet(to))
 
 
