@@ -105,8 +105,13 @@ def _bitmaps(items: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     both = np.zeros(2 * BITS // 64, np.uint64)
     for word, bits in words:
         both[word] = bits & (2 ** 64 - 1)
-    flags = np.unpackbits(both.view(np.uint8), bitorder="little").astype(bool)
-    return flags[:BITS], flags[BITS:]
+    flags = both.view(np.uint8)
+    return flags[:BITS // 8], flags[BITS // 8:]
+
+
+def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes % _U(BITS)
+    return (bitmap[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1
 
 
 def _window_rows(k: int, sizes: list[int], bitmaps) -> Callable[[Batches], Batches]:
@@ -117,10 +122,10 @@ def _window_rows(k: int, sizes: list[int], bitmaps) -> Callable[[Batches], Batch
 
     def runs(hashes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         shared, by_size = bitmaps.value
-        marked = np.flatnonzero(shared[hashes % _U(BITS)])
+        marked = np.flatnonzero(_has(shared, hashes))
         for size in sizes if len(marked) else ():
             m, last = size - k + 1, len(hashes) - (size - k + 1)
-            at = marked[by_size[_keyed(hashes[marked], size) % _U(BITS)]] if last >= 0 else marked[:0]
+            at = marked[_has(by_size, _keyed(hashes[marked], size))] if last >= 0 else marked[:0]
             if not len(at):
                 continue
             first, end = np.maximum(at - m + 1, 0), np.minimum(at, last) + 1  # both ascend

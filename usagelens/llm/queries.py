@@ -13,7 +13,7 @@ from usagelens.llm import (
     byte_bpe, chat, decontaminate, host_rules, html_template, license_dice, separator_scan, token_shards, url_model,
 )
 from usagelens.llm.minhash_dedup import near_duplicates
-from usagelens.llm.oracles import OP2, OP3, OP5
+from usagelens.llm.oracles import OP2, OP3, OP5, url_model_sql
 from usagelens.llm.shared import shared_path, table
 
 END_OF_DOCUMENT = 50256  # <|endoftext|> of byte_bpe_50k
@@ -89,4 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op2_chat_render": OP2, "op3_host_rules": OP3, "op5_license_dice": OP5}
+ORACLES: dict[str, str] = {
+    "op2_chat_render": OP2,
+    "op3_host_rules": OP3,
+    "op5_license_dice": OP5,
+    "op9_url_model": url_model_sql(URL_RULES),
+}

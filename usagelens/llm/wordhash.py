@@ -51,11 +51,12 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    data = texts.buffers()[2]
-    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return data[offsets[0]:offsets[-1]], offsets - offsets[0]
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    offsets = np.frombuffer(texts.buffers()[1] or bytes(8), kind)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    return data[offsets[0]:offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
 def _segment_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
