@@ -51,7 +51,8 @@ def test_template_text_of_a_host_goes(spark):
 
 def test_classes(spark):
     rows = [(i, "http://a.org/", page(i, "c") + "<div class=odd>o</div>" * (i % 2)) for i in range(12)]
-    found = html_template.deduce(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = html_template.deduce(html_template.host_paths(pages)).collect()
     vectors = {r.path.rpartition("/")[2]: r.vector for r in found}
     assert vectors["div.top"] == vectors["div.low"] == vectors["div.text"] and "div.odd" not in vectors  # alone in its class
     assert {r.path.rpartition("/")[2]: r.constant for r in found}["div.low"]

@@ -149,23 +149,27 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["page", "host", "path", "n", "text", "content"])
 
 
-def deduce(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """Pages (url, html) -> the templates: (host, path, vector, n_pages,
-    constant, content).  Paths of a host with the same ``vector`` are one
-    class; ``constant`` tells whether the slot holds one text on all pages."""
+def host_paths(pages: DataFrame) -> DataFrame:
+    """Pages (url, html) -> (host, path, vector, n_pages, content, constant,
+    filled): every path of a host with its occurrence vector; ``constant``
+    tells whether it holds one text on all its pages, ``filled`` whether any."""
     numbered = pages.select(F.monotonically_increasing_id().alias("page"),
                             host(F.col("url").cast("string")).alias("host"), F.col("html").cast("string"))
     slots = (numbered.where("host != ''").mapInArrow(
         _slots, "page long, host string, path string, n long, text string, content boolean")
         .select("host", "path", "content", F.xxhash64("text").alias("t"), (F.col("text") != "").alias("filled"),
                 F.xxhash64("page", "n").alias("x")))
-    paths = stored(slots.groupBy("host", "path").agg(
+    return stored(slots.groupBy("host", "path").agg(
         F.bit_xor("x").alias("vector"), F.count(F.lit(1)).alias("n_pages"), F.max("content").alias("content"),
         (F.min("t") == F.max("t")).alias("constant"), F.max("filled").alias("filled")), "paths")
+
+
+def deduce(paths: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """The rows of ``host_paths`` in valid classes: the templates.  Paths of
+    a host with the same ``vector`` are one class."""
     classes = (paths.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size"), F.max("n_pages").alias("support"))
                .where((F.col("size") > 1) & (F.col("support") >= min_pages)).select("host", "vector"))
-    return paths.join(classes, ["host", "vector"]).select(
-        "host", "path", "vector", "n_pages", "constant", "content", "filled")
+    return paths.join(classes, ["host", "vector"])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,9 +183,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """Pages (page_id, url, html) -> (page_id, url, text, n_chars)."""
     pages = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    template = stored(deduce(pages, min_pages), "template")
-    varies = template.where("not constant").select("host").distinct()
-    own = stored(template.where("constant and filled and not content").join(varies, "host", "left_semi")
+    paths = host_paths(pages)
+    varies = paths.where("not constant").select("host").distinct()
+    own = stored(deduce(paths, min_pages).where("constant and filled and not content").join(varies, "host", "left_semi")
                  .groupBy(F.col("host").alias("of")).agg(F.collect_list("path").alias("template")), "template-text")
     kind = pages.schema["page_id"].dataType.simpleString()
     texts = (pages.join(own, host(F.col("url")) == F.col("of"), "left").select("page_id", "url", "html", "template")
