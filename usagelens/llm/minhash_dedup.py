@@ -189,7 +189,9 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
         "doc_id long, n_shingles long, d1 long, d2 long, halves array<long>"), "signatures")
 
     full = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id"))
+    # written first, as other sides of joins below: a join of two plain
+    # exchanges is one whose hot keys Spark can split
+    classes = stored(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id")), "class-ids")
     of_class = stored(full.select("doc_id", "d1", "d2", "halves").join(classes, ["d1", "d2"])
                       .select("doc_id", "class_id", "d1", "d2",
                               F.when(F.col("doc_id") == F.col("class_id"), F.col("halves")).alias("halves")),
@@ -198,16 +200,17 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
     # collections of the first family that two classes or more share
     first = (of_class.where(F.col("halves").isNotNull())
              .select("class_id", F.posexplode(F.slice("halves", 1, halves)).alias("i", "half")))
-    shared = (first.groupBy("i", "half").agg(F.min("class_id").alias("low"), F.max("class_id").alias("top"))
-              .where("low < top").select("i", "half"))
+    shared = stored(first.groupBy("i", "half").agg(F.min("class_id").alias("low"), F.max("class_id").alias("top"))
+                    .where("low < top").select("i", "half"), "shared")
     left = stored(first.join(shared, ["i", "half"]), "halves")
     # the tables: keys from pairs of collections
     right = (of_class.where(F.col("halves").isNotNull())
              .select("class_id", F.slice("halves", halves + 1, halves).alias("right")))
     keys = left.join(right, "class_id").select("class_id", F.explode(F.transform(
         "right", lambda x, j: F.xxhash64(F.col("i"), F.col("half"), j, x))).alias("key"))
-    tables = keys.groupBy("key").agg(F.min("class_id").alias("hub"), F.max("class_id").alias("top")).where("hub < top")
-    met = stored(keys.join(tables.select("key", "hub"), "key").distinct(), "tables")
+    tables = stored(keys.groupBy("key").agg(F.min("class_id").alias("hub"), F.max("class_id").alias("top"))
+                    .where("hub < top").select("key", "hub"), "tables")
+    met = stored(keys.join(tables, "key").distinct(), "met")
 
     sets = stored(texts.join(met.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id")
                   .select("doc_id", "text").mapInArrow(_sets(k), "class_id long, shingles array<long>"), "sets")
@@ -222,8 +225,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
     # tables that still hold several components: every member against one pivot class of the table
     joined = stored(components(links), "joined")
     named = _named(met, joined)
-    several = (named.groupBy("key").agg(F.min("component").alias("pivot"), F.max("component").alias("top"))
-               .where("pivot < top").select("key", "pivot"))
+    several = stored(named.groupBy("key").agg(F.min("component").alias("pivot"), F.max("component").alias("top"))
+                     .where("pivot < top").select("key", "pivot"), "several")
     members = stored(named.join(several, "key").where("class_id != pivot")
                      .select("class_id", "pivot").distinct(), "members")
     apart = stored(_apart(members, sets, num, den), "apart")
