@@ -115,7 +115,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
             .where(den * small >= num * large)
             .withColumn("common", common)
             .where(den * F.col("common") >= num * (F.col("na") + F.col("nb") - F.col("common")))
-            .select("a", "b").distinct())
+            .select("a", "b"))  # not made distinct here, which would keep a hub's pairs in one task
 
 
 def _named(rows: DataFrame, joined: DataFrame) -> DataFrame:
@@ -197,20 +197,20 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
                               F.when(F.col("doc_id") == F.col("class_id"), F.col("halves")).alias("halves")),
                       "classes")
 
-    # collections of the first family that two classes or more share
-    first = (of_class.where(F.col("halves").isNotNull())
-             .select("class_id", F.posexplode(F.slice("halves", 1, halves)).alias("i", "half")))
+    # one row a class, then the collections of the first family that two classes or more share
+    each = stored(of_class.where(F.col("halves").isNotNull()).select("class_id", "d1", "d2", "halves")
+                  .dropDuplicates(["class_id", "d1", "d2"]), "each")
+    first = each.select("class_id", F.posexplode(F.slice("halves", 1, halves)).alias("i", "half"))
     shared = stored(first.groupBy("i", "half").agg(F.min("class_id").alias("low"), F.max("class_id").alias("top"))
                     .where("low < top").select("i", "half"), "shared")
     left = stored(first.join(shared, ["i", "half"]), "halves")
     # the tables: keys from pairs of collections
-    right = (of_class.where(F.col("halves").isNotNull())
-             .select("class_id", F.slice("halves", halves + 1, halves).alias("right")))
+    right = each.select("class_id", F.slice("halves", halves + 1, halves).alias("right"))
     keys = left.join(right, "class_id").select("class_id", F.explode(F.transform(
         "right", lambda x, j: F.xxhash64(F.col("i"), F.col("half"), j, x))).alias("key"))
     tables = stored(keys.groupBy("key").agg(F.min("class_id").alias("hub"), F.max("class_id").alias("top"))
                     .where("hub < top").select("key", "hub"), "tables")
-    met = stored(keys.join(tables, "key").distinct(), "met")
+    met = stored(keys.join(tables, "key"), "met")
 
     sets = stored(texts.join(met.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id")
                   .select("doc_id", "text").mapInArrow(_sets(k), "class_id long, shingles array<long>"), "sets")
