@@ -44,7 +44,7 @@ K = 5
 THRESHOLD = 0.8
 REACH = 2
 RADIUS = 8 * (REACH + 1) - 1
-BITS = 1 << 23
+BITS = 1 << 23  # a power of two
 _U = np.uint64
 Batches = Iterator[pa.RecordBatch]
 
@@ -109,9 +109,12 @@ def _bitmaps(items: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return flags[:BITS // 8], flags[BITS // 8:]
 
 
-def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes % _U(BITS)
-    return (bitmap[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1
+def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes whose bit is set."""
+    at = (hashes & _U(BITS - 1)).view(np.int64)
+    byte = bitmap.take(at >> 3)
+    some = np.flatnonzero(byte)
+    return some[(byte[some] >> (at[some] & 7).astype(np.uint8)) & 1 == 1]
 
 
 def _window_rows(k: int, sizes: list[int], bitmaps) -> Callable[[Batches], Batches]:
@@ -122,10 +125,10 @@ def _window_rows(k: int, sizes: list[int], bitmaps) -> Callable[[Batches], Batch
 
     def runs(hashes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         shared, by_size = bitmaps.value
-        marked = np.flatnonzero(_has(shared, hashes))
+        marked = _marked(shared, hashes)
         for size in sizes if len(marked) else ():
             m, last = size - k + 1, len(hashes) - (size - k + 1)
-            at = marked[_has(by_size, _keyed(hashes[marked], size))] if last >= 0 else marked[:0]
+            at = marked[_marked(by_size, _keyed(hashes[marked], size))] if last >= 0 else marked[:0]
             if not len(at):
                 continue
             first, end = np.maximum(at - m + 1, 0), np.minimum(at, last) + 1  # both ascend
