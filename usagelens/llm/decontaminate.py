@@ -123,13 +123,23 @@ def _window_rows(k: int, sizes: list[int], bitmaps) -> Callable[[Batches], Batch
     to its last, and the fingerprints of the windows."""
     most = 1 << 16  # windows a row; a longer run goes over several rows
 
-    def runs(hashes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        shared, by_size = bitmaps.value
+    every = np.array(sizes, np.uint64)
+
+    def by_length(hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(size, places of the shingles that items of that size have)."""
+        shared, keyed = bitmaps.value
         marked = _marked(shared, hashes)
-        for size in sizes if len(marked) else ():
+        step = max(1, (1 << 20) // max(1, len(marked)))
+        for k in range(0, len(every) if len(marked) else 0, step):
+            some = every[k:k + step]
+            row, place = np.divmod(_marked(keyed, wordhash.mix(hashes[marked] + some[:, None]).reshape(-1)), len(marked))
+            for r in np.unique(row).tolist():
+                yield int(some[r]), marked[place[row == r]]
+
+    def runs(hashes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        for size, at in by_length(hashes):
             m, last = size - k + 1, len(hashes) - (size - k + 1)
-            at = marked[_marked(by_size, _keyed(hashes[marked], size))] if last >= 0 else marked[:0]
-            if not len(at):
+            if last < 0:
                 continue
             first, end = np.maximum(at - m + 1, 0), np.minimum(at, last) + 1  # both ascend
             new = np.flatnonzero(first[1:] > end[:-1]) + 1
