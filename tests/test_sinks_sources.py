@@ -218,3 +218,22 @@ def test_cluster_conf():
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert conf["spark.sql.files.maxPartitionBytes"] == str(512 * 1024 ** 2)
     assert cluster_conf(2, 4)["spark.sql.files.maxPartitionBytes"] == str(128 * 1024 ** 2)
+
+
+def test_every_dirty_record_is_used_or_rejected(spark):
+    from usagelens.plans import activity, network, trends
+    from usagelens.plans.rejects import rejects
+    from usagelens.sources.testdata import load_inputs as load
+    inp = load(spark, SF0001, dirty=True)
+    bad = {(r["product"], r["source"]): r["count"] for r in rejects(inp).groupBy("product", "source").count().collect()}
+    voice, sms = inp.voice_call_record.count(), inp.sms_record.count()
+    usage, lines = inp.mobile_data_activity.count(), inp.subscriber.count()
+    ids = {name: activity._with_id(scan(inp, name), "lenient").count() for name in ("voice_call", "sms_rec")}
+    assert voice == ids["voice_call"] + bad.get(("activity", "voice_call_record"), 0)
+    assert sms == ids["sms_rec"] + bad.get(("activity", "sms_record"), 0)
+    assert usage == activity._with_id(activity.clean_volumes(inp, "lenient"), "lenient").count() \
+        + bad["activity", "mobile_data_activity"]
+    assert usage == trends.plan_usage(inp, mode="lenient").count() + bad["trends", "mobile_data_activity"]
+    assert lines == trends.subscriber_age_bands(inp, "lenient").count() + bad["trends", "subscriber"]
+    assert sms == network.location_records(inp, "sms", "lenient").count() + bad["network", "sms_record"]
+    assert voice == network.location_records(inp, "voice", "lenient").count() + bad["network", "voice_call_record"]
