@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from usagelens.llm import wordhash
 from usagelens.llm.pieces import PieceEncoder, gather
+from usagelens.llm.shared import arrow
 
 _U = np.uint64
 _BYTES = np.random.Generator(np.random.PCG64(5)).integers(1, 2 ** 63, 256, dtype=np.uint64)
@@ -201,14 +202,14 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
     """``df`` with ``ids``: binary, unsigned 32-bit little-endian."""
     at = df.columns.index(text)
     schema = df.withColumn("ids", F.lit(b"")).schema
-    return df.mapInArrow(_encoded(_shared(df, ranks), pattern, at, False), schema)
+    return df.transform(arrow, _encoded(_shared(df, ranks), pattern, at, False), schema)
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
     """``df`` with ``decoded``: the bytes the ids stand for."""
     at = df.columns.index(ids)
     schema = df.withColumn("decoded", F.lit(b"")).schema
-    return df.mapInArrow(_decoded(_shared(df, ranks), at), schema)
+    return df.transform(arrow, _decoded(_shared(df, ranks), at), schema)
 
 
 def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text") -> DataFrame:
@@ -219,4 +220,4 @@ def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str =
     first = _encoded(shared, pattern, at, True)
     then = _decoded(shared, len(rest.columns))
     schema = rest.withColumn("ids", F.lit(b"")).withColumn("decoded", F.lit(b"")).schema
-    return df.mapInArrow(lambda batches: then(first(batches)), schema)
+    return df.transform(arrow, lambda batches: then(first(batches)), schema)

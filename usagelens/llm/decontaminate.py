@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm import wordhash
-from usagelens.llm.shared import stored
+from usagelens.llm.shared import arrow, stored
 
 K = 5
 THRESHOLD = 0.8
@@ -99,7 +99,7 @@ def _bitmaps(items: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 h = np.array(own.values).view(np.uint64)
                 at = np.concatenate((h % _U(BITS), _keyed(h, size) % _U(BITS) + _U(BITS)))
                 yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64))], names=["at"])
-    words = (items.select("size", "shingles").mapInArrow(places, "at long")
+    words = (items.select("size", "shingles").transform(arrow, places, "at long")
              .groupBy(F.floor(F.col("at") / 64).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits")).collect())
     both = np.zeros(2 * BITS // 64, np.uint64)
@@ -202,11 +202,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = K, threshold: f
     item_id, at, similarity) of the items a document contains: the most
     similar window and the word it begins at (the first of equals)."""
     items = stored(benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string"))
-                   .mapInArrow(_item_rows(k), "item_id long, size int, print long, shingles array<long>"), "items")
+                   .transform(arrow, _item_rows(k), "item_id long, size int, print long, shingles array<long>"), "items")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # one row a length
     bitmaps = docs.sparkSession.sparkContext.broadcast(_bitmaps(items))
     runs = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-                  .mapInArrow(_window_rows(k, sizes, bitmaps),
+                  .transform(arrow, _window_rows(k, sizes, bitmaps),
                               "run long, doc_id long, size int, at long, span array<long>, prints array<long>"), "runs")
 
     near = F.explode(F.array(*[F.lit(x) for x in _NEAR]))
@@ -222,7 +222,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = K, threshold: f
     rows = (found.join(runs.select("run", "doc_id", "at", "span"), "run")
             .join(items.select("item_id", "shingles"), "item_id")
             .select("doc_id", "item_id", "at", "span", "places", "shingles"))
-    checked = rows.mapInArrow(_verified(threshold), "doc_id long, item_id long, at long, similarity double")
+    checked = rows.transform(arrow, _verified(threshold), "doc_id long, item_id long, at long, similarity double")
     return (checked.groupBy("doc_id", "item_id")
             .agg(F.max(F.struct("similarity", (-F.col("at")).alias("back"))).alias("best"))
             .select("doc_id", "item_id", (-F.col("best.back")).alias("at"), F.col("best.similarity")))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.shared import stored
+from usagelens.llm.shared import arrow, stored
 
 MIN_PAGES = 5
 
@@ -155,7 +155,8 @@ def host_paths(pages: DataFrame) -> DataFrame:
     tells whether it holds one text on all its pages, ``filled`` whether any."""
     numbered = pages.select(F.monotonically_increasing_id().alias("page"),
                             host(F.col("url").cast("string")).alias("host"), F.col("html").cast("string"))
-    slots = (numbered.where("host != ''").mapInArrow(
+    slots = (numbered.where("host != ''").transform(
+        arrow,
         _slots, "page long, host string, path string, n long, text string, content boolean")
         .select("host", "path", "content", F.xxhash64("text").alias("t"), (F.col("text") != "").alias("filled"),
                 F.xxhash64("page", "n").alias("x")))
@@ -189,5 +190,5 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
                  .groupBy(F.col("host").alias("of")).agg(F.collect_list("path").alias("template")), "template-text")
     kind = pages.schema["page_id"].dataType.simpleString()
     texts = (pages.join(own, host(F.col("url")) == F.col("of"), "left").select("page_id", "url", "html", "template")
-             .mapInArrow(_extracted, f"page_id {kind}, url string, text string"))
+             .transform(arrow, _extracted, f"page_id {kind}, url string, text string"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm import wordhash
-from usagelens.llm.shared import components, stored
+from usagelens.llm.shared import arrow, components, stored
 
 ROWS = 3
 MISS = 1e-4
@@ -184,7 +184,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
     halves = halves or halves_for(float(threshold), rows)
     num, den = threshold.numerator, threshold.denominator
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stored(texts.mapInArrow(
+    signed = stored(texts.transform(
+        arrow,
         _signatures(k, rows, halves),
         "doc_id long, n_shingles long, d1 long, d2 long, halves array<long>"), "signatures")
 
@@ -213,7 +214,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
     met = stored(keys.join(tables, "key"), "met")
 
     sets = stored(texts.join(met.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id")
-                  .select("doc_id", "text").mapInArrow(_sets(k), "class_id long, shingles array<long>"), "sets")
+                  .select("doc_id", "text").transform(arrow, _sets(k), "class_id long, shingles array<long>"), "sets")
     pairs = met.groupBy(F.col("class_id").alias("a")).agg(F.min("hub").alias("b")).where("a > b")
     found = _confirmed(pairs, sets, num, den)
     # rows of one doc_id with different texts: their classes are one

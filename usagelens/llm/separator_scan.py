@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from usagelens.llm import wordhash
 from usagelens.llm.library_tokens import encoder
-from usagelens.llm.shared import stored
+from usagelens.llm.shared import arrow, stored
 
 BLOCK = 1 << 20  # ids searched at once
 BASE, HEADER = 50_000, 4  # 50,000 ** 4 > 2 ** 62; every digit is below the end id
@@ -70,7 +70,7 @@ def write_flat(docs: DataFrame, to: str, tokenizer: str, end_id: int, kind: str
     if last > 127:
         raise ValueError(f"the last byte of end id {end_id} as {kind} is not below 128")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    (rows.mapInArrow(_flat(tokenizer, end_id, kind, header), "row binary")
+    (rows.transform(arrow, _flat(tokenizer, end_id, kind, header), "row binary")
      .select(F.col("row").cast("string").alias("row"))
      .write.option("lineSep", chr(last)).text(to))
 
@@ -109,7 +109,8 @@ def count_tokens(spark: SparkSession, path: str, end_id: int, kind: str = ">u2",
     partition, as Spark writes them.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    blocks = stored(files.mapInArrow(
+    blocks = stored(files.transform(
+        arrow,
         _blocks(end_id, kind, header, block),
         "path string, block long, n_ids long, ends array<long>, doc_ids array<long>"), "blocks")
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import usagelens
 from usagelens.session import checkpoint_dir, scratch_checkpoint_dir
 
 
@@ -15,6 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def arrow(df: DataFrame, rows: Callable, schema) -> DataFrame:
+    """``mapInArrow`` by Python workers that look for this package where the
+    driver found it, too.  A cluster's workers get it with the job
+    (``--py-files``) or have it installed."""
+    environment = df.sparkSession.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(usagelens.__file__)))
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in [root, *paths] if p)
+    return df.mapInArrow(rows, schema)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` on a value that is worked out once a row (a column that a
     later step names several times may be worked out as often)."""

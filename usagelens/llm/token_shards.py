@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from usagelens.llm import elias_fano, wordhash
 from usagelens.llm.library_tokens import encoder, vocabulary_size
+from usagelens.llm.shared import arrow
 
 SHARD_IDS = 1 << 20
 SCHEMA = ("part int, shard int, doc_ids array<long>, n_ids long, width int, ids binary, "
@@ -78,7 +79,7 @@ def write(docs: DataFrame, to: str, tokenizer: str, end_id: int, shard_ids: int
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     tie = F.xxhash64("text")
     (rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
-     .mapInArrow(_packed(tokenizer, end_id, width, shard_ids), SCHEMA)
+     .transform(arrow, _packed(tokenizer, end_id, width, shard_ids), SCHEMA)
      .write.option("compression", "zstd").parquet(to))
 
 
@@ -127,7 +128,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """The documents of the files: (doc_id, n_tokens, ids, start), ``ids``
     unsigned 32-bit little-endian with the end id."""
     shards = spark.read.schema(SCHEMA).parquet(path)
-    documents = shards.mapInArrow(
+    documents = shards.transform(
+        arrow,
         _documents, "part int, shard int, doc_id long, local long, n_tokens long, ids binary")
     return _placed(documents, shards)
 
@@ -136,7 +138,8 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_crc32, start) of the documents of the files;
     the ids themselves do not leave the task that reads them."""
     shards = spark.read.schema(SCHEMA).parquet(path)
-    documents = shards.mapInArrow(
+    documents = shards.transform(
+        arrow,
         lambda batches: _digests(_documents(batches)),
         "part int, shard int, doc_id long, local long, n_tokens long, ids_crc32 long")
     return _placed(documents, shards)
