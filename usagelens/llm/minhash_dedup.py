@@ -118,6 +118,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
             .select("a", "b"))  # not made distinct here, which would keep a hub's pairs in one task
 
 
+def _kept(links: DataFrame) -> DataFrame:
+    """Links written in as many files as their size asks for, not one a task that found some."""
+    return stored(links.repartition("a", "b"), "links")
+
+
 def _named(rows: DataFrame, joined: DataFrame) -> DataFrame:
     """``rows`` with the component of their ``class_id``."""
     return (rows.join(joined, rows.class_id == joined.node, "left")
@@ -221,7 +226,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
     owner = of_class.groupBy("doc_id").agg(F.min("class_id").alias("b"))
     found = found.unionByName(
         of_class.join(owner, "doc_id").where("class_id != b").select(F.col("class_id").alias("a"), "b").distinct())
-    links = stored(found, "links")
+    links = _kept(found)
 
     # tables that still hold several components: every member against one pivot class of the table
     joined = stored(components(links), "joined")
@@ -231,10 +236,10 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
     members = stored(named.join(several, "key").where("class_id != pivot")
                      .select("class_id", "pivot").distinct(), "members")
     apart = stored(_apart(members, sets, num, den), "apart")
-    links = stored(links.unionByName(apart.where("linked").select(F.col("class_id").alias("a"),
-                                                                 F.col("pivot").alias("b"))), "links")
+    links = _kept(links.unionByName(apart.where("linked").select(F.col("class_id").alias("a"),
+                                                                F.col("pivot").alias("b"))))
     joined = stored(components(links), "joined")
-    links = stored(links.unionByName(_confirmed(_across(_named(apart, joined), num, den), sets, num, den)), "links")
+    links = _kept(links.unionByName(_confirmed(_across(_named(apart, joined), num, den), sets, num, den)))
 
     joined = components(links)
     by_doc = (of_class.select("doc_id", "class_id").distinct()
