@@ -23,6 +23,25 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+WRAPPED = [
+    ("<div class='layout sidebar-right'><article><p>a</article></div>", "a"),
+    ("<div class='page no-header'><main><p>a</p><div class=ad>no</div></main></div><p>no", "a"),
+    ("<form id=aspnetForm><nav>no</nav><article>a<form>no</form>b</article><footer>no</footer></form>", "a\n\nb"),
+    ("<div role=main class=has-sidebar><p>a</div>", "a"),
+    ("<main><h1>t</h1><div class='row has-sidebar'><article>a</article><aside><article>no</article></aside></div></main>",
+     "t\n\na"),
+    ("<article>a</article><div class=related-posts><article>no</article></div>", "a"),
+    ("<div class='layout sidebar-left'><article>a</article><div class=sidebar><article>no</article></div></div>", "a"),
+    ("<main><p>a</p><section id=comments><article>no</article></section></main>", "a"),
+    ("<form><article>a</article></form><article>b</article><noscript><article>no</article></noscript>", "a\n\nb"),
+]
+
+
+@pytest.mark.parametrize("page,text", WRAPPED)
+def test_wrappers_do_not_hide_the_article(page, text):
+    assert main_text(page) == text
+
+
 def test_unclosed_markup_is_read_in_linear_time():
     assert main_text("<a " * 100_000).startswith("<a")
     assert main_text("<" * 200_000 + ">") == "<" * 200_000 + ">"

@@ -11,7 +11,10 @@ the template's own text if other slots of the host vary.
 The text of a page is what the other slots hold, in page order, without
 those inside menus, headers, footers, sidebars, notices, adverts, forms and
 reader comments (by the names on their paths) and, on a page with an
-``article`` or ``main`` element, without those outside it.  A slot inside
+``article`` or ``main`` element, without those outside it.  A form or an
+element with such a name that holds an ``article`` or ``main`` element does
+not hide it; of several articles those under the fewest such names are read,
+so a sidebar's or a comment's give way to the page's own.  A slot inside
 such an element is never taken for template text: copies of one article on
 a host would look like it.
 
@@ -47,6 +50,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style".split())
 HIDDEN = frozenset("""head title noscript template iframe object svg canvas audio video button select textarea nav
     header footer aside form menu dialog search""".split())
+WRAPS = frozenset(["form"])  # of the hidden ones, what may also hold a whole page
 CONTENT = frozenset("article main".split())
 NAMES = frozenset("""ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie
     cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice popup promo related share
@@ -61,7 +65,7 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "path", "hidden", "content", "shown")
+    __slots__ = ("tag", "path", "never", "covered", "wraps", "content")
 
     def __init__(self, tag: str, attributes: str, around: _Element | None):
         names = [(k.lower(), (a or b or c).lower()) for k, a, b, c in _NAMED.findall(attributes)] if attributes else []
@@ -69,9 +73,18 @@ class _Element:
         self.tag = tag
         label = ".".join([tag, *[v for k, v in names if k != "role"]])
         self.path = f"{around.path}/{label}" if around else label
-        self.hidden = bool(around and around.hidden) or tag in HIDDEN or (
-            tag not in CONTENT and tag not in ("html", "body") and bool(words & NAMES))
-        self.content = bool(around and around.content) or tag in CONTENT or ("role", "main") in names
+        opens = tag in CONTENT or ("role", "main") in names
+        named = not opens and tag not in ("html", "body") and bool(words & NAMES)
+        inside = around.content if around else ""
+        part = named and inside and any(w in NAMES for _, v in names for w in v.split())
+        self.never = bool(around and around.never) or bool(part) or tag in HIDDEN - WRAPS
+        self.covered = not opens and (bool(around and around.covered) or named or tag in WRAPS)
+        self.wraps = (around.wraps if around else 0) + named
+        self.content = ("article" if tag == "article" else "main") if opens else inside
+
+    @property
+    def hidden(self) -> bool:
+        return self.never or self.covered
 
 
 def blocks(page: str) -> Iterator[tuple[_Element, str]]:
@@ -119,7 +132,11 @@ def main_text(page: str, template: frozenset[str] = frozenset()) -> str:
     """The text of a page whose host has template text at these paths."""
     found = [(e, t) for e, t in blocks(page) if not e.hidden]
     if any(e.content for e, _ in found):
-        own = [t for e, t in found if e.content and t]
+        least: dict[str, int] = {}
+        for e, t in found:
+            if t and e.content:
+                least[e.content] = min(e.wraps, least.get(e.content, e.wraps))
+        own = [t for e, t in found if t and e.content and e.wraps == least[e.content]]
     else:
         own = [t for e, t in found if t and e.path not in template]
     return "\n\n".join(own)
@@ -137,7 +154,7 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page, of, source in zip(*(c.to_pylist() for c in batch.columns)):
             seen: dict[str, list] = {}
             for element, text in blocks(source or ""):
-                slot = seen.setdefault(element.path, [0, [], element.content])
+                slot = seen.setdefault(element.path, [0, [], bool(element.content)])
                 if text:
                     slot[1].append(text)
                 else:
