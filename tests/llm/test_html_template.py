@@ -68,6 +68,20 @@ def test_template_text_of_a_host_goes(spark):
     assert len(got) == len(rows)
 
 
+def test_copies_are_not_a_template(spark):
+    def copy(i):
+        return (f"<nav><a>{i}</a></nav><div class=count>Page {i}</div><div class=content><h1>Same title</h1>same words here"
+                f"<p>One article on many pages</p></div><div class=low>All rights reserved</div>")
+    rows = [(i, f"http://e.org/{i}", copy(i)) for i in range(9)]                                   # copies alone
+    rows += [(20 + i, f"http://f.org/{i}", copy(i)) for i in range(9)]                             # beside other pages
+    rows += [(40 + i, f"http://f.org/x{i}", page(i, "We like biscuits")) for i in range(9)]
+    got = {r.page_id: r.text for r in html_template.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    whole = "Same title\n\nsame words here\n\nOne article on many pages"
+    assert got[3] == f"Page 3\n\n{whole}\n\nAll rights reserved"
+    assert got[23].startswith(f"Page 3\n\n{whole}") and got[43] == "Words 3 of page\n\n21 more"
+
+
 def test_classes(spark):
     rows = [(i, "http://a.org/", page(i, "c") + "<div class=odd>o</div>" * (i % 2)) for i in range(12)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")

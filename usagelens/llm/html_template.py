@@ -6,7 +6,9 @@ vector (how often on which page) form an equivalence class.  A class of two
 paths or more on ``MIN_PAGES`` pages or more is valid; nested by their paths
 the valid classes are the host's template, and what lies directly at a path
 is a slot.  A slot of the template that holds the same text on every page is
-the template's own text if other slots of the host vary.
+the template's own text if its pages have ``MIN_PAGES`` different main blocks
+or more; the main block of a page is its longest slot that no name hides.  So
+copies of one page have one vote, and do not make their text a template.
 
 The text of a page is what the other slots hold, in page order, without
 those inside menus, headers, footers, sidebars, notices, adverts, forms and
@@ -33,6 +35,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -146,40 +149,54 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, "://([^/?#]*)", 1))
 
 
+def _digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
+
+
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(page, host, path, n, text): of each path on a page, how often it
-    opens and all the text directly at it."""
+    """(page, host, path, n, text, content, main): of each path on a page, how
+    often it opens and all the text directly at it; ``main`` is a hash of
+    the page's longest slot that no name hides, null where none holds text."""
     for batch in batches:
         rows: list[tuple] = []
         for page, of, source in zip(*(c.to_pylist() for c in batch.columns)):
             seen: dict[str, list] = {}
             for element, text in blocks(source or ""):
-                slot = seen.setdefault(element.path, [0, [], bool(element.content)])
+                slot = seen.setdefault(element.path, [0, [], bool(element.content), element.hidden])
                 if text:
                     slot[1].append(text)
                 else:
                     slot[0] += 1
-            rows += [(page, of, path, n, "\n".join(text), content) for path, (n, text, content) in seen.items()]
-        columns = list(zip(*rows)) or [[]] * 6
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_()]
+            joined = [(path, n, "\n".join(text), content, hidden) for path, (n, text, content, hidden) in seen.items()]
+            longest = max((t for _, _, t, _, hidden in joined if not hidden), key=len, default="")
+            main = _digest(longest) if longest else None
+            rows += [(page, of, path, n, text, content, main) for path, n, text, content, _ in joined]
+        columns = list(zip(*rows)) or [[]] * 7
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                         names=["page", "host", "path", "n", "text", "content"])
+                                         names=["page", "host", "path", "n", "text", "content", "main"])
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
     """Pages (url, html) -> (host, path, vector, n_pages, content, constant,
-    filled): every path of a host with its occurrence vector; ``constant``
-    tells whether it holds one text on all its pages, ``filled`` whether any."""
+    filled, votes): every path of a host with its occurrence vector;
+    ``constant`` tells whether it holds one text on all its pages, ``filled``
+    whether any, ``votes`` how many main blocks (longest slots) these have."""
     numbered = pages.select(F.monotonically_increasing_id().alias("page"),
                             host(F.col("url").cast("string")).alias("host"), F.col("html").cast("string"))
     slots = (numbered.where("host != ''").transform(
         arrow,
-        _slots, "page long, host string, path string, n long, text string, content boolean")
-        .select("host", "path", "content", F.xxhash64("text").alias("t"), (F.col("text") != "").alias("filled"),
+        _slots, "page long, host string, path string, n long, text string, content boolean, main long")
+        .select("host", "path", "content", "main", F.xxhash64("text").alias("t"), (F.col("text") != "").alias("filled"),
                 F.xxhash64("page", "n").alias("x")))
-    return stored(slots.groupBy("host", "path").agg(
-        F.bit_xor("x").alias("vector"), F.count(F.lit(1)).alias("n_pages"), F.max("content").alias("content"),
-        (F.min("t") == F.max("t")).alias("constant"), F.max("filled").alias("filled")), "paths")
+    # by main block first: copies are one row before they meet others
+    each = slots.groupBy("host", "path", "main").agg(
+        F.bit_xor("x").alias("x"), F.count(F.lit(1)).alias("n"), F.max("content").alias("content"),
+        F.min("t").alias("low"), F.max("t").alias("top"), F.max("filled").alias("filled"))
+    return stored(each.groupBy("host", "path").agg(
+        F.bit_xor("x").alias("vector"), F.sum("n").alias("n_pages"), F.max("content").alias("content"),
+        (F.min("low") == F.max("top")).alias("constant"), F.max("filled").alias("filled"),
+        F.count("main").alias("votes")), "paths")
 
 
 def deduce(paths: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -202,9 +219,8 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """Pages (page_id, url, html) -> (page_id, url, text, n_chars)."""
     pages = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     paths = host_paths(pages)
-    varies = paths.where("not constant").select("host").distinct()
-    own = stored(deduce(paths, min_pages).where("constant and filled and not content").join(varies, "host", "left_semi")
-                 .groupBy(F.col("host").alias("of")).agg(F.collect_list("path").alias("template")), "template-text")
+    own = stored(deduce(paths, min_pages).where("constant and filled and not content")
+                 .where(F.col("votes") >= min_pages).groupBy(F.col("host").alias("of")).agg(F.collect_list("path").alias("template")), "template-text")
     kind = pages.schema["page_id"].dataType.simpleString()
     texts = (pages.join(own, host(F.col("url")) == F.col("of"), "left").select("page_id", "url", "html", "template")
              .transform(arrow, _extracted, f"page_id {kind}, url string, text string"))
