@@ -44,6 +44,26 @@ def test_hot_passage_and_long_text(spark):
     assert got[9000, 1] == (200_000, 1.0) and len({d for d, _ in got}) == 402
 
 
+def test_documents_shorter_than_the_item(spark):
+    w = [f"q{i}" for i in range(59)]
+    docs = [(1, w[:56]), (2, w[3:]), (3, w[:20] + w[22:]), (4, w[:30] + ["new"] + w[33:]), (5, w[:48]), (6, w[:47]),
+            (7, w[:4]), (8, w[:56] + ["and", "more", "of", "it"])]
+    items = [(1, w), (2, w[:6]), (3, [])]
+    got = run(spark, [(d, " ".join(x)) for d, x in docs], [(i, " ".join(x)) for i, x in items])
+
+    def shingles(x):
+        return {tuple(x[i:i + 5]) for i in range(len(x) - 4)}  # no word repeats
+
+    want = {}
+    for d, x in docs[:7]:
+        a, b = shingles(x), shingles(w)
+        if len(a & b) / len(a | b) >= 0.8:
+            want[d] = (0, round(len(a & b) / len(a | b), 9))
+    assert set(want) == {1, 2, 3, 4, 5} and want[1][1] == round(52 / 55, 9)
+    assert {d: v for (d, i), v in got.items() if i == 1 and d != 8} == want and (8, 1) in got
+    assert {d for d, i in got if i == 2} == {1, 3, 4, 5, 6, 8}
+
+
 def test_repeated_rows(spark):
     item = " ".join(f"q{i}" for i in range(30))
     assert run(spark, [(7, "x " + item), (7, item), (7, item), (8, "no")], [(1, item)]) == {(7, 1): (0, 1.0)}

@@ -2,9 +2,10 @@
 
 For every length L that benchmark items have, the windows of L words of a
 document are fingerprinted: 64-bit SimHash of their k-word shingles, from
-running counts over the document.  The fingerprints are looked up among the
-items of that length by multi-index hashing: cut into eight bytes, two
-fingerprints at most ``8 * (REACH + 1) - 1`` bits apart agree within
+running counts over the document; a document of fewer words is one window,
+as long as the similarity can still be reached.  The fingerprints are looked
+up among the items of that length by multi-index hashing: cut into eight
+bytes, two fingerprints at most ``8 * (REACH + 1) - 1`` bits apart agree within
 ``REACH`` bits in one byte at least, so an index of all bytes within
 ``REACH`` bits of an item's finds every window within that radius.  Windows
 found are then confirmed by the exact similarity: with every shingle weighted
@@ -17,7 +18,8 @@ for any length and one keyed by length; false positives cost time only), so
 what goes to the tasks does not grow with the benchmark.
 
 The radius of 23 bits covers similarity 0.8 (about 10 bits apart on average,
-23 is over 4.5 standard deviations off).
+23 is over 4.5 standard deviations off; for a document of 8 words that is an
+item of 9 without its last, 12 bits and 3.5 deviations).
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; null
 text is empty; items and texts of fewer than ``k`` words match nothing, an
@@ -117,10 +119,11 @@ def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return some[(byte[some] >> (at[some] & 7).astype(np.uint8)) & 1 == 1]
 
 
-def _window_rows(k: int, sizes: list[int], bitmaps) -> Callable[[Batches], Batches]:
+def _window_rows(k: int, sizes: list[int], bitmaps, threshold: float) -> Callable[[Batches], Batches]:
     """A row for every run of windows of one size that share a shingle with
     the items of that size: its document, the hashes from its first window
-    to its last, and the fingerprints of the windows."""
+    to its last, and the fingerprints of the windows.  A document with fewer
+    shingles than the window is its one window."""
     most = 1 << 16  # windows a row; a longer run goes over several rows
 
     every = np.array(sizes, np.uint64)
@@ -138,9 +141,10 @@ def _window_rows(k: int, sizes: list[int], bitmaps) -> Callable[[Batches], Batch
 
     def runs(hashes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         for size, at in by_length(hashes):
-            m, last = size - k + 1, len(hashes) - (size - k + 1)
-            if last < 0:
+            m = min(size - k + 1, len(hashes))
+            if m / (size - k + 1) < threshold:  # all of it in the item is too little
                 continue
+            last = len(hashes) - m
             first, end = np.maximum(at - m + 1, 0), np.minimum(at, last) + 1  # both ascend
             new = np.flatnonzero(first[1:] > end[:-1]) + 1
             begins, ends = first[np.concatenate(([0], new))], end[np.concatenate((new - 1, [len(end) - 1]))]
@@ -206,7 +210,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, k: int = K, threshold: f
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # one row a length
     bitmaps = docs.sparkSession.sparkContext.broadcast(_bitmaps(items))
     runs = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-                  .transform(arrow, _window_rows(k, sizes, bitmaps),
+                  .transform(arrow, _window_rows(k, sizes, bitmaps, threshold),
                               "run long, doc_id long, size int, at long, span array<long>, prints array<long>"), "runs")
 
     near = F.explode(F.array(*[F.lit(x) for x in _NEAR]))
