@@ -64,6 +64,20 @@ def test_repeated_and_unnamed_rows(spark):
     assert sorted(r.kept for r in out if r.doc_id is not None) == [False, False, False, True, True]
 
 
+def test_pivot_that_met_nobody(spark):
+    """9 and 12 meet 7 in the only table and are linked with each other alone; 7 is one document with 3, which meets nobody."""
+    rows = []
+    for n in range(0, 200, 20):
+        w = [f"g{n}w{i}" for i in range(400)]
+        near = [f"g{n}x{i}" for i in range(40)] + w[40:]
+        alone = " ".join(f"g{n}y{i}" for i in range(60))
+        rows += [(n + 3, alone), (n + 7, alone), (n + 7, " ".join(w)), (n + 9, " ".join(near)),
+                 (n + 12, " ".join([*near[:-1], "last"]))]
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), rows=1, halves=1).collect()
+    assert {r.doc_id: r.component_id for r in out} == {
+        n + d: n + c for n in range(0, 200, 20) for d, c in ((3, 3), (7, 3), (9, 9), (12, 9))}
+
+
 def test_no_rows(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -218,14 +218,16 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
                     .where("hub < top").select("key", "hub"), "tables")
     met = stored(keys.join(tables, "key"), "met")
 
-    sets = stored(texts.join(met.select(F.col("class_id").alias("doc_id")).distinct(), "doc_id")
-                  .select("doc_id", "text").transform(arrow, _sets(k), "class_id long, shingles array<long>"), "sets")
-    pairs = met.groupBy(F.col("class_id").alias("a")).agg(F.min("hub").alias("b")).where("a > b")
-    found = _confirmed(pairs, sets, num, den)
     # rows of one doc_id with different texts: their classes are one
     owner = of_class.groupBy("doc_id").agg(F.min("class_id").alias("b"))
-    found = found.unionByName(
-        of_class.join(owner, "doc_id").where("class_id != b").select(F.col("class_id").alias("a"), "b").distinct())
+    same = stored(of_class.join(owner, "doc_id").where("class_id != b")
+                  .select(F.col("class_id").alias("a"), "b").distinct(), "same")
+    # a component, and so a pivot, may be named after a class that met nobody but is one with another
+    needed = met.select(F.col("class_id").alias("doc_id")).unionByName(same.select(F.col("b").alias("doc_id")))
+    sets = stored(texts.join(needed.distinct(), "doc_id")
+                  .select("doc_id", "text").transform(arrow, _sets(k), "class_id long, shingles array<long>"), "sets")
+    pairs = met.groupBy(F.col("class_id").alias("a")).agg(F.min("hub").alias("b")).where("a > b")
+    found = _confirmed(pairs, sets, num, den).unionByName(same)
     links = _kept(found)
 
     # tables that still hold several components: every member against one pivot class of the table
