@@ -156,3 +156,55 @@ SELECT page_id, host, path, rule,
        coalesce(ruled.label, CASE WHEN step >= threshold THEN 'allow' ELSE 'block' END) AS verdict
 FROM ruled LEFT JOIN scores ON ruled.url = scores.url AND ruled.label IS NULL, cut
 """
+
+
+OP12 = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN docs.doc_id > min(docs.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS fails
+  FROM docs LEFT JOIN marks ON docs.doc_id = marks.doc_id),
+masks AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, fails),
+subsets AS (SELECT unnest(range(32)) AS s),
+survivors AS (
+  SELECT part, s, sum(CASE WHEN fails & s = 0 THEN n ELSE 0 END) AS n,
+         sum(CASE WHEN fails & s = 0 THEN good ELSE 0 END) AS good,
+         sum(CASE WHEN fails & s = 0 THEN toxic ELSE 0 END) AS toxic
+  FROM masks, subsets GROUP BY part, s),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+places AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS letter,
+         list_sum([1 << (instr('ABCDE', x) - 1) FOR x IN string_split(substr(filter_order, 1, step), '')])::INT AS after_set,
+         1 << (instr('ABCDE', substr(filter_order, step, 1)) - 1) AS bit
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+steps AS (
+  SELECT x.part, p.filter_order, p.step, p.letter, y.n AS kept, x.n - y.n AS removed,
+         z.n - f.n - (x.n - y.n) AS redundant, o.n - a.n AS unique_fails,
+         x.good - y.good AS good_lost, x.toxic - y.toxic AS toxic_lost
+  FROM places p
+  JOIN survivors x ON x.s = p.after_set - p.bit
+  JOIN survivors y ON y.part = x.part AND y.s = p.after_set
+  JOIN survivors z ON z.part = x.part AND z.s = 0
+  JOIN survivors f ON f.part = x.part AND f.s = p.bit
+  JOIN survivors o ON o.part = x.part AND o.s = 31 - p.bit
+  JOIN survivors a ON a.part = x.part AND a.s = 31)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM steps
+"""

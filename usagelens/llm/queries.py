@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from usagelens.llm import (
-    byte_bpe, chat, decontaminate, host_rules, html_template, license_dice, separator_scan, token_shards, url_model,
+    byte_bpe, chat, decontaminate, filter_audit, host_rules, html_template, license_dice, separator_scan, token_shards,
+    url_model,
 )
 from usagelens.llm.minhash_dedup import near_duplicates
-from usagelens.llm.oracles import OP2, OP3, OP5, url_model_sql
+from usagelens.llm.oracles import OP2, OP3, OP5, OP12, url_model_sql
 from usagelens.llm.shared import shared_path, table
 
 END_OF_DOCUMENT = 50256  # <|endoftext|> of byte_bpe_50k
@@ -74,6 +75,10 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.digests(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_chat_render": op2_chat_render,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_url_model": op9_url_model,
     "op10_token_shards": op10_token_shards,
+    "op12_filter_audit": op12_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -94,4 +100,5 @@ ORACLES: dict[str, str] = {
     "op3_host_rules": OP3,
     "op5_license_dice": OP5,
     "op9_url_model": url_model_sql(URL_RULES),
+    "op12_filter_audit": OP12,
 }
