@@ -10,8 +10,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Config applied by ``build_session``.  AQE re-plans joins from measured
 # shuffle sizes, coalesces small partitions and splits skewed join
@@ -71,6 +72,15 @@ def output_root(spark: SparkSession) -> str:
     return os.path.join(checkpoint_dir(spark), "outputs")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared checkpoint folder and
+    read back: computed once, and its lineage starts at stored files."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cluster_conf(executors: int, cores_per_executor: int, split_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
     """Starting settings for a large cluster (pass to ``--conf`` / the builder).
 

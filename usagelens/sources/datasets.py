@@ -4,7 +4,7 @@
 column pruning reaches the Parquet/JDBC source.  The original P2/P3
 scans read only "the first 100 rows" without an order; here a row limit
 is optional, off by default, and always taken in a stated total order
-(``TakeOrderedAndProject``: a top-n per partition, then one merge).
+(``operators.selection``: range counts find the n-th row, then a filter).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions.cleaning import STRICT, integer_id, truncate_id
+from usagelens.operators.selection import first_rows
 from usagelens.sources.inputs import UsageInputs
 
 
@@ -73,7 +74,7 @@ def scan(inputs: UsageInputs, name: str, limit: int | None = None,
     project, order = DATASETS[name]
     df = project(inputs, truncate_ids, mode)
     if limit is not None:
-        df = df.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(limit)
+        df = first_rows(df, limit, order)
     return df
 
 
