@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from usagelens.llm import (
-    byte_bpe, chat, decontaminate, filter_audit, host_rules, html_template, license_dice, separator_scan, token_shards,
-    url_model,
+    byte_bpe, chat, decontaminate, filter_audit, host_rules, html_template, importance, license_dice, separator_scan,
+    token_shards, url_model,
 )
 from usagelens.llm.minhash_dedup import near_duplicates
 from usagelens.llm.oracles import OP2, OP3, OP5, OP12, url_model_sql
@@ -75,6 +75,11 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.digests(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_url_model": op9_url_model,
     "op10_token_shards": op10_token_shards,
+    "op11_importance": op11_importance,
     "op12_filter_audit": op12_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
