@@ -16,6 +16,7 @@ from usagelens.llm import (
 from usagelens.llm.minhash_dedup import near_duplicates
 from usagelens.llm.oracles import OP2, OP3, OP5, OP12, url_model_sql
 from usagelens.llm.shared import shared_path, table
+from usagelens.llm.substring_dedup import remove_repeats
 
 END_OF_DOCUMENT = 50256  # <|endoftext|> of byte_bpe_50k
 
@@ -84,6 +85,12 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed",
+                       F.when(F.col("kept").isNull(), F.col("words_sha256")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_chat_render": op2_chat_render,
@@ -97,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_shards": op10_token_shards,
     "op11_importance": op11_importance,
     "op12_filter_audit": op12_filter_audit,
+    "op13_substring_dedup": op13_substring_dedup,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -1,6 +1,6 @@
 """Vectorised words and word shingles of whole UTF-8 texts (numpy over Arrow).
 
-Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased.  A word is hashed
+Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased (unless ``fold`` is off).  A word is hashed
 to 64 bits from prefix sums of a polynomial over its bytes, a shingle from
 the hashes of its words; no Python object is made per word.
 """
@@ -24,6 +24,7 @@ _BASE = 0x9E3779B97F4A7C15
 _STEP = _U(0xD6E8FEB86659FD93)
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_EXACT = _BYTE.copy()  # of texts whose case counts
 for _c in range(65, 91):
     _BYTE[_c] = _BYTE[_c + 32]
 _powers: dict[str, np.ndarray] = {}
@@ -40,6 +41,23 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
+class Windows:
+    """128-bit hashes of any runs of words of a sequence of word hashes."""
+
+    def __init__(self, words: np.ndarray):
+        up, self._down = _power(len(words) + 1)
+        self._sums = []
+        for own in (words, mix(words ^ _STEP)):
+            total = np.zeros(len(words) + 1, np.uint64)
+            np.cumsum(own * up[:len(words)], out=total[1:])
+            self._sums.append(total)
+
+    def of(self, starts: np.ndarray, length: int, half: int) -> np.ndarray:
+        """Half 0 or 1 of the hashes of the runs of ``length`` words at ``starts``."""
+        total = self._sums[half]
+        return mix((total[starts + length] - total[starts]) * self._down[starts] + _U(length))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (bijective)."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -59,7 +77,7 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets.astype(np.int64) - int(offsets[0])
 
 
-def _segment_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _segment_words(data: np.ndarray, starts: np.ndarray, letters: np.ndarray = _BYTE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and first bytes of the words of one segment; ``starts`` are the
     places where a text begins, which end a word too."""
     n = len(data)
@@ -74,11 +92,11 @@ def _segment_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np
     s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
     up, down = _power(n + 1)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[:n], out=total[1:])
+    np.cumsum(letters[data] * up[:n], out=total[1:])
     return mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * _STEP), s
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, offsets into them per text)."""
     hashes, first, at, n = [], [], 0, len(data)
     while at < n:
@@ -90,7 +108,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
                 step = np.flatnonzero(_WHITE[data[end:min(stop, end + SEGMENT)]])
                 end = end + int(step[0]) if len(step) else min(stop, end + SEGMENT)
         inside = offsets[(offsets >= at) & (offsets < end)] - at
-        h, s = _segment_words(data[at:end], inside)
+        h, s = _segment_words(data[at:end], inside, _BYTE if fold else _EXACT)
         hashes.append(h)
         first.append(s + at)
         at = end
