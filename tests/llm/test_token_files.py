@@ -19,6 +19,12 @@ TEXTS = ["", None, " ", "a" * 4000, "tabs\t\tand  spaces \n\n x's", "日本語 <
 
 @pytest.fixture(scope="module")
 def library():
+    t = Tokenizer.from_file(PATH)  # as it is: strings of special tokens become their ids
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def ordinary():
     t = Tokenizer.from_file(PATH)
     t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
@@ -31,7 +37,7 @@ def documents(spark):
 
 
 ODD = ["", " ", "  x  y\n\n z", "a b ", "  x", "x\u00a0y z", " lead", "x \ty", "a b\u2003c d", "a\n b", "it's 's 't x", "x\x1c y",
-       "\u3000", "a " * 3000 + "b", "🙂 🙂  é", "a\n", "word" * 900, None]
+       "\u3000", "x<|endoftext|>y z", "<|endoftext|>", "<|endoftext|> <|endoftext|><|endoftext|", "a <|endoftext|>\n b", "a " * 3000 + "b", "🙂 🙂  é", "a\n", "word" * 900, None]
 
 
 def test_units_encode_like_whole_texts(library, monkeypatch):
@@ -54,6 +60,13 @@ def test_clashing_hashes_are_encoded_whole(library, monkeypatch):
         assert [x.tolist() for x in own.encode(pa.array(texts))] == [library(t) for t in texts]
 
 
+def test_special_tokens(library, ordinary):
+    texts = ["日本語 <|endoftext|> x", "<|endoftext|>", "no<|endoftext|> space "]
+    assert [x.tolist() for x in encoder(PATH).encode(pa.array(texts))] == [library(t) for t in texts]
+    assert [x.tolist() for x in encoder(PATH, ordinary=True).encode(pa.array(texts))] == [ordinary(t) for t in texts]
+    assert len(library(texts[0])) != len(ordinary(texts[0])) and 50256 not in ordinary(texts[0])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(st.one_of(st.sampled_from(" \n\t'ab1é\u00a0"), st.characters(exclude_categories=["Cs"])), max_size=60), max_size=5))
 def test_any_texts(library, texts):
@@ -100,13 +113,14 @@ def test_shards_of_repeated_and_no_rows(spark, scratch_dir):
 
 
 @pytest.mark.parametrize("block", [7, 1 << 20])
-def test_counts_with_headers(spark, library, scratch_dir, block):
+def test_counts_with_headers(spark, ordinary, scratch_dir, block):
     rows, df = documents(spark)
-    rows.append((None, "nobody's"))
-    df = df.union(spark.createDataFrame(rows[-1:], df.schema))
+    more = [(None, "nobody's"), (2 ** 63 - 1, "largest"), (-2 ** 63, "smallest"), (2 ** 61, "a"), (-2 ** 62 - 1, "b c")]
+    rows += more
+    df = df.union(spark.createDataFrame(more, df.schema))
     separator_scan.write_flat(df, scratch_dir + "/f", PATH, 50256, header=True)
     got = separator_scan.count_tokens(spark, scratch_dir + "/f", 50256, header=True, block=block).collect()
-    assert {r.doc_id: r.n_tokens for r in got} == {d: len(library(t)) for d, t in rows}
+    assert {r.doc_id: r.n_tokens for r in got} == {d: len(ordinary(t)) for d, t in rows}
     assert len(got) == len(rows) and all(r.closed for r in got)
 
 

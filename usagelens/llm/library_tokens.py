@@ -6,7 +6,9 @@ with the text up to the next one.  Units are told apart by two 64-bit hashes
 worked out over all bytes at once, looked up in a table of those a worker
 has met, and only new ones go to the library.  A text in which a space
 stands next to other white space, or any white space beyond ASCII occurs, is
-encoded whole.  The tests hold the result against the library on whole texts.
+encoded whole, and so is one that holds the string of a special token, which
+the library makes that token's id unless it is told to read it as text
+(``ordinary``).  The tests hold the result against the library on whole texts.
 """
 
 from __future__ import annotations
@@ -133,14 +135,18 @@ class _Known:
 
 
 class Library:
-    """The tokenizers library with the byte-level model of a file."""
+    """The tokenizers library with the byte-level model of a file.  With
+    ``ordinary``, strings of special tokens are text like any other."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ordinary: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        added = [re.escape(t.content.encode()) for t in self.model.get_added_tokens_decoder().values() if t.content]
+        if ordinary:
+            self.model.encode_special_tokens = True
+        self.special = re.compile(b"|".join(added)) if added and not ordinary else None
         vocabulary = self.model.get_vocab(with_added_tokens=False)
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a character a byte
         self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))
@@ -154,7 +160,8 @@ class Library:
         """(ids of all units, number of ids of each).  Units of a space and a
         word follow each other in one text, which encodes to theirs in a row;
         the bytes of the ids tell where each ends."""
-        joins = np.fromiter((len(u) > 1 and u[0] == 0x20 and not _GAP[u[-1]] for u in units), bool, len(units))
+        joins = np.fromiter((len(u) > 1 and u[0] == 0x20 and not _GAP[u[-1]]
+                             and not (self.special and self.special.search(u)) for u in units), bool, len(units))
         order = np.concatenate((np.flatnonzero(joins), np.flatnonzero(~joins)))
         row, alone = [units[i] for i in order[:joins.sum()]], [units[i] for i in order[joins.sum():]]
         texts = [b"".join(row[i:i + JOINED]).decode() for i in range(0, len(row), JOINED)]
@@ -206,6 +213,9 @@ class UnitEncoder:
         """The ids of each text; null is empty."""
         data, offsets = wordhash.text_buffers(texts)
         whole = self._whole(data, offsets)
+        if self.library.special:
+            found = [m.start() for m in self.library.special.finditer(data.tobytes())]
+            whole[np.searchsorted(offsets, found, "right") - 1] = True
         parts: list[list[np.ndarray]] = [[] for _ in range(len(texts))]
         at = 0
         while at < len(data):
@@ -248,14 +258,14 @@ class UnitEncoder:
         return out
 
 
-_ENCODERS: dict[str, UnitEncoder] = {}  # of this Python worker
+_ENCODERS: dict[tuple[str, bool], UnitEncoder] = {}  # of this Python worker
 
 
-def encoder(path: str) -> UnitEncoder:
+def encoder(path: str, ordinary: bool = False) -> UnitEncoder:
     """Reads the tokenizer file once a Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = UnitEncoder(Library(path))
-    return _ENCODERS[path]
+    if (path, ordinary) not in _ENCODERS:
+        _ENCODERS[path, ordinary] = UnitEncoder(Library(path, ordinary))
+    return _ENCODERS[path, ordinary]
 
 
 def vocabulary_size(path: str) -> int:

@@ -13,8 +13,10 @@ be told to documents although nothing is indexed or sorted.
 
 Defined cases: null text is empty; an empty document has no ids; ids after
 the last end id are a document that is not ``closed``; empty files and
-folders of empty files give no documents; a null ``doc_id`` is spelled as
-the largest number of the header and comes back null.
+folders of empty files give no documents; any 64-bit ``doc_id`` can be
+spelled, and a null one as the largest number of the header, which comes back
+null; strings of special tokens are read as text, so that no text holds the
+end id; a file must stay under 2 GB, which is what the reader takes.
 """
 
 from __future__ import annotations
@@ -31,15 +33,13 @@ from usagelens.llm.library_tokens import encoder
 from usagelens.llm.shared import arrow, stored
 
 BLOCK = 1 << 20  # ids searched at once
-BASE, HEADER = 50_000, 4  # 50,000 ** 4 > 2 ** 62; every digit is below the end id
-OFFSET = 1 << 61  # a doc_id is spelled as itself plus this
+BASE, HEADER = 50_000, 5  # 50,000 ** 5 > 2 ** 64; every digit is below the end id
+OFFSET = 1 << 63  # a doc_id is spelled as itself plus this
 Batches = Iterator[pa.RecordBatch]
 
 
 def _spelled(doc_id: int | None) -> list[int]:
     n = BASE ** HEADER - 1 if doc_id is None else doc_id + OFFSET
-    if not 0 <= n < BASE ** HEADER:
-        raise ValueError(f"doc_id {doc_id} is outside what a header can spell")
     return [n // BASE ** k % BASE for k in reversed(range(HEADER))]
 
 
@@ -50,7 +50,7 @@ def _flat(tokenizer: str, end_id: int, kind: str, header: bool) -> Callable[[Bat
             for at, to in wordhash.slices(offsets):
                 rows = []
                 for doc, ids in zip(batch.column(0).slice(at, to - at).to_pylist(),
-                                    encoder(tokenizer).encode(batch.column(1).slice(at, to - at))):
+                                    encoder(tokenizer, ordinary=True).encode(batch.column(1).slice(at, to - at))):
                     first = _spelled(doc) if header else []
                     whole = np.concatenate((first, ids, [end_id])).astype(kind).tobytes()
                     rows.append(whole[:-1])  # the writer adds the last byte
@@ -88,9 +88,13 @@ def _blocks(end_id: int, kind: str, header: bool, block: int) -> Callable[[Batch
                     if header and len(ends):
                         starts = np.concatenate(([begin], at + ends[:-1] + 1))
                         begin = at + int(ends[-1]) + 1
-                        digits = ids[starts[:, None] + np.arange(HEADER)].astype(np.int64)
-                        spelled = (digits * BASE ** np.arange(HEADER - 1, -1, -1)).sum(1)
-                        docs = [None if x == BASE ** HEADER - 1 else x - OFFSET for x in spelled.tolist()]
+                        digits = ids[starts[:, None] + np.arange(HEADER)].astype(np.uint64)
+                        spelled = np.zeros(len(starts), np.uint64)  # below 2 ** 64 but for null
+                        for k_digit in range(HEADER):
+                            spelled = spelled * np.uint64(BASE) + digits[:, k_digit]
+                        own = (spelled ^ np.uint64(OFFSET)).view(np.int64)  # less OFFSET
+                        null = (digits == BASE - 1).all(1)
+                        docs = [None if no else x for x, no in zip(own.tolist(), null.tolist())]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([path.as_py()]), pa.array([k], pa.int64()), pa.array([len(part)], pa.int64()),
                         pa.array([ends], pa.list_(pa.int64())), pa.array([docs], pa.list_(pa.int64()))],

@@ -18,7 +18,9 @@ protocol publishes a task's file whole or not at all.
 Defined cases: null text is empty, so its document is the end id alone; a
 document is never cut, so one longer than a shard makes a larger shard; null
 ``doc_id`` sorts first; repeated rows are documents of their own; no rows
-give files without shards.
+give files without shards; strings of special tokens become those tokens, as
+the library has it; a single document must stay under 2 GB of ids, which is
+what a binary cell holds.
 """
 
 from __future__ import annotations
