@@ -40,15 +40,16 @@ def near_duplicates(rows, k, num, den):
 def contaminated(docs, items, k=5, threshold=0.8):
     """{(doc_id, item_id): (at, similarity)}."""
     out = {}
-    known = [(i, shingles(t, k)) for i, t in items if len(words(t)) >= k]
+    known = [(i, shingles(t, k)) for i, t in items if words(t)]
     for doc, text in docs:
-        own = shingles(text, k) if len(words(text)) >= k else []
+        own = shingles(text, k)
         for item, s in known:
             bag, best = Counter(s), None
             if not set(own) & set(s):
                 continue
-            for at in range(len(own) - len(s) + 1):
-                window = Counter(own[at:at + len(s)])
+            size = min(len(own), len(s))
+            for at in range(len(own) - size + 1):
+                window = Counter(own[at:at + size])
                 score = sum((window & bag).values()) / sum((window | bag).values())
                 if score >= threshold and (best is None or score > best[1]):
                     best = (at, score)
