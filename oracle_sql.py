@@ -208,13 +208,20 @@ def _ranked(counts_sql: str, name: str, k: int = 5) -> str:
 """
 
 
-def _pivot(columns: dict[str, str], fill: str) -> str:
+def _pivot(columns: dict[str, str], fill: str | None) -> str:
+    fill = "NULL" if fill is None else f"'{fill}'"
     cols = ",\n  ".join(
-        f"coalesce(max(CASE WHEN s = '{s}' THEN name_col END), '{fill}') AS {c}"
+        f"coalesce(max(CASE WHEN s = '{s}' THEN name_col END), {fill}) AS {c}"
         for s, c in columns.items())
     return f"SELECT CAST(rank AS BIGINT) AS rank,\n  {cols}\nFROM ranked GROUP BY rank"
 
 
+_FIRST_BY = """
+SELECT subscription_id, rate_plan_product_id FROM (
+  SELECT subscription_id, rate_plan_product_id,
+         row_number() OVER (PARTITION BY subscription_id ORDER BY {}, rate_plan_product_id) AS rn FROM plan_usage)
+WHERE rn = 1"""
+
 TREND_SERIES = {
     "top_all": "top_five_plans_name_per_usage", "least_all": "least_five_plans_name_per_usage",
     "top_50_plus": "top5_plan_grouped50_plus", "least_50_plus": "least5_plan_grouped50_plus",
@@ -418,6 +425,21 @@ UNION ALL SELECT 'trends', source, key, value, reason FROM p
 UNION ALL SELECT 'trends', 'subscriber', NULL, value, reason FROM s
 UNION ALL SELECT 'network', CASE series WHEN 'sms' THEN 'sms_record' ELSE 'voice_call_record' END,
                  subscription_id, NULL, reason FROM l""")),
+        "plan_subscriber_lists": _with("""
+SELECT rate_plan_product_id, chunk, count(*) AS n, string_agg(subscription_id, ',' ORDER BY rn) AS subscribers
+FROM (SELECT rate_plan_product_id, subscription_id, rn, (rn - 1) // 16 AS chunk FROM (
+  SELECT rate_plan_product_id, subscription_id,
+         row_number() OVER (PARTITION BY rate_plan_product_id ORDER BY subscription_id) AS rn FROM plan_usage))
+GROUP BY 1, 2"""),
+        "first_plan_text_arrival": _with(_FIRST_BY.format("CAST(activity_seq AS VARCHAR)")),
+        "first_plan_time_arrival": _with(_FIRST_BY.format("to_timestamp(activity_seq % 1000)")),
+        "topk_empty": _with("""
+SELECT CAST(rank AS BIGINT) AS rank, plan_name FROM (
+  SELECT plan_name, row_number() OVER (ORDER BY n DESC, plan_name) AS rank FROM (
+    SELECT plan_name, count(*) AS n FROM plan_named WHERE series = 'all' GROUP BY 1 HAVING count(*) < 0))
+WHERE rank <= 5"""),
+        "rate_plan_trends_unfilled": _with(_ranked(_counts("plan_named", "plan_name", "keys"), "plan_name", 70)
+                                           + _pivot(TREND_SERIES, None)),
         # sinks (round trips return what they wrote)
         "sink_activity_roundtrip": ACTIVITY,
         "sink_trend_roundtrip": rate_plan_trends("keys"),
@@ -425,6 +447,9 @@ UNION ALL SELECT 'network', CASE series WHEN 'sms' THEN 'sms_record' ELSE 'voice
         "sink_network_documents": network_activity("keys", NETWORK_DOCS, "Rank").replace(
             "SELECT CAST(rank AS BIGINT) AS Rank,", "SELECT 'run-' || rank AS _id, CAST(rank AS BIGINT) AS Rank,"),
     }
+    one = q["sink_network_documents"]
+    both = f"SELECT * FROM ({one}) UNION ALL SELECT * FROM ({one.replace("'run-'", "'next-'")})"
+    q["sink_network_documents_once"] = both
     q |= {"read_rate_plan_documents": q["lookup_rate_plan"], "read_location_documents": q["lookup_location"],
           "read_subscriber_lines": q["scan_subscriber_csv"], "read_activity_snapshot": ACTIVITY,
           "run_all_activity": ACTIVITY, "run_all_trends": q["rate_plan_trends"],

@@ -1,0 +1,158 @@
+"""Replacing tables safely, appending runs once, split predicates."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import make_inputs, rows
+from usagelens.plans import network_activity
+from usagelens.plans.run_all import run_all
+from usagelens.schemas import NETWORK_ACTIVITY
+from usagelens.sinks import append_run, documents, folders, read_documents, read_table, to_documents, warehouse, write_documents, write_table
+from usagelens.sources.jdbc import split_predicates
+
+
+def _net(spark, country="EU"):
+    return network_activity(make_inputs(spark, voice=[("1", 4, "L1"), ("2", 9, "L2")], sms=[("1", "n", "L1")],
+                                        locations=[("L1", country)]))
+
+
+def _killed(df):
+    """Rows of which some are written before the job fails."""
+    bad = F.when(F.col("rank") >= 0, F.raise_error(F.lit("killed")).cast("long")).otherwise(F.col("rank"))
+    return df.unionByName(df.withColumn("rank", bad)).repartition(2)
+
+
+@pytest.mark.parametrize("kind", ["path", "table", "table at path"])
+def test_killed_write_leaves_the_old_rows(spark, scratch_dir, kind):
+    name = f"safe_{kind.replace(' ', '_')}"
+    target = {"path": {"path": f"{scratch_dir}/t"}, "table": {"table": name},
+              "table at path": {"table": name, "path": f"{scratch_dir}/t"}}[kind]
+    where = {"table": name} if "table" in target else target
+    old, new = _net(spark), _net(spark, "Asia")
+    write_table(old, NETWORK_ACTIVITY, **target)
+    with pytest.raises(Exception, match="killed"):
+        write_table(_killed(new), NETWORK_ACTIVITY, **target)
+    assert rows(read_table(spark, NETWORK_ACTIVITY, **where)) == rows(old) != rows(new)
+    write_table(new, NETWORK_ACTIVITY, **target)
+    assert rows(read_table(spark, NETWORK_ACTIVITY, **where)) == rows(new)
+    write_table(old, NETWORK_ACTIVITY, **target)  # reads what it replaces
+    write_table(read_table(spark, NETWORK_ACTIVITY, **where), NETWORK_ACTIVITY, **target)
+    assert rows(read_table(spark, NETWORK_ACTIVITY, **where)) == rows(old)
+
+
+def test_replaced_folders_are_removed(spark, scratch_dir):
+    for _ in range(3):
+        write_table(_net(spark), NETWORK_ACTIVITY, path=f"{scratch_dir}/p")
+        write_table(_net(spark), NETWORK_ACTIVITY, table="safe_few", path=f"{scratch_dir}/t")
+    assert sorted(os.listdir(scratch_dir)) == ["p", "t"]
+    assert len(os.listdir(f"{scratch_dir}/t")) == 1
+
+
+def test_move_that_fails_puts_the_old_folder_back(spark, scratch_dir, monkeypatch):
+    write_table(_net(spark), NETWORK_ACTIVITY, path=f"{scratch_dir}/p")
+    real, moves = folders.move, []
+
+    def move(session, source, target):
+        moves.append(source)
+        if len(moves) == 2:
+            raise OSError("store is away")
+        real(session, source, target)
+
+    monkeypatch.setattr(warehouse, "move", move)
+    with pytest.raises(OSError):
+        write_table(_net(spark, "Asia"), NETWORK_ACTIVITY, path=f"{scratch_dir}/p")
+    assert rows(read_table(spark, NETWORK_ACTIVITY, path=f"{scratch_dir}/p")) == rows(_net(spark))
+
+
+def test_a_table_of_other_columns_is_not_replaced(spark):
+    write_table(_net(spark), NETWORK_ACTIVITY, table="safe_columns")
+    with pytest.raises(ValueError, match="other columns"):
+        write_table(_net(spark).drop("rank"), table="safe_columns")
+    assert rows(read_table(spark, table="safe_columns")) == rows(_net(spark))
+
+
+# ---------------------------------------------------------------- documents
+def test_a_run_is_appended_once(spark, scratch_dir):
+    path, net = f"{scratch_dir}/docs", _net(spark)
+    write_documents(to_documents(net, "plain"), path)
+    assert append_run(to_documents(net, "a"), path, "a")
+    assert not append_run(to_documents(net, "a"), path, "a")
+    assert append_run(to_documents(net, "b"), path, "b")
+    got = sorted(r._id for r in read_documents(spark, path).collect())
+    assert got == sorted(f"{run}-{i + 1}" for run in ("plain", "a", "b") for i in range(net.count()))
+
+
+def test_a_killed_run_adds_nothing_and_can_be_repeated(spark, scratch_dir, monkeypatch):
+    path, net = f"{scratch_dir}/docs", _net(spark)
+    append_run(to_documents(net, "a"), path, "a")
+    with pytest.raises(Exception, match="killed"):
+        append_run(to_documents(_killed(net), "b"), path, "b")
+    monkeypatch.setattr(documents, "create", lambda *a: (_ for _ in ()).throw(OSError("died before the manifest")))
+    with pytest.raises(OSError):
+        append_run(to_documents(net, "b"), path, "b")
+    monkeypatch.undo()
+    assert rows(read_documents(spark, path)) == rows(to_documents(net, "a"))
+    assert append_run(to_documents(net, "b"), path, "b")
+    assert read_documents(spark, path).count() == 2 * net.count()
+
+
+def test_the_first_of_two_attempts_wins(spark, scratch_dir, monkeypatch):
+    path, net = f"{scratch_dir}/docs", _net(spark)
+    real = documents.exists
+    monkeypatch.setattr(documents, "exists", lambda s, p: False if p.endswith("/run") else real(s, p))  # both see no manifest
+    assert append_run(to_documents(net, "run"), path, "run")
+    assert not append_run(to_documents(_net(spark, "Asia"), "run"), path, "run")
+    assert rows(read_documents(spark, path)) == rows(to_documents(net, "run"))
+    with pytest.raises(ValueError):
+        append_run(to_documents(net), path, "../elsewhere")
+
+
+def test_run_all_repeats_a_named_run(spark, scratch_dir):
+    inp = make_inputs(spark, voice=[("1", 4, "L1")], sms=[("1", "n", "L1")], locations=[("L1", "EU")])
+    out = {"network_docs": f"{scratch_dir}/docs"}
+    for _ in range(2):
+        run_all(inp, out, run_id="monday")
+    assert read_documents(spark, out["network_docs"]).count() == 1
+
+
+# ---------------------------------------------------------------- split predicates
+def _parts(spark, values, kind, predicates):
+    df = spark.createDataFrame([(v,) for v in values], f"k {kind}")
+    hits = df.select("k", F.array(*[F.expr(p).cast("int") for p in predicates]).alias("hits")).collect()
+    assert all(sum(x or 0 for x in r.hits) == 1 for r in hits)  # every row in one part
+    return [sum((r.hits[i] or 0) for r in hits) for i in range(len(predicates))]
+
+
+def test_skewed_ids_give_even_parts(spark):
+    rng = random.Random(1)
+    ids = [rng.randrange(1000) if rng.random() < 0.95 else rng.randrange(10 ** 9) for _ in range(6000)]
+    sample = rng.sample(ids, 1500)
+    sizes = _parts(spark, ids + [None] * 10, "long", split_predicates("k", sample, 8))
+    assert len(sizes) == 8 and max(sizes) < 1.5 * len(ids) / 8 and min(sizes) > 0.5 * len(ids) / 8
+
+
+def test_a_key_with_a_third_of_the_rows_is_alone(spark):
+    rng = random.Random(2)
+    ids = [5000 if rng.random() < 0.34 else rng.randrange(10_000) for _ in range(6000)]
+    predicates = split_predicates("k", rng.sample(ids, 2000), 10)
+    sizes = _parts(spark, ids, "long", predicates)
+    assert sum(s > 1.6 * len(ids) / 10 for s in sizes) == 1  # the hot key's; it cannot be cut
+    assert sorted(sizes)[-2] < 1.6 * len(ids) / 10
+
+
+@pytest.mark.parametrize("values,kind", [(["a", "b'c", "d\"e", "é", "", None, "b'c"], "string"), ([1.5, -2.0, 0.0, None], "double"),
+                                         ([None, None], "long"), ([7, 7, 7], "long"), ([], "long")])
+def test_text_quotes_nulls_and_ties(spark, values, kind):
+    sizes = _parts(spark, values, kind, split_predicates("k", values, 3)) if values else [0]
+    assert sum(sizes) == len(values)
+
+
+def test_bad_split_keys():
+    with pytest.raises(TypeError):
+        split_predicates("k", [b"x", b"y"], 2)
+    with pytest.raises(ValueError):
+        split_predicates("k", [1], 0)
+    assert split_predicates("k", [], 4) == ["1 = 1"]

@@ -18,7 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+from pyspark.sql.types import (
+    ByteType, DateType, IntegerType, LongType, ShortType, StringType, TimestampNTZType, TimestampType,
+)
 
 KEYS = "keys"
 RECORDS = "records"
@@ -50,9 +52,10 @@ def per_name_counts(per_key: DataFrame, group_cols: list[str], name_col: str,
     resolved ``name_col`` -> one row per (group, name) with column ``n``."""
     check_count_mode(count_mode)
     if count_mode == SUBSCRIBERS:
-        n = F.count_distinct(F.col(SUBSCRIBER_COL))
-    else:
-        n = F.count(F.lit(1)) if count_mode == KEYS else F.sum("n_records")
+        # two steps: distinct (name, subscriber) pairs, spread by both, then partial counts per name
+        once = per_key.groupBy(*group_cols, name_col, SUBSCRIBER_COL).agg(F.lit(1).alias("once"))
+        return once.groupBy(*group_cols, name_col).agg(F.count(SUBSCRIBER_COL).cast("long").alias("n"))
+    n = F.count(F.lit(1)) if count_mode == KEYS else F.sum("n_records")
     return per_key.groupBy(*group_cols, name_col).agg(n.cast("long").alias("n"))
 
 
@@ -86,14 +89,73 @@ def _unpacked(key: Column, value_type) -> Column:
     return F.when(rest == _dec(_NULL_VALUE), F.lit(None)).otherwise(rest - _dec(_VALUE_SHIFT)).cast(value_type)
 
 
+# A text arrival is compared by its UTF-8 bytes.  The first TEXT_HEAD bytes
+# fit one decimal, the next TEXT_TAIL one together with the value; each part is
+# followed by the number of bytes it has, so that "a" comes before "a\\0".
+TEXT_HEAD, TEXT_TAIL = 15, 11
+
+
+def _text_part(order: Column, start: int, size: int) -> Column:
+    """``size`` bytes of a text from ``start`` on as a number below 16 * 256 ** size."""
+    part = F.substring(order.cast("binary"), start + 1, size)
+    digits = F.rpad(F.hex(part), 2 * size, "0")
+    number = F.lit(0).cast("decimal(38,0)")
+    for at in range(0, 2 * size, 14):  # conv is exact up to 64 bits
+        width = min(14, 2 * size - at)
+        word = F.conv(F.substring(digits, at + 1, width), 16, 10).cast("decimal(20,0)")
+        number = (number * _dec(16 ** width) + word).cast("decimal(38,0)")
+    return (number * _dec(16) + F.length(part)).cast("decimal(38,0)")
+
+
+def _first_by_text(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
+    """Two hash aggregates: the smallest head per key, then, among the rows
+    that have it, the smallest (tail, value).  The join between them is on key
+    and head, so a hot key's rows are spread by when they arrived."""
+    text = F.col(order)
+    longest = TEXT_HEAD + TEXT_TAIL
+    checked = F.when(F.octet_length(text) > longest, F.raise_error(
+        F.concat(F.lit(f"arrival text is longer than {longest} bytes: "), text)).cast("string")).otherwise(text)
+    head = F.coalesce(_text_part(checked, 0, TEXT_HEAD), _dec(16 * 256 ** TEXT_HEAD))  # null comes last
+    tail = F.coalesce(_text_part(text, TEXT_HEAD, TEXT_TAIL), _dec(0))
+    own = F.when(F.col(value).isNull(), _dec(_NULL_VALUE)).otherwise(
+        F.col(value).cast("decimal(38,0)") + _dec(_VALUE_SHIFT))
+    rows = df.select(F.col(key), head.alias("head"), (tail * _dec(_BASE) + own).cast("decimal(38,0)").alias("rest"))
+    low = rows.groupBy(F.col(key).alias("low_key")).agg(F.min("head").alias("low_head"))
+    first = rows.join(low, F.col(key).eqNullSafe(F.col("low_key")) & (F.col("head") == F.col("low_head")), "left_semi")
+    return first.groupBy(key).agg(_unpacked(F.min("rest"), df.schema[value].dataType).alias(value))
+
+
 def first_by(df: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """One row per ``key``: the ``value`` of its first record by ``order``
     (ties broken by the smaller value; null orders and values sort last).  An
     aggregate, not a window: a hot key is reduced map-side instead of
-    being sorted in one task."""
+    being sorted in one task.
+
+    Orders may be integers, dates, timestamps (with or without a zone; one
+    hash aggregate of the packed pair) or text of up to TEXT_HEAD + TEXT_TAIL
+    bytes (two, see ``_first_by_text``); values up to 32 bits.  Other types
+    fall back to a sort-based aggregate.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
-    if isinstance(types[value], _NARROW) and isinstance(types[order], _INTEGRAL):
-        return df.groupBy(key).agg(
-            _unpacked(F.min(_packed(F.col(value), F.col(order))), types[value]).alias(value))
+    if isinstance(types[value], _NARROW):
+        if isinstance(types[order], StringType):
+            return _first_by_text(df, key, value, order)
+        instant = _instant(F.col(order), types[order])
+        if instant is not None:
+            return df.groupBy(key).agg(_unpacked(F.min(_packed(F.col(value), instant)), types[value]).alias(value))
     ordering = F.struct(F.col(order).isNull(), F.col(order), F.col(value).isNull(), F.col(value))
     return df.groupBy(key).agg(F.min_by(F.col(value), ordering).alias(value))
+
+
+def _instant(order: Column, kind) -> Column | None:
+    """The order as an integer, if its type has one."""
+    if isinstance(kind, _INTEGRAL):
+        return order
+    if isinstance(kind, DateType):
+        return F.unix_date(order)
+    if isinstance(kind, TimestampNTZType):  # its fields, whatever the session's zone
+        minutes = (F.unix_date(order.cast("date")).cast("long") * 24 + F.hour(order)) * 60 + F.minute(order)
+        return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), order) * 1_000_000).cast("long")
+    if isinstance(kind, TimestampType):
+        return F.unix_micros(order)
+    return None

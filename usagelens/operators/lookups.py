@@ -12,6 +12,8 @@ in the fact and takes the *first* catalogue value of a key.  Here:
   once its aggregate has run, and broadcasts it if it is below
   ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that the join
   stays a shuffle join whose skewed partitions are split.
+* ``salted_lookup`` does the same for rows that could not be counted per
+  key first (one row per key and subscriber).
 """
 
 from __future__ import annotations
@@ -19,6 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Tasks a hot key is dealt out to by ``salted_lookup``.
+SALTS = 16
+
 
 def dedupe_catalogue(catalogue: DataFrame, key: str, value: str) -> DataFrame:
     return (catalogue.where(F.col(key).isNotNull())
@@ -29,3 +34,14 @@ def lookup(fact: DataFrame, catalogue: DataFrame, key: str, value: str) -> DataF
     """``fact`` left-joined with ``dedupe(catalogue)`` on ``key``; adds column
     ``value`` (null where the catalogue has no entry)."""
     return fact.join(dedupe_catalogue(catalogue.select(key, value), key, value), key, "left")
+
+
+def salted_lookup(fact: DataFrame, catalogue: DataFrame, key: str, value: str, salt_by: str,
+                  salts: int = SALTS) -> DataFrame:
+    """``lookup`` for facts with very many rows a key: the key is dealt out by
+    a hash of ``salt_by`` as well, against as many copies of the deduplicated
+    catalogue, so that no task gets all rows of a hot key."""
+    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    names = dedupe_catalogue(catalogue.select(key, value), key, value).withColumn("lookup_salt", salt)
+    dealt = fact.withColumn("lookup_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
+    return dealt.join(names, [key, "lookup_salt"], "left").drop("lookup_salt")

@@ -14,7 +14,8 @@ RANGES, SAMPLE, FEW = 32, 2_000, 4_096
 _PLACE_BITS = 33
 
 
-def numbered(df: DataFrame, order: list[Column], name: str = "n") -> tuple[DataFrame, int]:
+def numbered(df: DataFrame, order: list[Column], name: str = "n",
+             within: list[str] | None = None) -> tuple[DataFrame, int]:
     """(``df`` with its row numbers 1, 2, ... in ``order`` as ``name``, number of rows).
 
     One range shuffle: each task sorts its range and numbers its rows; the
@@ -22,20 +23,30 @@ def numbered(df: DataFrame, order: list[Column], name: str = "n") -> tuple[DataF
     Rows equal in ``order`` are told apart by their place in ``df``, so a value
     that very many rows share is spread over tasks.  ``df`` should be a stored
     table, as range bounds are sampled from it first.
+
+    With ``within`` each combination of those columns is numbered from 1 by
+    itself; a key of many rows lies in many ranges and is summed over them.
     """
-    tie, at = f"{name}__tie", f"{name}__at"
+    keys = list(within or [])
+    tie, at, part = f"{name}__tie", f"{name}__at", f"{name}__part"
+    first = [F.col(f"`{k}`").asc_nulls_first() for k in keys]
     rows = df.withColumn(tie, F.monotonically_increasing_id())
-    ranged = rows.repartitionByRange(*order, F.col(tie)).sortWithinPartitions(*order, F.col(tie)).drop(tie)
+    sort = [*first, *order, F.col(tie)]
+    ranged = rows.repartitionByRange(*sort).sortWithinPartitions(*sort).drop(tie)
     placed = stored(ranged.withColumn(at, F.monotonically_increasing_id()), "numbered")
-    part = F.shiftright(F.col(at), _PLACE_BITS)
-    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = stored(sizes.select(F.col("part").alias(f"{name}__part"), "rows",
-                                 F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(f"{name}__before")), "starts")
+    placed = placed.withColumn(part, F.shiftright(F.col(at), _PLACE_BITS))
+    of = [F.col(f"`{k}`").alias(f"{name}__{i}") for i, k in enumerate(keys)]
+    sizes = placed.groupBy(part, *of).agg(F.count(F.lit(1)).alias("rows"), F.min(at).alias("start"))
+    before = (Window.partitionBy(*[f"{name}__{i}" for i in range(len(keys))]).orderBy(part)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    starts = stored(sizes.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("start") + 1)
+                    .withColumnsRenamed({"before": f"{name}__before", part: f"{name}__of"}).drop("start"), "starts")
     total = starts.agg(F.sum("rows")).first()[0] or 0
-    place = F.col(at).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    out = placed.join(starts.drop("rows"), part == F.col(f"{name}__part")).select(
-        *[F.col(f"`{c}`") for c in df.columns], (F.col(f"{name}__before") + place + 1).alias(name))
+    on = F.col(part) == F.col(f"{name}__of")
+    for i, k in enumerate(keys):
+        on = on & F.col(f"`{k}`").eqNullSafe(F.col(f"{name}__{i}"))
+    out = placed.join(starts.drop("rows"), on).select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col(at) + F.col(f"{name}__before")).alias(name))
     return out, total
 
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.cleaning import LENIENT, STRICT, check_mode
 from usagelens.functions.labels import country_label
-from usagelens.operators.counting import KEYS, key_columns, per_key_counts, per_name_counts
-from usagelens.operators.lookups import lookup
+from usagelens.operators.counting import KEYS, SUBSCRIBER_COL, SUBSCRIBERS, key_columns, per_key_counts, per_name_counts
+from usagelens.operators.lookups import lookup, salted_lookup
 from usagelens.operators.ranking import merge_ranks, top_and_least, top_k
 from usagelens.schemas import NETWORK_ACTIVITY, NETWORK_COLUMNS, NOT_KNOWN
 from usagelens.sources import UsageInputs, location_catalogue, scan
@@ -51,8 +51,11 @@ def location_rejects(inputs: UsageInputs, truncate_ids: bool = False) -> DataFra
     return out
 
 
-def _name_locations(per_key: DataFrame, inputs: UsageInputs, mode: str, truncate_ids: bool) -> DataFrame:
-    named = lookup(per_key, location_catalogue(inputs, truncate_ids), "location_cd", "country")
+def _name_locations(per_key: DataFrame, inputs: UsageInputs, mode: str, truncate_ids: bool,
+                    count_mode: str = KEYS) -> DataFrame:
+    catalogue = location_catalogue(inputs, truncate_ids)
+    named = (salted_lookup(per_key, catalogue, "location_cd", "country", SUBSCRIBER_COL)
+             if count_mode == SUBSCRIBERS else lookup(per_key, catalogue, "location_cd", "country"))
     label = country_label("country", "location_cd")
     if mode == STRICT:
         label = F.coalesce(label, F.raise_error(F.lit("null location code cannot be labelled")))
@@ -64,7 +67,7 @@ def country_counts(inputs: UsageInputs, series: str, count_mode: str = KEYS,
     """(country, n) for one series."""
     per_key = per_key_counts(location_records(inputs, series, mode, truncate_ids),
                              key_columns(["location_cd"], count_mode))
-    return per_name_counts(_name_locations(per_key, inputs, mode, truncate_ids), [], "country", count_mode)
+    return per_name_counts(_name_locations(per_key, inputs, mode, truncate_ids, count_mode), [], "country", count_mode)
 
 
 def country_lookup(inputs: UsageInputs, series: str, mode: str = STRICT,
@@ -91,6 +94,7 @@ def network_activity(inputs: UsageInputs, count_mode: str = KEYS, mode: str = ST
         part = per_key_counts(location_records(inputs, series, mode, truncate_ids),
                               keys).select(F.lit(series).alias("series"), *keys, "n_records")
         per_key = part if per_key is None else per_key.unionByName(part)
-    counts = per_name_counts(_name_locations(per_key, inputs, mode, truncate_ids), ["series"], "country", count_mode)
+    named = _name_locations(per_key, inputs, mode, truncate_ids, count_mode)
+    counts = per_name_counts(named, ["series"], "country", count_mode)
     ranked = top_and_least(counts, k, "series", "country")
     return merge_ranks(ranked, "series", "country", SERIES_COLUMNS, fill).to(NETWORK_ACTIVITY)

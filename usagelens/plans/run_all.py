@@ -36,7 +36,7 @@ from usagelens.plans.network import network_activity
 from usagelens.plans.rejects import rejects
 from usagelens.plans.trends import rate_plan_trends
 from usagelens.schemas import ACTIVITY_SNAPSHOT, NETWORK_ACTIVITY, RATE_PLAN_TRENDS, REJECTS
-from usagelens.sinks.documents import to_documents, write_documents
+from usagelens.sinks.documents import append_run, to_documents, write_documents
 from usagelens.sinks.warehouse import read_table, write_table
 from usagelens.session import checkpoint_dir
 from usagelens.sources.files import load_inputs_from_paths, write_inputs
@@ -51,7 +51,8 @@ def run_all(inputs: UsageInputs, outputs: dict, mode: str = STRICT, count_mode:
             truncate_ids: bool = False, docs_mode: str = "append",
             materialize_inputs: bool = False, run_id: str | None = None) -> None:
     """Write the requested products.  ``run_id`` goes into the document ids
-    (a fresh one by default).  ``materialize_inputs`` first writes
+    (a fresh one by default); a run that is named appends its documents once,
+    however often the job is repeated.  ``materialize_inputs`` first writes
     derived inputs (e.g. the test-data adapter's joins) once under the
     shared checkpoint folder and reads them back, so the three products do
     not each recompute them and their lineage starts at stored files."""
@@ -73,8 +74,11 @@ def run_all(inputs: UsageInputs, outputs: dict, mode: str = STRICT, count_mode:
             write_table(network, NETWORK_ACTIVITY, num_files=1, **target)
             network = read_table(network.sparkSession, NETWORK_ACTIVITY, **target)
         if "network_docs" in outputs:
-            write_documents(to_documents(network, run_id or uuid.uuid4().hex), outputs["network_docs"],
-                            mode=docs_mode, num_files=1)
+            documents = to_documents(network, run_id or uuid.uuid4().hex)
+            if run_id and docs_mode == "append":
+                append_run(documents, outputs["network_docs"], run_id, num_files=1)
+            else:
+                write_documents(documents, outputs["network_docs"], mode=docs_mode, num_files=1)
     if mode == LENIENT:
         write_table(rejects(inputs), REJECTS, **_target(outputs["rejects"]))
 

@@ -30,9 +30,10 @@ from usagelens.functions.cleaning import (
 )
 from usagelens.functions.labels import plan_label
 from usagelens.operators.counting import (
-    KEYS, SUBSCRIBERS, first_by, key_columns, per_key_counts, per_name_counts,
+    KEYS, SUBSCRIBER_COL, SUBSCRIBERS, first_by, key_columns, per_key_counts, per_name_counts,
 )
-from usagelens.operators.lookups import lookup
+from usagelens.operators.lists import LIST_SIZE, chunked_lists
+from usagelens.operators.lookups import lookup, salted_lookup
 from usagelens.operators.ranking import merge_ranks, top_and_least, top_k
 from usagelens.schemas import AGE_BANDS, GENERAL_PLAN, RATE_PLAN_TRENDS, TREND_COLUMNS
 from usagelens.sources import UsageInputs, plan_catalogue, scan
@@ -151,8 +152,12 @@ def subscriber_plan_or_zero(inputs: UsageInputs, mode: str = STRICT,
         "subscription_id")
 
 
-def _name_plans(per_key: DataFrame, inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
-    named = lookup(per_key, plan_catalogue(inputs, mode), PLAN_ID, "rate_plan_name")
+def _name_plans(per_key: DataFrame, inputs: UsageInputs, mode: str = STRICT, count_mode: str = KEYS) -> DataFrame:
+    """Plan names of one row per plan id, or in ``subscribers`` mode of one per
+    plan id and subscriber, which a hot plan has very many of."""
+    catalogue = plan_catalogue(inputs, mode)
+    named = (salted_lookup(per_key, catalogue, PLAN_ID, "rate_plan_name", SUBSCRIBER_COL)
+             if count_mode == SUBSCRIBERS else lookup(per_key, catalogue, PLAN_ID, "rate_plan_name"))
     return named.withColumn(PLAN_NAME, plan_label("rate_plan_name")).drop("rate_plan_name")
 
 
@@ -190,7 +195,7 @@ def plan_usage_counts(inputs: UsageInputs, count_mode: str = KEYS, mode: str = S
                       truncate_ids: bool = False) -> DataFrame:
     """(plan_name, n) over all usage."""
     per_key = per_key_counts(plan_usage(inputs, truncate_ids, mode), key_columns([PLAN_ID], count_mode))
-    return per_name_counts(_name_plans(per_key, inputs, mode), [], PLAN_NAME, count_mode)
+    return per_name_counts(_name_plans(per_key, inputs, mode, count_mode), [], PLAN_NAME, count_mode)
 
 
 def plan_by_age_counts(inputs: UsageInputs, count_mode: str = KEYS, mode: str = STRICT,
@@ -198,7 +203,7 @@ def plan_by_age_counts(inputs: UsageInputs, count_mode: str = KEYS, mode: str =
     """(age_band, plan_name, n) from each subscriber's first plan."""
     per_key = per_key_counts(subscriber_plan(inputs, mode, truncate_ids),
                              key_columns(["age_band", PLAN_ID], count_mode))
-    return per_name_counts(_name_plans(per_key, inputs, mode), ["age_band"], PLAN_NAME, count_mode)
+    return per_name_counts(_name_plans(per_key, inputs, mode, count_mode), ["age_band"], PLAN_NAME, count_mode)
 
 
 def top_plans(inputs: UsageInputs, k: int = 5, descending: bool = True,
@@ -214,6 +219,14 @@ def top_plans_by_age(inputs: UsageInputs, k: int = 5, descending: bool = True,
                  ["age_band"], "n", PLAN_NAME)
 
 
+def plan_subscriber_lists(inputs: UsageInputs, size: int = LIST_SIZE, mode: str = STRICT,
+                          truncate_ids: bool = False) -> DataFrame:
+    """(rate_plan_product_id, chunk, subscribers): the subscriber of every
+    usage record of a plan, in lists of at most ``size``."""
+    usage = plan_usage(inputs, truncate_ids, mode)
+    return chunked_lists(usage, PLAN_ID, SUBSCRIBER_COL, size).withColumnRenamed("values", "subscribers")
+
+
 # ---------------------------------------------------------------- product
 def rate_plan_trends(inputs: UsageInputs, count_mode: str = KEYS, mode: str = STRICT,
                      truncate_ids: bool = False, k: int = 5,
@@ -229,7 +242,7 @@ def ranked_plan_lists(inputs: UsageInputs, count_mode: str = KEYS, mode: str = S
     """The 10 ranked lists in long form, before the rank merge:
     (series, rank, plan_name) with series ``top_all`` ... ``least_18_less``."""
     check_mode(mode)
-    named = _name_plans(_series_per_key(inputs, mode, truncate_ids, count_mode), inputs, mode)
+    named = _name_plans(_series_per_key(inputs, mode, truncate_ids, count_mode), inputs, mode, count_mode)
     counts = per_name_counts(named, ["series"], PLAN_NAME, count_mode)
     return top_and_least(counts, k, "series", PLAN_NAME)
 
