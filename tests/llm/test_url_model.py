@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -23,30 +24,30 @@ def rule(host, path):
 
 
 def brute(pages):
-    parts = [(p, *split(u)) for p, u in pages]
-    urls = {h + q: (rule(h, q).verdict if rule(h, q) else None) for _, h, q in parts}
+    parts = [(p, u or "", *split(u)) for p, u in pages]
+    urls = {u: (rule(h, q).verdict if rule(h, q) else None) for _, u, h, q in parts}
     held = {u for u in urls if hashlib.md5(u.encode()).hexdigest()[0] in HELD_OUT}
-    counts = {"allow": Counter(), "block": Counter()}
+    counts = {(label, all_): Counter() for label in ("allow", "block") for all_ in (True, False)}
     for u, label in urls.items():
-        if label and u not in held:
+        for all_ in (True, False) if label else ():
             t = START * ORDER + u + END
-            for i in range(ORDER, len(t)):
+            for i in range(ORDER, len(t)) if all_ or u not in held else ():
                 for k in range(ORDER + 1):
-                    counts[label][t[i - k:i], t[i]] += 1
-                    counts[label][t[i - k:i]] += 1
+                    counts[label, all_][t[i - k:i], t[i]] += 1
+                    counts[label, all_][t[i - k:i]] += 1
 
-    def p(label, context, c):
-        lower = p(label, context[1:], c) if context else 1 / ALPHABET
-        return (counts[label][context, c] + M * lower) / (counts[label][context] + M)
+    def p(which, context, c):
+        lower = p(which, context[1:], c) if context else 1 / ALPHABET
+        return (counts[which][context, c] + M * lower) / (counts[which][context] + M)
 
-    def step(u):
+    def step(u, all_):
         t = START * ORDER + u + END
-        total = sum(round(1e6 * (math.log(p("allow", t[i - ORDER:i], t[i])) - math.log(p("block", t[i - ORDER:i], t[i]))))
-                    for i in range(ORDER, len(t)))
+        total = sum(round(1e6 * (math.log(p(("allow", all_), t[i - ORDER:i], t[i]))
+                                 - math.log(p(("block", all_), t[i - ORDER:i], t[i])))) for i in range(ORDER, len(t)))
         return math.floor(total / (len(t) - ORDER) / STEP)
 
-    steps = {u: step(u) for u in urls if urls[u] is None or u in held}
-    known = [(s, urls[u]) for u, s in steps.items() if urls[u]]
+    known = [(step(u, False), urls[u]) for u in held if urls[u]]
+    steps = {u: step(u, True) for u in urls if urls[u] is None}
     n = Counter(label for _, label in known)
     best, threshold = 0, 0
     for at in sorted({s for s, _ in known}):
@@ -54,10 +55,9 @@ def brute(pages):
         if gain > best:
             best, threshold = gain, at
     out = []
-    for page, h, q in parts:
+    for page, u, h, q in parts:
         r = rule(h, q)
-        out.append((page, h, q, r.name if r else None,
-                    r.verdict if r else "allow" if steps[h + q] >= threshold else "block"))
+        out.append((page, h, q, r.name if r else None, r.verdict if r else "allow" if steps[u] >= threshold else "block"))
     return out
 
 
@@ -89,3 +89,16 @@ def test_rules_alone(spark):
 def test_no_labels_and_no_rows(spark):
     assert run(spark, [(1, "http://a.com/x"), (2, None)]) == [(1, "a.com", "/x", None, "allow"), (2, "", "", None, "allow")]
     assert run(spark, []) == []
+
+
+def test_the_whole_url_is_read(spark):
+    """URLs that differ behind the path alone get verdicts of their own."""
+    rng = random.Random(4)
+    tails = ["?ok=yes&good=1#fine", "?xx=zzz&bad=0#worse"]
+    noise = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(rng.randrange(30)))
+    pages = [(1000 * n + i, f"http://x{i % 7}.{place}/fr/{noise()}{tails[n]}") for n, place in enumerate(("org", "net"))
+             for i in range(150)]
+    pages += [(9000 + n, f"http://x1.edu/fr/{end}") for n, end in enumerate(tails)]
+    got = run(spark, pages)
+    verdict = {r[0]: r[4] for r in got}
+    assert (verdict[9000], verdict[9001]) == ("allow", "block") and got == sorted(brute(pages), key=repr)

@@ -109,41 +109,44 @@ def url_model_sql(rules: list[url_model.Rule]) -> str:
             f" THEN {_text(getattr(r, field))}" for r in sorted(rules, key=lambda r: (-len(r.name), r.name)))
         return f"CASE{best} END"
 
-    m, base, k = url_model.M, 1 / url_model.ALPHABET, url_model.ORDER
+    m, base, k, sets = url_model.M, 1 / url_model.ALPHABET, url_model.ORDER, url_model.SETS
+    sums = ", ".join(f"sum({c}) AS {c}" for c in sets)
     levels = "".join(f"""
-g{n} AS (SELECT substring(gram, 2) AS gram, sum(a) AS a, sum(r) AS r FROM g{n + 1} GROUP BY 1),"""
-                     for n in range(k - 1, -1, -1))
+g{n} AS (SELECT substring(gram, 2) AS gram, {sums} FROM g{n + 1} GROUP BY 1),""" for n in range(k - 1, -1, -1))
     models = ""
     for n in range(k + 1):
         lower = f"JOIN p{n - 1} l ON substring(g.gram, 2) = l.gram" if n else ""
-        la, lr = ("l.pa", "l.pr") if n else (f"{base!r}::DOUBLE",) * 2
+        shares = ", ".join(f"(g.{c}::DOUBLE + {m}::DOUBLE * {f'l.p_{c}' if n else f'{base!r}::DOUBLE'})"
+                           f" / (t.{c}::DOUBLE + {m}::DOUBLE) AS p_{c}" for c in sets)
         models += f"""
-t{n} AS (SELECT substring(gram, 1, {n}) AS context, sum(a) AS a, sum(r) AS r FROM g{n} GROUP BY 1),
-p{n} AS (
-  SELECT g.gram, (g.a::DOUBLE + {m}::DOUBLE * {la}) / (t.a::DOUBLE + {m}::DOUBLE) AS pa,
-         (g.r::DOUBLE + {m}::DOUBLE * {lr}) / (t.r::DOUBLE + {m}::DOUBLE) AS pr
-  FROM g{n} g JOIN t{n} t ON substring(g.gram, 1, {n}) = t.context {lower}),"""
+t{n} AS (SELECT substring(gram, 1, {n}) AS context, {sums} FROM g{n} GROUP BY 1),
+p{n} AS (SELECT g.gram, {shares} FROM g{n} g JOIN t{n} t ON substring(g.gram, 1, {n}) = t.context {lower}),"""
     held = ", ".join(map(_text, url_model.HELD_OUT))
     return f"""
 WITH rest AS (
-  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest
+  SELECT page_id, coalesce(url, '') AS url,
+         CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest
   FROM pages),
 split AS (
-  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), '{url_model.UPPER}', '{url_model.LOWER}') AS host,
+  SELECT page_id, url, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), '{url_model.UPPER}', '{url_model.LOWER}') AS host,
          regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
-ruled AS (SELECT *, host || path AS url, {chosen('name')} AS rule, {chosen('verdict')} AS label FROM split),
+ruled AS (SELECT *, {chosen('name')} AS rule, {chosen('verdict')} AS label FROM split),
 urls AS (SELECT url, min(label) AS label, substring(md5(url), 1, 1) IN ({held}) AS held FROM ruled GROUP BY url),
 places AS (
   SELECT url, label, held, substring(t, i, {k + 1}) AS gram FROM (
     SELECT *, unnest(range(1, length(t) - {k} + 1)) AS i FROM (
       SELECT *, repeat(chr({ord(url_model.START)}), {k}) || url || chr({ord(url_model.END)}) AS t FROM urls))),
 g{k} AS (
-  SELECT gram, count(*) FILTER (label = 'allow' AND NOT held) AS a, count(*) FILTER (label = 'block' AND NOT held) AS r
+  SELECT gram, count(*) FILTER (label = 'allow' AND NOT held) AS a, count(*) FILTER (label = 'block' AND NOT held) AS r,
+         count(*) FILTER (label = 'allow') AS all_a, count(*) FILTER (label = 'block') AS all_r
   FROM places GROUP BY gram),{levels}{models}
-ratios AS (SELECT gram, CAST(round(1e6::DOUBLE * (ln(pa) - ln(pr))) AS BIGINT) AS ratio FROM p{k}),
+ratios AS (
+  SELECT gram, CAST(round(1e6::DOUBLE * (ln(p_a) - ln(p_r))) AS BIGINT) AS ratio,
+         CAST(round(1e6::DOUBLE * (ln(p_all_a) - ln(p_all_r))) AS BIGINT) AS all_ratio FROM p{k}),
 scores AS (
   SELECT url, min(label) AS label,
-         CAST(floor(sum(ratio)::DOUBLE / count(*)::DOUBLE / {url_model.STEP}::DOUBLE) AS BIGINT) AS step
+         CAST(floor(sum(CASE WHEN label IS NULL THEN all_ratio ELSE ratio END)::DOUBLE / count(*)::DOUBLE
+                    / {url_model.STEP}::DOUBLE) AS BIGINT) AS step
   FROM places JOIN ratios USING (gram) WHERE label IS NULL OR held GROUP BY url),
 steps AS (
   SELECT step, count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS r
