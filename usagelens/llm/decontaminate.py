@@ -21,8 +21,9 @@ that shares one with an item is confirmed with it even if the index did not
 name the pair.
 
 Which prefix shingles the items of a length have is told to the tasks by two
-bitmaps (one for any length and one keyed by length; false positives cost
-time only) of 16 bits a prefix shingle, and ``MOST_BITS`` bits at most.
+bitmaps (one for any length and one, with two places each, keyed by length;
+false positives cost time only) of 64 bits a prefix shingle, between
+``LEAST_BITS`` and ``MOST_BITS`` (32 MB each) whatever the benchmark.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; null
 text is empty; a text without words matches nothing; an item or document of
@@ -50,7 +51,7 @@ K = 5
 THRESHOLD = 0.8
 BLOCKS, REACH = 4, 3
 RADIUS = BLOCKS * (REACH + 1) - 1
-LEAST_BITS, MOST_BITS = 1 << 16, 1 << 28  # powers of two
+LEAST_BITS, MOST_BITS = 1 << 23, 1 << 28  # powers of two
 _U = np.uint64
 Batches = Iterator[pa.RecordBatch]
 
@@ -110,13 +111,14 @@ def _bitmaps(items: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     comes to the driver is at most MOST_BITS / 64 longs for each, whatever
     the items."""
     n = items.agg(F.sum(F.size("prefix"))).first()[0] or 0
-    size = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * n).bit_length()))
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (64 * n).bit_length()))
 
     def places(batches: Batches) -> Batches:
         for batch in batches:
             for length, own in zip(batch.column(0).to_pylist(), batch.column(1)):
                 h = np.array(own.values).view(np.uint64)
-                at = np.concatenate((h % _U(size), _keyed(h, length) % _U(size) + _U(size)))
+                keyed = _keyed(h, length)
+                at = np.concatenate((h % _U(size), keyed % _U(size) + _U(size), (keyed >> _U(32)) % _U(size) + _U(size)))
                 yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64))], names=["at"])
     words = (items.select("size", "prefix").transform(arrow, places, "at long")
              .groupBy(F.floor(F.col("at") / 64).alias("word"))
@@ -153,7 +155,9 @@ def _window_rows(k: int, sizes: list[int], bitmaps, threshold: float) -> Callabl
         step = max(1, (1 << 20) // max(1, len(marked)))
         for at in range(0, len(every) if len(marked) else 0, step):
             some = every[at:at + step]
-            row, place = np.divmod(_marked(keyed, wordhash.mix(mixed[marked] + some[:, None]).reshape(-1)), len(marked))
+            keys = wordhash.mix(mixed[marked] + some[:, None]).reshape(-1)
+            hits = _marked(keyed, keys)
+            row, place = np.divmod(hits[_marked(keyed, keys[hits] >> _U(32))], len(marked))
             for r in np.unique(row).tolist():
                 yield int(some[r]), marked[place[row == r]]
 
