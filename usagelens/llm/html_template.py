@@ -1,29 +1,40 @@
 """Main text of web pages, by template deduction over the pages of a host.
 
-Every element of a page has a path: the block elements around it with their
-class or id.  Over the pages of a host, paths with the same occurrence
-vector (how often on which page) form an equivalence class.  A class of two
-paths or more on ``MIN_PAGES`` pages or more is valid; nested by their paths
-the valid classes are the host's template, and what lies directly at a path
-is a slot.  A slot of the template that holds the same text on every page is
-the template's own text if its pages have ``MIN_PAGES`` different main blocks
-or more; the main block of a page is its longest slot that no name hides.  So
-copies of one page have one vote, and do not make their text a template.
-
-The text of a page is what the other slots hold, in page order, without
-those inside menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments (by the names on their paths) and, on a page with an
-``article`` or ``main`` element, without those outside it.  A form or an
-element with such a name that holds an ``article`` or ``main`` element does
-not hide it; of several articles those under the fewest such names are read,
-so a sidebar's or a comment's give way to the page's own.  A slot inside
-such an element is never taken for template text: copies of one article on
-a host would look like it.
+A page is a sequence of tokens: the opening of each block element, named by
+its path (the block elements around it with their class or id, digits
+folded), and each block of text, named by its path and its words.  Over the
+pages of a host, tokens with the same occurrence vector (how often on which
+page) form an equivalence class.
+
+A class is *valid* if it has two tokens or more and its pages have
+``min_pages`` different main blocks or more.  (The main block of a page is the
+longest text at one path that no name hides, so copies of one page have one vote and do
+not make their text a template.)  Its texts count only if it is *ordered*: its
+tokens come in one order on all its pages.  Valid classes are *nested*: the
+innermost element around all tokens of a class has to open in a valid class on
+at least as many pages, up to the page itself; a class that hangs in the air
+is none.  The texts of nested, ordered classes are the template's own; what
+lies between them are the slots, and these are extracted.
+
+Names decide afterwards, on what the template left: slots inside menus,
+headers, footers, sidebars, notices, adverts, forms and reader comments go.
+On a page with an ``article`` or ``main`` element the slots outside it go as
+well; a form or an element with such a name that holds one does not hide it;
+of several articles those under the fewest such names are read, so a sidebar's
+or a comment's give way to the page's own.  An article's own ``header`` holds
+its title and stays.  Words that also name a part of an article (``related``,
+``notice``, ``banner``, ``header``, ``footer``) hide one inside it only where
+they are its whole class or id.
+
+Inside an ``article`` or ``main`` element a text is template text only if it
+stands once on every page of the host: passages that some articles share are
+theirs.
 
 Vectors are XORs of per-page hashes, so they combine before the shuffle and
-no host's pages meet in one task; the template table holds only hosts with
-text of their own, a few paths each.  A host of one page has no classes and
-is read by names alone.
+no host's pages meet in one task.  Pages are parsed once; everything after
+works on the parsed blocks.  What goes from a page is listed per page, so a
+list is no longer than the page, whatever the host.  A host of one page has no
+classes and is read by names alone.
 
 Defined cases: null or empty html gives an empty text; null url has no host
 and no template; markup that never closes ends with the page; repeated rows
@@ -34,6 +45,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -58,6 +70,7 @@ CONTENT = frozenset("article main".split())
 NAMES = frozenset("""ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie
     cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice popup promo related share
     sidebar social sponsored""".split())
+AMBIGUOUS = frozenset("banner footer header notice related".split())
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -65,6 +78,7 @@ _MARKUP = re.compile(
 _RAW_END = {tag: re.compile(f"</{tag}[^>]*+>?", re.I) for tag in RAW}
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[^a-z0-9]+")
+_DIGITS = re.compile(r"\d+")
 
 
 class _Element:
@@ -74,13 +88,16 @@ class _Element:
         names = [(k.lower(), (a or b or c).lower()) for k, a, b, c in _NAMED.findall(attributes)] if attributes else []
         words = {w for _, v in names for w in _WORDS.split(v)}
         self.tag = tag
-        label = ".".join([tag, *[v for k, v in names if k != "role"]])
+        label = ".".join([tag, *[_DIGITS.sub("#", v).replace("/", "|") for k, v in names if k != "role"]])
         self.path = f"{around.path}/{label}" if around else label
         opens = tag in CONTENT or ("role", "main") in names
-        named = not opens and tag not in ("html", "body") and bool(words & NAMES)
         inside = around.content if around else ""
-        part = named and inside and any(w in NAMES for _, v in names for w in v.split())
-        self.never = bool(around and around.never) or bool(part) or tag in HIDDEN - WRAPS
+        whole = {v.strip() for _, v in names}  # inside an article, ambiguous words count only alone
+        known = (NAMES - AMBIGUOUS | whole & AMBIGUOUS) if inside else NAMES
+        named = not opens and tag not in ("html", "body") and bool(words & known)
+        part = named and inside and any(w in known for _, v in names for w in v.split())
+        titled = tag == "header" and inside == "article"
+        self.never = bool(around and around.never) or bool(part) or (tag in HIDDEN - WRAPS and not titled)
         self.covered = not opens and (bool(around and around.covered) or named or tag in WRAPS)
         self.wraps = (around.wraps if around else 0) + named
         self.content = ("article" if tag == "article" else "main") if opens else inside
@@ -131,97 +148,175 @@ def blocks(page: str) -> Iterator[tuple[_Element, str]]:
     yield from flush()
 
 
-def main_text(page: str, template: frozenset[str] = frozenset()) -> str:
-    """The text of a page whose host has template text at these paths."""
-    found = [(e, t) for e, t in blocks(page) if not e.hidden]
-    if any(e.content for e, _ in found):
-        least: dict[str, int] = {}
-        for e, t in found:
-            if t and e.content:
-                least[e.content] = min(e.wraps, least.get(e.content, e.wraps))
-        own = [t for e, t in found if t and e.content and e.wraps == least[e.content]]
-    else:
-        own = [t for e, t in found if t and e.path not in template]
-    return "\n\n".join(own)
-
-
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, "://([^/?#]*)", 1))
 
 
 def _digest(text: str) -> int:
-    return int.from_bytes(blake2b(text.encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
-
-
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(page, host, path, n, text, content, main): of each path on a page, how
-    often it opens and all the text directly at it; ``main`` is a hash of
-    the page's longest slot that no name hides, null where none holds text."""
+    """Never 0, which stands for the opening of an element."""
+    return int.from_bytes(blake2b(text.encode(errors="replace"), digest_size=8).digest(), "big", signed=True) or 1
+
+
+#: What a page is parsed to.  ``t`` is a text's digest, or 0 for an element;
+#: ``n`` counts a token on the page, ``at`` is where it comes first.
+PARSED = ("blocks array<struct<path:string,t:long,text:string,content:string,hidden:boolean,wraps:int>>, "
+          "tokens array<struct<path:string,t:long,n:int,at:int>>, framed boolean, main long")
+_BLOCK = pa.struct([("path", pa.string()), ("t", pa.int64()), ("text", pa.string()), ("content", pa.string()),
+                    ("hidden", pa.bool_()), ("wraps", pa.int32())])
+_TOKEN = pa.struct([("path", pa.string()), ("t", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
+
+
+def parse(page: str) -> tuple[list[tuple], list[tuple], bool, int | None]:
+    """(blocks of text, tokens, whether a visible article or main element
+    opens, hash of the longest text at one path that no name hides) of a page."""
+    found, counts, first = [], Counter([("", 0)]), {("", 0): 0}
+    framed, slots = False, {}
+    for place, (element, text) in enumerate(blocks(page), 1):
+        hidden = element.hidden
+        framed |= bool(element.content) and not hidden
+        token = (element.path, _digest(text) if text else 0)
+        counts[token] += 1
+        first.setdefault(token, place)
+        if text:
+            found.append((*token, text, element.content, hidden, element.wraps))
+            if not hidden:
+                slots.setdefault(element.path, []).append(text)
+    tokens = [(path, t, n, first[path, t]) for (path, t), n in counts.items()]
+    longest = max(("\n".join(texts) for texts in slots.values()), key=len, default="")
+    return found, tokens, framed, _digest(longest) if longest else None
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows: list[tuple] = []
-        for page, of, source in zip(*(c.to_pylist() for c in batch.columns)):
-            seen: dict[str, list] = {}
-            for element, text in blocks(source or ""):
-                slot = seen.setdefault(element.path, [0, [], bool(element.content), element.hidden])
-                if text:
-                    slot[1].append(text)
-                else:
-                    slot[0] += 1
-            joined = [(path, n, "\n".join(text), content, hidden) for path, (n, text, content, hidden) in seen.items()]
-            longest = max((t for _, _, t, _, hidden in joined if not hidden), key=len, default="")
-            main = _digest(longest) if longest else None
-            rows += [(page, of, path, n, text, content, main) for path, n, text, content, _ in joined]
-        columns = list(zip(*rows)) or [[]] * 7
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                         names=["page", "host", "path", "n", "text", "content", "main"])
-
-
-def host_paths(pages: DataFrame) -> DataFrame:
-    """Pages (url, html) -> (host, path, vector, n_pages, content, constant,
-    filled, votes): every path of a host with its occurrence vector;
-    ``constant`` tells whether it holds one text on all its pages, ``filled``
-    whether any, ``votes`` how many main blocks (longest slots) these have."""
-    numbered = pages.select(F.monotonically_increasing_id().alias("page"),
-                            host(F.col("url").cast("string")).alias("host"), F.col("html").cast("string"))
-    slots = (numbered.where("host != ''").transform(
-        arrow,
-        _slots, "page long, host string, path string, n long, text string, content boolean, main long")
-        .select("host", "path", "content", "main", F.xxhash64("text").alias("t"), (F.col("text") != "").alias("filled"),
-                F.xxhash64("page", "n").alias("x")))
-    # by main block first: copies are one row before they meet others
-    each = slots.groupBy("host", "path", "main").agg(
-        F.bit_xor("x").alias("x"), F.count(F.lit(1)).alias("n"), F.max("content").alias("content"),
-        F.min("t").alias("low"), F.max("t").alias("top"), F.max("filled").alias("filled"))
-    return stored(each.groupBy("host", "path").agg(
-        F.bit_xor("x").alias("vector"), F.sum("n").alias("n_pages"), F.max("content").alias("content"),
-        (F.min("low") == F.max("top")).alias("constant"), F.max("filled").alias("filled"),
-        F.count("main").alias("votes")), "paths")
+        at = batch.schema.names.index("html")
+        found, tokens, framed, main = [], [], [], []
+        for source in batch.column(at):
+            own = parse(source.as_py() or "")
+            found.append([dict(zip(_BLOCK.names, x)) for x in own[0]])
+            tokens.append([dict(zip(_TOKEN.names, x)) for x in own[1]])
+            framed.append(own[2])
+            main.append(own[3])
+        kept = [i for i in range(batch.num_columns) if i != at]
+        yield pa.RecordBatch.from_arrays(
+            [*[batch.column(i) for i in kept], pa.array(found, pa.list_(_BLOCK)), pa.array(tokens, pa.list_(_TOKEN)),
+             pa.array(framed), pa.array(main, pa.int64())],
+            names=[*[batch.schema.names[i] for i in kept], "blocks", "tokens", "framed", "main"])
+
+
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """Pages (page_id, url, html) -> (page, page_id, url, host) and PARSED;
+    ``page`` numbers the rows."""
+    rows = pages.select(F.monotonically_increasing_id().alias("page"), "page_id", F.col("url").cast("string").alias("url"),
+                        F.coalesce(host(F.col("url").cast("string")), F.lit("")).alias("host"),
+                        F.col("html").cast("string").alias("html"))
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return stored(arrow(rows, _parsed, f"page long, page_id {kind}, url string, host string, {PARSED}"), "parsed")
 
 
-def deduce(paths: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The rows of ``host_paths`` in valid classes: the templates.  Paths of
-    a host with the same ``vector`` are one class."""
-    classes = (paths.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size"), F.max("n_pages").alias("support"))
-               .where((F.col("size") > 1) & (F.col("support") >= min_pages)).select("host", "vector"))
-    return paths.join(classes, ["host", "vector"])
+def page_tokens(parsed: DataFrame) -> DataFrame:
+    """(page, host, main, path, t, n, at) of every token of a host's page."""
+    return parsed.where("host != ''").select("page", "host", "main", F.inline("tokens"))
 
 
-def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        source, template = batch.column("html"), batch.column("template").to_pylist()
-        texts = [main_text(s.as_py() or "", frozenset(t or ())) for s, t in zip(source, template)]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
-                                         names=["page_id", "url", "text"])
+def valid_tokens(tokens: DataFrame, min_pages: int) -> DataFrame:
+    """(host, path, t, vector, n_pages): the tokens in valid classes, which
+    are those of a host with one ``vector``."""
+    # by main block first: copies are one row before they meet others
+    each = tokens.groupBy("host", "path", "t", "main").agg(
+        F.bit_xor(F.xxhash64("page", "n")).alias("x"), F.count(F.lit(1)).alias("n"))
+    rows = stored(each.groupBy("host", "path", "t").agg(
+        F.bit_xor("x").alias("vector"), F.sum("n").alias("n_pages"), F.count("main").alias("votes"))
+        .where(F.col("votes") >= min_pages).drop("votes"), "tokens")
+    classes = rows.groupBy("host", "vector").agg(F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    return stored(rows.join(classes, ["host", "vector"], "left_semi").select("host", "path", "t", "vector", "n_pages"), "valid")
+
+
+def _around(low: Column, top: Column) -> Column:
+    """The path of the innermost element around all paths between two (in
+    the order of text, so that what the two share all share)."""
+    a, b = F.split(low, "/"), F.split(top, "/")
+    both = F.arrays_zip(a.alias("a"), b.alias("b"))
+    unlike = F.array_position(F.transform(both, lambda x: x["a"].eqNullSafe(x["b"])), False)
+    shared = F.when(unlike == 0, F.size(a) - 1).otherwise(unlike.cast("int") - 1)
+    return F.array_join(F.slice(a, 1, shared), "/")
+
+
+def nested(valid: DataFrame) -> DataFrame:
+    """The valid tokens whose classes hang together: classes whose
+    surrounding element is in no class left are taken out until none is."""
+    while True:
+        classes = valid.groupBy("host", "vector").agg(
+            F.min("path").alias("low"), F.max("path").alias("top"), F.max("n_pages").alias("n_pages"))
+        inside = classes.select("host", "vector", "n_pages", _around(F.col("low"), F.col("top")).alias("around"))
+        elements = valid.where("t = 0").select(F.col("host").alias("of"), F.col("path").alias("element"),
+                                               F.col("n_pages").alias("opens"))
+        held = (F.col("host") == F.col("of")) & (F.col("around") == F.col("element")) & (F.col("opens") >= F.col("n_pages"))
+        loose = stored(inside.where("around != ''").join(elements, held, "left_anti").select("host", "vector"), "loose")
+        if loose.isEmpty():
+            return valid
+        valid = stored(valid.join(loose, ["host", "vector"], "left_anti"), "valid")
+
+
+def template_texts(tokens: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(page, path, t, everywhere): the texts of each page that are its
+    host's template; ``everywhere`` if they stand once on all its pages."""
+    valid = nested(valid_tokens(tokens, min_pages))
+    own = valid.withColumnsRenamed({"host": "of", "path": "own_path", "t": "own_t"})
+    placed = stored(tokens.join(own, (F.col("host") == F.col("of")) & (F.col("path") == F.col("own_path"))
+                                & (F.col("t") == F.col("own_t"))).select("page", "host", "vector", "path", "t", "at"), "placed")
+    sequence = F.array_sort(F.collect_list(F.struct("at", F.xxhash64("path", "t").alias("token"))))["token"]
+    orders = placed.groupBy("host", "vector", "page").agg(F.xxhash64(sequence).alias("order"))
+    whole = valid.where("path = '' and t = 0").select(F.col("host").alias("of"), F.col("vector").alias("all_pages"))
+    ordered = orders.groupBy("host", "vector").agg(F.min("order").alias("low"), F.max("order").alias("top")).where("low = top")
+    ordered = stored(ordered.join(whole, F.col("host") == F.col("of"), "left").select(
+        "host", "vector", F.coalesce(F.col("vector") == F.col("all_pages"), F.lit(False)).alias("everywhere")), "ordered")
+    return placed.where("t != 0").join(ordered, ["host", "vector"]).select("page", "path", "t", "everywhere")
+
+
+def _text(blocks: Column, framed: Column) -> Column:
+    """The blocks that names, frames and the template leave."""
+    seen = F.filter(blocks, lambda b: ~b["hidden"])
+
+    def least_of(kind: str) -> Column:
+        return F.array_min(F.transform(F.filter(seen, lambda b: b["content"] == kind), lambda b: b["wraps"]))
+    least = {kind: least_of(kind) for kind in sorted(CONTENT)}
+    own = F.filter(seen, lambda b: ~framed | F.coalesce(
+        *[F.when(b["content"] == kind, b["wraps"] == n) for kind, n in least.items()], F.lit(False)))
+    return F.filter(own, lambda b: ~b["gone"])
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """Pages (page_id, url, html) -> (page_id, url, text, n_chars)."""
-    pages = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    paths = host_paths(pages)
-    own = stored(deduce(paths, min_pages).where("constant and filled and not content")
-                 .where(F.col("votes") >= min_pages).groupBy(F.col("host").alias("of")).agg(F.collect_list("path").alias("template")), "template-text")
-    kind = pages.schema["page_id"].dataType.simpleString()
-    texts = (pages.join(own, host(F.col("url")) == F.col("of"), "left").select("page_id", "url", "html", "template")
-             .transform(arrow, _extracted, f"page_id {kind}, url string, text string"))
-    return texts.withColumn("n_chars", F.length("text").cast("long"))
+    """Pages (page_id, url, html) -> (page_id, url, text, n_chars, n_blocks,
+    n_template): the text, and of all blocks of text how many are the
+    template's."""
+    parsed = parsed_pages(pages)
+    gone = template_texts(page_tokens(parsed), min_pages).groupBy(F.col("page").alias("of")).agg(
+        F.collect_set(F.struct("path", "t", "everywhere")).alias("template"))
+    rows = parsed.select("page", "page_id", "url", "blocks", "framed").join(
+        stored(gone, "template"), F.col("page") == F.col("of"), "left")
+    template = F.coalesce("template", F.array().cast("array<struct<path:string,t:bigint,everywhere:boolean>>"))
+
+    def drops(b: Column) -> Column:
+        named = lambda everywhere: F.struct(b["path"].alias("path"), b["t"].alias("t"),
+                                            F.lit(everywhere).alias("everywhere"))
+        return F.array_contains(template, named(True)) | ((b["content"] == "") & F.array_contains(template, named(False)))
+
+    blocks_ = F.transform("blocks", lambda b: F.struct(b["text"].alias("text"), b["content"].alias("content"),
+                                                       b["hidden"].alias("hidden"), b["wraps"].alias("wraps"),
+                                                       drops(b).alias("gone")))
+    rows = rows.select("page_id", "url", "framed", blocks_.alias("blocks"))
+    left = _text(F.col("blocks"), F.col("framed"))
+    out = rows.select("page_id", "url", F.array_join(F.transform(left, lambda b: b["text"]), "\n\n").alias("text"),
+                      F.size("blocks").cast("long").alias("n_blocks"),
+                      F.size(F.filter("blocks", lambda b: b["gone"])).cast("long").alias("n_template"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks", "n_template")
+
+
+def main_text(page: str, template: frozenset[tuple[str, int]] = frozenset()) -> str:
+    """The text of one page, for a template of (path, digest) texts known
+    otherwise; ``extract`` does the same for a table."""
+    found, _, framed, _ = parse(page)
+    seen = [b for b in found if not b[4]]
+    least = {kind: min((b[5] for b in seen if b[3] == kind), default=0) for kind in CONTENT}
+    own = [b for b in seen if not framed or (b[3] and b[5] == least[b[3]])]
+    return "\n\n".join(b[2] for b in own if b[:2] not in template)
