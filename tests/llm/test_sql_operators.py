@@ -12,7 +12,7 @@ from usagelens.llm.oracles import OP2, OP3, OP5
 
 
 def sql(query, **tables):
-    con = duckdb.connect()
+    con = duckdb.connect(config={"memory_limit": "8GB", "max_temp_directory_size": "2GB"})
     for name, frame in tables.items():
         con.register(name, frame)
     return con.execute(query).fetchall(), [c[0] for c in con.description]
@@ -125,6 +125,64 @@ def test_licences(spark):
     assert license_dice.scan(df.limit(0)).count() == 0
 
 
+FULL = {name: text for name, text in license_dice.NOTICES if len(text) > 500}
+
+
+def licence_rows():
+    rng = random.Random(6)
+    rows = [(20, "Copyright (c) 2020 Foo Bar. Released under the MIT License.", "a"),
+            (21, "The code on this page is released under the MIT License, see below.", "a"),
+            (22, "Note: this work is licensed under the GNU General Public License, version 3. Enjoy!", "a"),
+            (23, "/*\r\n * Licensed under the Apache License, Version 2.0.\r\n *\r\n */", "a"),
+            (24, "# " + FULL["MIT"].replace(". ", ".\n#\n# "), "a"), (25, FULL["BSD-3-Clause"] + "\n" + FULL["BSD-2-Clause"], "a"),
+            (26, "Released under the MIT License. Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0.", "a"),
+            (27, "Released under the MIT License.\n" * 300, "a"), (28, "published under CC BY 4.0", "a"),
+            (29, "licensed", "a"), (30, "under", "a"), (31, "mit license", "a"), (None, FULL["ISC"], "a")]
+    for i in range(60):  # with words changed, put in and left out
+        w = (f"w{i} " * rng.randrange(6) + rng.choice(license_dice.NOTICES)[1]).split() + ["more"] * rng.randrange(5)
+        for _ in range(rng.randrange(1 + len(w) // 8)):
+            at = rng.randrange(len(w))
+            rng.choice([lambda: w.insert(at, "put"), lambda: w.pop(at), lambda: w.__setitem__(at, "new")])()
+        rows.append((100 + i, rng.choice([" ", "\n", " -- "]).join(w), "a"))
+    return rows
+
+
+def test_licences_anywhere_in_a_text(spark):
+    df, frame = documents(spark, licence_rows())
+    got = same(license_dice.scan(df), OP5, documents=frame)
+    by_doc = {}
+    for doc, name, n, _ in got:
+        by_doc.setdefault(doc, {})[name] = n
+    assert by_doc[20] == by_doc[21] == {"MIT": 1} and by_doc[22] == {"GPL-3.0": 1} and by_doc[23] == {"Apache-2.0": 1}
+    assert by_doc[24] == {"MIT": 1} and by_doc[25] == {"BSD-3-Clause": 1, "BSD-2-Clause": 1} and by_doc[None] == {"ISC": 1}
+    assert by_doc[26] == {"MIT": 1, "CC-BY-4.0": 1, "CC-BY-SA-4.0": 1} and by_doc[27] == {"MIT": 300}
+    assert not by_doc.keys() & {29, 30}
+
+
+def test_every_window_is_seen(spark):
+    """Against all windows of all templates, without anchors and marks."""
+    rows = [r for r in licence_rows() if len(r[1]) < 4000]
+    df, _ = documents(spark, rows)
+    got = {(r.doc_id, r.template, r.start) for r in license_dice.stored(license_dice.spans(df), "s").collect()}
+    want = set()
+    for doc, text, _ in rows:
+        w = license_dice.plain_words(text)
+        pairs = [f"{a} {b}" for a, b in zip(w, w[1:])] or w
+        good = []
+        for i, (_, notice) in enumerate(license_dice.NOTICES):
+            own, m = set(license_dice.plain_bigrams(notice)), max(1, len(license_dice.plain_words(notice)) - 1)
+            for s in range(max(len(pairs) - m, 0) + 1):
+                d = set(pairs[s:s + m])
+                score = 2 * len(d & own) / (len(d) + len(own))
+                if score >= license_dice.THRESHOLD:
+                    good.append((score, min(m, len(pairs)) + 1, -i, -s))
+        for h in good:
+            beaten = [g for g in good if g > h and 2 * (min(g[1] - g[3], h[1] - h[3]) - max(-g[3], -h[3])) > min(g[1], h[1])]
+            if not beaten:
+                want.add((doc, -h[2], -h[3]))
+    assert got == want
+
+
 @pytest.mark.parametrize("own,text", [("a b", "a b"), ("a", "A!")])
 def test_bigrams_of_notices(own, text):
     assert license_dice.plain_bigrams(text) == [own]

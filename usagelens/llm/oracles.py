@@ -52,26 +52,40 @@ def _text(value: str) -> str:
 
 
 def _licences() -> str:
-    rows = ", ".join(f"({_text(name)}, [{', '.join(map(_text, license_dice.plain_bigrams(text)))}])"
-                     for name, text in license_dice.NOTICES)
+    rows = ", ".join(f"({i}, {_text(name)}, {max(1, len(license_dice.plain_words(text)) - 1)}, "
+                     f"[{', '.join(map(_text, license_dice.plain_bigrams(text)))}], "
+                     f"[{', '.join(map(_text, license_dice.anchors(license_dice.plain_bigrams(text))))}])"
+                     for i, (name, text) in enumerate(license_dice.NOTICES))
     return f"""
-WITH notices AS (SELECT * FROM (VALUES {rows}) AS v(license, b)),
-lines AS (
-  SELECT row_number() OVER () AS r, doc_id, trim(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g')) AS unit FROM (
-    SELECT doc_id, unnest(list_concat(
-      string_split(text, chr(10)),
-      list_filter(regexp_split_to_array(text, '\n[ \t]*\n'), lambda p: contains(p, chr(10))))) AS unit FROM documents)),
-words AS (SELECT r, doc_id, string_split(unit, ' ') AS w FROM lines WHERE unit <> ''),
-own AS (
-  SELECT r, doc_id, CASE WHEN len(w) = 1 THEN w ELSE
-    list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS b FROM words),
+WITH notices AS (SELECT * FROM (VALUES {rows}) AS v(template, license, m, b, anchors)),
+texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         string_split(trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')), ' ') AS w
+  FROM documents WHERE text IS NOT NULL),
+pairs AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 1 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END AS p FROM texts),
+places AS (SELECT r, len(p) AS np, unnest(p) AS pair, unnest(range(len(p))) AS pos FROM pairs),
+anchored AS (SELECT template, m, unnest(anchors) AS pair FROM notices),
+starts AS (
+  SELECT DISTINCT r, template, unnest(range(
+    least(greatest(pos - m + 1, 0), greatest(np - m, 0)),
+    greatest(least(greatest(pos - m + 1, 0), greatest(np - m, 0)), least(pos, greatest(np - m, 0))) + 1)) AS s
+  FROM places JOIN anchored USING (pair)),
+windows AS (
+  SELECT r, doc_id, template, license, s, least(m, len(p)) + 1 AS n, b, list_distinct(p[s + 1:s + m]) AS d
+  FROM starts JOIN pairs USING (r) JOIN notices USING (template)),
 hits AS (
-  SELECT r, doc_id, license, max(2.0::DOUBLE * len(list_intersect(own.b, n.b)) / (len(own.b) + len(n.b))) AS s
-  FROM own JOIN notices n
-    ON 2.0::DOUBLE * least(len(own.b), len(n.b)) / (len(own.b) + len(n.b)) >= {license_dice.THRESHOLD}::DOUBLE
-  GROUP BY r, doc_id, license)
-SELECT doc_id, license, CAST(count(*) AS BIGINT) AS n_units, max(s) AS similarity
-FROM hits WHERE s >= {license_dice.THRESHOLD}::DOUBLE GROUP BY doc_id, license
+  SELECT r, doc_id, template, license, s, n, 2.0::DOUBLE * len(list_intersect(d, b)) / (len(d) + len(b)) AS similarity
+  FROM windows),
+good AS (SELECT * FROM hits WHERE similarity >= {license_dice.THRESHOLD}::DOUBLE)
+SELECT doc_id, license, CAST(count(*) AS BIGINT) AS n_units, max(similarity) AS similarity
+FROM good h WHERE NOT EXISTS (
+  SELECT 1 FROM good g WHERE g.r = h.r
+    AND (g.similarity > h.similarity OR (g.similarity = h.similarity AND (g.n > h.n OR (g.n = h.n AND (
+         g.template < h.template OR (g.template = h.template AND g.s < h.s))))))
+    AND 2 * (least(h.s + h.n, g.s + g.n) - greatest(h.s, g.s)) > least(h.n, g.n))
+GROUP BY doc_id, license
 """
 
 
