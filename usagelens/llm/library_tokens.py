@@ -156,12 +156,13 @@ class Library:
         return [np.array(e.ids, np.uint32) for part in some
                 for e in self.model.encode_batch_fast(part, add_special_tokens=False)]
 
-    def units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all units, number of ids of each).  Units of a space and a
+    def units(self, units: list[bytes], special: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units, number of ids of each); ``special`` says that some
+        may hold strings of special tokens.  Units of a space and a
         word follow each other in one text, which encodes to theirs in a row;
         the bytes of the ids tell where each ends."""
         joins = np.fromiter((len(u) > 1 and u[0] == 0x20 and not _GAP[u[-1]]
-                             and not (self.special and self.special.search(u)) for u in units), bool, len(units))
+                             and not (special and self.special.search(u)) for u in units), bool, len(units))
         order = np.concatenate((np.flatnonzero(joins), np.flatnonzero(~joins)))
         row, alone = [units[i] for i in order[:joins.sum()]], [units[i] for i in order[joins.sum():]]
         texts = [b"".join(row[i:i + JOINED]).decode() for i in range(0, len(row), JOINED)]
@@ -182,7 +183,7 @@ class UnitEncoder:
     def __init__(self, library: Library):
         self.library, self.known = library, _Known()
 
-    def _units(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _units(self, data: np.ndarray, starts: np.ndarray, special: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, ids of each unit, first byte of each unit) of one segment;
         an unknown-to-be clash of hashes gives -1 ids."""
         begin = data == 0x20
@@ -200,7 +201,8 @@ class UnitEncoder:
             if self.known.full(len(new)):
                 self.known.clear()
                 entry[:], new = -1, np.arange(len(own))
-            found = self.library.units([raw[a:b] for a, b in zip(s[first[new]].tolist(), e[first[new]].tolist())])
+            found = self.library.units([raw[a:b] for a, b in zip(s[first[new]].tolist(), e[first[new]].tolist())],
+                                       special)
             self.known.add(own[new], two[first[new]], *found)
             entry[new] = np.arange(self.known.n - len(new), self.known.n)
         of = entry[codes]
@@ -213,9 +215,11 @@ class UnitEncoder:
         """The ids of each text; null is empty."""
         data, offsets = wordhash.text_buffers(texts)
         whole = self._whole(data, offsets)
+        special = False
         if self.library.special:
             found = [m.start() for m in self.library.special.finditer(data.tobytes())]
             whole[np.searchsorted(offsets, found, "right") - 1] = True
+            special = bool(found)
         parts: list[list[np.ndarray]] = [[] for _ in range(len(texts))]
         at = 0
         while at < len(data):
@@ -229,7 +233,7 @@ class UnitEncoder:
             lo, hi = int(lo), int(min(hi, len(texts)))
             starts = np.clip(offsets[lo:hi + 1] - at, 0, end - at)
             if not whole[lo:hi].all():
-                ids, length, s = self._units(data[at:end], starts[:-1])
+                ids, length, s = self._units(data[at:end], starts[:-1], special)
                 ends = np.concatenate(([0], np.cumsum(np.maximum(length, 0))))
                 bounds = np.searchsorted(s, starts)
                 for i in range(lo, hi):
