@@ -355,6 +355,7 @@ LIMIT 100"""),
         # cleaning / parsing
         "clean_volume": _with("SELECT subscription_id, uplink_volume, downlink_volume FROM volumes"),
         "parse_subscriber": _with("SELECT subscription_id, age FROM parsed"),
+        "parse_subscriber_quoted": _with("SELECT subscription_id, age FROM parsed"),
         "age_band": _with("SELECT subscription_id, age, age_band FROM banded"),
         # joins
         "first_plan_per_subscriber": _with(

@@ -1,5 +1,7 @@
 """P2 rate-plan trends: counting modes, labels, bands, first plan, ranks."""
 
+import dataclasses
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -201,3 +203,12 @@ def test_subscribers_mode_equals_counts_from_records(spark):
     want = {("all", r.plan_name): r.n for r in trends.plan_usage_counts(inp, SUBSCRIBERS).collect()}
     want |= {(r.age_band, r.plan_name): r.n for r in trends.plan_by_age_counts(inp, SUBSCRIBERS).collect()}
     assert counts == want
+
+
+def test_quoted_fields_are_an_option(spark):
+    lines = ['1,"x,y",c,d,e,42', '"2","say ""hi"", all",c,d,e, 7', '3,"open,c,d,e,5', '4,a,b,c,d," 18 "', '5,"a,b,c,d,e",6', '"6,x",b,c,d,e,9,f,"g,h"']
+    inp = dataclasses.replace(make_inputs(spark, subscriber=lines), quoted_subscribers=True)
+    assert rows(trends.parse_subscribers(inp, LENIENT)) == [("1", 42), ("2", 7), ("4", 18), ("6,x", 9)]
+    assert [r.value for r in trends.subscriber_rejects(inp).orderBy("value").collect()] == [lines[2], lines[4]]
+    plain = dataclasses.replace(inp, quoted_subscribers=False)
+    assert [r.value for r in trends.subscriber_rejects(plain).orderBy("value").collect()][0] == lines[1]

@@ -83,16 +83,21 @@ def volume_is_bad(c) -> Column:
 
 
 # ---------------------------------------------------------------- subscriber CSV
-def _fields(line: Column) -> Column:
-    # Literal split, like the original parser: quotes are not special.
-    return F.split(line, ",", -1)
+def _fields(line: Column, quoted: bool = False) -> Column:
+    if not quoted:  # literal split, like the original parser: quotes are not special
+        return F.split(line, ",", -1)
+    # commas before an even number of quotes are outside of any; doubled quotes are one
+    parts = F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    return F.transform(parts, lambda x: F.when(x.rlike(r'^\s*".*"\s*$'), F.replace(
+        F.regexp_replace(x, r'^\s*"|"\s*$', ""), F.lit('""'), F.lit('"'))).otherwise(x))
 
 
-def subscriber_fields(c="value", mode: str = STRICT) -> tuple[Column, Column]:
+def subscriber_fields(c="value", mode: str = STRICT, quoted: bool = False) -> tuple[Column, Column]:
     """(subscription_id, age) from a comma-separated line: field 0 and the
-    integer in field 5.  Extra fields are ignored; no header is skipped."""
+    integer in field 5.  Extra fields are ignored; no header is skipped.
+    With ``quoted`` a field in double quotes may hold commas."""
     check_mode(mode)
-    parts = _fields(_col(c))
+    parts = _fields(_col(c), quoted)
     sub = F.get(parts, 0)
     age = F.get(parts, 5).try_cast("int")
     if mode == STRICT:
@@ -101,8 +106,8 @@ def subscriber_fields(c="value", mode: str = STRICT) -> tuple[Column, Column]:
     return sub, age
 
 
-def subscriber_line_is_bad(c="value") -> Column:
-    parts = _fields(_col(c))
+def subscriber_line_is_bad(c="value", quoted: bool = False) -> Column:
+    parts = _fields(_col(c), quoted)
     return (F.size(parts) < 6) | F.get(parts, 5).try_cast("int").isNull() | _col(c).isNull()
 
 

@@ -18,7 +18,7 @@ Command line (the original job took its options the same way):
 
     python -m usagelens.plans.run_all --voice P --sms P --volume P \\
         --subscriber P --rate-plans P --locations P --out DIR [--lenient] [--count-mode M]
-        [--truncate-ids]
+        [--truncate-ids] [--quoted-subscribers] [--run-id R]
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def run_all(inputs: UsageInputs, outputs: dict, mode: str = STRICT, count_mode:
     if materialize_inputs:
         spark = inputs.voice_call_record.sparkSession
         root = f"{checkpoint_dir(spark).rstrip('/')}/inputs-{uuid.uuid4().hex}"
-        inputs = load_inputs_from_paths(spark, write_inputs(inputs, root))
+        inputs = load_inputs_from_paths(spark, write_inputs(inputs, root), quoted_subscribers=inputs.quoted_subscribers)
     if "activity" in outputs:
         write_table(activity_snapshot(inputs, mode), ACTIVITY_SNAPSHOT, **_target(outputs["activity"]))
     if "trends" in outputs:
@@ -93,6 +93,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--docs-mode", default="append", choices=("append", "overwrite"))
     parser.add_argument("--truncate-ids", action="store_true",
                         help="cut ids to 15 characters in P2 and P3, as the original's scans did")
+    parser.add_argument("--quoted-subscribers", action="store_true",
+                        help="fields of the subscriber file may be in double quotes and hold commas")
     parser.add_argument("--run-id", default=None, help="prefix of the document ids (default: a fresh one)")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("usagelens-run-all").getOrCreate()
@@ -100,7 +102,7 @@ def main(argv: list[str] | None = None) -> None:
         "voice_call_record": args.voice, "sms_record": args.sms,
         "mobile_data_activity": args.volume, "subscriber": args.subscriber,
         "rate_plan_product": args.rate_plans, "location": args.locations,
-    }, fact_format=args.fact_format)
+    }, fact_format=args.fact_format, quoted_subscribers=args.quoted_subscribers)
     out = args.out.rstrip("/")
     names = ["activity", "trends", "network", "network_docs", *["rejects"] * args.lenient]
     run_all(inputs, {name: os.path.join(out, name) for name in names},

@@ -75,8 +75,8 @@ def parse_subscribers(inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
     """CSV lines -> (subscription_id, age); lenient mode drops bad lines."""
     lines = inputs.subscriber
     if mode == LENIENT:
-        lines = lines.where(~subscriber_line_is_bad("value"))
-    sub, age = subscriber_fields("value", mode)
+        lines = lines.where(~subscriber_line_is_bad("value", inputs.quoted_subscribers))
+    sub, age = subscriber_fields("value", mode, inputs.quoted_subscribers)
     return lines.select(sub.alias("subscription_id"), age.alias("age"))
 
 
@@ -93,8 +93,8 @@ def subscriber_age_bands(inputs: UsageInputs, mode: str = STRICT,
 def subscriber_rejects(inputs: UsageInputs) -> DataFrame:
     """Lines lenient mode leaves out: unparsable lines and negative ages.
     The file is read once."""
-    _, age = subscriber_fields("value", LENIENT)
-    reason = (F.when(subscriber_line_is_bad("value"), "line has no integer age in field 5")
+    _, age = subscriber_fields("value", LENIENT, inputs.quoted_subscribers)
+    reason = (F.when(subscriber_line_is_bad("value", inputs.quoted_subscribers), "line has no integer age in field 5")
               .when(age_is_bad(age), "negative age"))
     return inputs.subscriber.withColumn("reason", reason).where("reason is not null").select("value", "reason")
 

@@ -67,11 +67,12 @@ def read_subscriber_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_inputs_from_paths(spark: SparkSession, paths: dict[str, str],
-                           fact_format: str = "parquet") -> UsageInputs:
+                           fact_format: str = "parquet", quoted_subscribers: bool = False) -> UsageInputs:
     """``paths`` maps each input name to a location: the three facts in
     ``fact_format``, the two catalogues as JSON documents, the subscriber
-    file as text."""
+    file as text (with ``quoted_subscribers``, of fields that may be quoted)."""
     return UsageInputs(
+        quoted_subscribers=quoted_subscribers,
         voice_call_record=read_input(spark, "voice_call_record", paths["voice_call_record"], fact_format),
         sms_record=read_input(spark, "sms_record", paths["sms_record"], fact_format),
         mobile_data_activity=read_input(spark, "mobile_data_activity",

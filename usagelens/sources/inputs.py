@@ -15,3 +15,4 @@ class UsageInputs:
     subscriber: DataFrame             # raw CSV lines, one column ``value``
     rate_plan_product: DataFrame      # catalogue: rate_plan_product_id, rate_plan_name
     location: DataFrame               # catalogue: location_cd, country
+    quoted_subscribers: bool = False  # whether fields of subscriber lines may be quoted
