@@ -21,7 +21,9 @@ each family agrees.
    group of copies costs about its size, not its square.  A link inside a
    component already joined cannot change the result; no pair across
    components is left out.
-4. Components by star rounds on written tables.
+4. Components by star rounds on written tables.  Links that a later round
+   finds are links of the components found before, so only new ones between
+   components go through star rounds again.
 
 The chance that a pair exactly at the threshold meets in no table is at most
 ``2 * (1 - threshold ** rows) ** halves``; ``halves_for`` sizes it below
@@ -45,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm import wordhash
-from usagelens.llm.shared import arrow, components, stored
+from usagelens.llm.shared import arrow, components, files_for, stored
 
 ROWS = 3
 MISS = 1e-4
@@ -115,12 +117,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
             .where(den * small >= num * large)
             .withColumn("common", common)
             .where(den * F.col("common") >= num * (F.col("na") + F.col("nb") - F.col("common")))
-            .select("a", "b"))  # not made distinct here, which would keep a hub's pairs in one task
-
-
-def _kept(links: DataFrame) -> DataFrame:
-    """Links written in as many files as their size asks for, not one a task that found some."""
-    return stored(links.repartition("a", "b"), "links")
+            .select("a", "b"))
 
 
 def _named(rows: DataFrame, joined: DataFrame) -> DataFrame:
@@ -129,6 +126,19 @@ def _named(rows: DataFrame, joined: DataFrame) -> DataFrame:
             .select(*[rows[c] for c in rows.columns], F.coalesce("component", "class_id").alias("component")))
 
 
+def _merged(joined: DataFrame, edges: DataFrame, files: int) -> DataFrame:
+    """The components ``joined`` (node, component) with the links (a, b)
+    between components added."""
+    edges = stored(edges.where("a != b").distinct(), "edges", files)
+    if edges.isEmpty():
+        return joined
+    of = stored(components(edges), "merged", files).select(F.col("node").alias("old"), F.col("component").alias("new"))
+    renamed = (joined.join(of, F.col("component") == F.col("old"), "left")
+               .select("node", F.coalesce("new", "component").alias("component")))
+    alone = of.select(F.col("old").alias("node"), F.col("new").alias("component"))  # in no link before
+    return stored(renamed.unionByName(alone).distinct(), "joined", files)
+
+
 def _apart(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(class_id, pivot) with the set's size ``n``, the size ``apart`` of its
     symmetric difference from the pivot's set, whether the two are
@@ -150,12 +160,12 @@ def _apart(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
             .withColumn("diff", F.concat(F.sort_array(F.array_except("own", "other")),
                                          F.sort_array(F.array_except("other", "own"))))
             .withColumn("apart", F.size("diff"))
-            .select("class_id", "pivot", "n", "apart",
+            .select("class_id", "component", "pivot", "n", "apart",
                     ((den + num) * apart <= (den - num) * (n + F.size("other"))).alias("linked"),
                     F.slice("diff", 1, head.cast("int")).alias("head")))
 
 
-def _across(apart: DataFrame, num: int, den: int) -> DataFrame:
+def _across(apart: DataFrame, num: int, den: int, files: int) -> DataFrame:
     """Pairs (a, b) of different components that may still be linked: two
     members of a pivot that share an element of their differences early
     enough for the rest to reach the overlap needed.
@@ -169,6 +179,11 @@ def _across(apart: DataFrame, num: int, den: int) -> DataFrame:
     of = lambda side, rows: rows.select(
         "pivot", *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "pivot"])
     tokens = apart.select("pivot", "class_id", "component", "n", "apart", F.posexplode("head").alias("at", "token"))
+    # what members of one component alone share cannot join components
+    shared_by = stored(tokens.groupBy("pivot", "token")
+                       .agg(F.min("component").alias("low"), F.max("component").alias("top"))
+                       .where("low < top").select("pivot", "token"), "tokens", files)
+    tokens = stored(tokens.join(shared_by, ["pivot", "token"]), "shared-tokens", files)
     left = of("a", tokens).withColumnRenamed("token_a", "token")
     right = of("b", tokens).withColumnRenamed("token_b", "token")
     most = (den - num) * (F.col("n_a") + F.col("n_b"))
@@ -194,56 +209,61 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
         _signatures(k, rows, halves),
         "doc_id long, n_shingles long, d1 long, d2 long, halves array<long>"), "signatures")
 
+    # tables below have some rows a document at most, so its number tells how many tasks they ask for
+    files = files_for(docs.sparkSession, signed.count())
     full = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     # written first, as other sides of joins below: a join of two plain
     # exchanges is one whose hot keys Spark can split
-    classes = stored(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id")), "class-ids")
+    classes = stored(full.groupBy("d1", "d2").agg(F.min("doc_id").alias("class_id")), "class-ids", files)
     of_class = stored(full.select("doc_id", "d1", "d2", "halves").join(classes, ["d1", "d2"])
                       .select("doc_id", "class_id", "d1", "d2",
                               F.when(F.col("doc_id") == F.col("class_id"), F.col("halves")).alias("halves")),
-                      "classes")
+                      "classes", files)
 
     # one row a class, then the collections of the first family that two classes or more share
     each = stored(of_class.where(F.col("halves").isNotNull()).select("class_id", "d1", "d2", "halves")
-                  .dropDuplicates(["class_id", "d1", "d2"]), "each")
+                  .dropDuplicates(["class_id", "d1", "d2"]), "each", files)
     first = each.select("class_id", F.posexplode(F.slice("halves", 1, halves)).alias("i", "half"))
     shared = stored(first.groupBy("i", "half").agg(F.min("class_id").alias("low"), F.max("class_id").alias("top"))
-                    .where("low < top").select("i", "half"), "shared")
-    left = stored(first.join(shared, ["i", "half"]), "halves")
+                    .where("low < top").select("i", "half"), "shared", files)
+    left = stored(first.join(shared, ["i", "half"]), "halves", files)
     # the tables: keys from pairs of collections
     right = each.select("class_id", F.slice("halves", halves + 1, halves).alias("right"))
     keys = left.join(right, "class_id").select("class_id", F.explode(F.transform(
         "right", lambda x, j: F.xxhash64(F.col("i"), F.col("half"), j, x))).alias("key"))
     tables = stored(keys.groupBy("key").agg(F.min("class_id").alias("hub"), F.max("class_id").alias("top"))
-                    .where("hub < top").select("key", "hub"), "tables")
-    met = stored(keys.join(tables, "key"), "met")
+                    .where("hub < top").select("key", "hub"), "tables", files)
+    met = stored(keys.join(tables, "key"), "met", files)
 
     # rows of one doc_id with different texts: their classes are one
     owner = of_class.groupBy("doc_id").agg(F.min("class_id").alias("b"))
     same = stored(of_class.join(owner, "doc_id").where("class_id != b")
-                  .select(F.col("class_id").alias("a"), "b").distinct(), "same")
+                  .select(F.col("class_id").alias("a"), "b").distinct(), "same", files)
     # a component, and so a pivot, may be named after a class that met nobody but is one with another
     needed = met.select(F.col("class_id").alias("doc_id")).unionByName(same.select(F.col("b").alias("doc_id")))
     sets = stored(texts.join(needed.distinct(), "doc_id")
-                  .select("doc_id", "text").transform(arrow, _sets(k), "class_id long, shingles array<long>"), "sets")
+                  .select("doc_id", "text").transform(arrow, _sets(k), "class_id long, shingles array<long>"), "sets", files)
     pairs = met.groupBy(F.col("class_id").alias("a")).agg(F.min("hub").alias("b")).where("a > b")
-    found = _confirmed(pairs, sets, num, den).unionByName(same)
-    links = _kept(found)
+    links = stored(_confirmed(pairs, sets, num, den).unionByName(same), "links", files)
+    joined = stored(components(links), "joined", files)
 
     # tables that still hold several components: every member against one pivot class of the table
-    joined = stored(components(links), "joined")
-    named = _named(met, joined)
+    named = stored(_named(met, joined), "named", files)
     several = stored(named.groupBy("key").agg(F.min("component").alias("pivot"), F.max("component").alias("top"))
-                     .where("pivot < top").select("key", "pivot"), "several")
+                     .where("pivot < top").select("key", "pivot"), "several", files)
     members = stored(named.join(several, "key").where("class_id != pivot")
-                     .select("class_id", "pivot").distinct(), "members")
-    apart = stored(_apart(members, sets, num, den), "apart")
-    links = _kept(links.unionByName(apart.where("linked").select(F.col("class_id").alias("a"),
-                                                                F.col("pivot").alias("b"))))
-    joined = stored(components(links), "joined")
-    links = _kept(links.unionByName(_confirmed(_across(_named(apart, joined), num, den), sets, num, den)))
-
-    joined = components(links)
+                     .select("class_id", "component", "pivot").distinct(), "members", files)
+    if not members.isEmpty():
+        apart = stored(_apart(members, sets, num, den), "apart", files)
+        joined = _merged(joined, apart.where("linked").select(F.col("component").alias("a"), F.col("pivot").alias("b")), files)
+        renamed = _named(apart.drop("component"), joined)
+        found = _confirmed(_across(renamed, num, den, files), sets, num, den)
+        # of the classes found, their components
+        left, right = (joined.select(F.col("node").alias(f"node_{x}"), F.col("component").alias(f"of_{x}")) for x in "ab")
+        edges = (found.join(left, F.col("a") == F.col("node_a"), "left").join(right, F.col("b") == F.col("node_b"), "left")
+                 .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+        joined = _merged(joined, edges, files)
+
     by_doc = (of_class.select("doc_id", "class_id").distinct()
               .join(joined, F.col("class_id") == F.col("node"), "left")
               .select(F.col("doc_id").alias("named"), F.coalesce("component", "class_id").alias("component_id")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import uuid
 from collections.abc import Callable
@@ -41,22 +42,41 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Rows that fill a task and a file of a table of narrow rows.
+TASK_ROWS = 20_000
+
+
+def files_for(spark: SparkSession, rows: int) -> int:
+    """Tasks for so many narrow rows: enough for all cores, more only as the
+    rows ask for them.  (``coalesce`` never makes more than there are.)"""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS))
+
+
+def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: it
     is computed once, its lineage ends there, and the loss of an executor
-    cannot undo it."""
+    cannot undo it.  ``files`` is the most tasks and files the last step
+    takes, whatever the number of shuffle partitions."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    (df if files is None else df.coalesce(files)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _is_star(links: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, which has none."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("low"), F.lit(0).alias("top")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("low"), F.lit(1).alias("top")))
+    odd = ends.groupBy("node").agg(F.sum("low").alias("low"), F.max("top").alias("top"))
+    return odd.where((F.col("low") > 1) | ((F.col("low") == 1) & (F.col("top") == 1))).isEmpty()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of the links ``(a, b)`` (two longs).
 
     Returns (node, component) for every node of a link, ``component`` being
     the smallest node reachable.  Large-star and small-star rounds on
-    written link tables until a round changes nothing: each round is a
+    written link tables until the links are stars: each round is a
     map-side combined minimum per node joined back to the links, so a node
     with very many links is reduced before the shuffle, and the join that
     follows reads two plain exchanges, which AQE can split.
@@ -64,23 +84,19 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     a, b = F.col("a"), F.col("b")
     links = stored(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
                    .distinct(), name)
-    mark = None
-    while True:
+    files = files_for(edges.sparkSession, links.count())  # a round never has more links than this
+    while not _is_star(links):
         # large star: every larger neighbour of a node gets the smallest node around it
         both = links.unionByName(links.select(b.alias("a"), a.alias("b")))
-        low = stored(both.groupBy("a").agg(F.least(a, F.min("b")).alias("low")), name)
+        low = stored(both.groupBy("a").agg(F.least(a, F.min("b")).alias("low")), name, files)
         large = (both.join(low, "a").where(b > a)
                  .select(b.alias("a"), F.col("low").alias("b")).distinct())
-        links = stored(large, name)
+        links = stored(large, name, files)
         # small star: every smaller neighbour of a node and the node itself get their minimum
-        low = stored(links.groupBy("a").agg(F.min("b").alias("low")), name)
+        low = stored(links.groupBy("a").agg(F.min("b").alias("low")), name, files)
         small = (links.join(low, "a").where(b != F.col("low"))
                  .select(b.alias("a"), F.col("low").alias("b"))
                  .unionByName(low.select("a", F.col("low").alias("b"))).distinct())
-        links = stored(small, name)
-        now = tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-        if now == mark:
-            break
-        mark = now
+        links = stored(small, name, files)
     return (links.select(a.alias("node"), b.alias("component"))
             .unionByName(links.select(b.alias("node"), b.alias("component")).distinct()))
