@@ -42,12 +42,17 @@ def test_stages_keep_the_columns(spark):
     rows = [(1, good, "en", "a", 5, "x", 1, "y"), (2, good, "en", "a", 5, None, 2, None), (3, None, None, None, None, "z", 3, None),
             (4, other, "en", None, 1, "x", 4, "y"), (4, other + " more", "en", "b", 1, "x", 5, "y"),
             (None, good, "en", "a", 5, "x", 6, "y"), (5, "", "en", "a", 0, "x", 7, "y")]
+    unnamed = " ".join(f"more{i}" for i in range(70))  # copies without an id: one stays
+    rows += [(None, unnamed, "en", "a", 1, "x", 8, "y")] * 2 + [(None, unnamed + " end", "en", "a", 1, "x", 8, "y")]
+    item = next(r.text for r in spark.read.parquet(f"{SF0001}/benchmark.parquet").collect() if len(r.text.split()) > 14)
+    rows += [(None, " ".join(f"lead{i}" for i in range(60)) + " " + item, "en", "a", 1, "x", 9, "y")]
     docs = spark.createDataFrame(rows, schema)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF0001)
         assert docs.columns == [c.split()[0] for c in schema.split(", ")], name
     left = docs.collect()
     assert sorted(r.doc_id for r in left if r.doc_id is not None) == [1, 4] and len(left) == 3
+    assert [r.text.startswith("more0") for r in left if r.doc_id is None] == [True]
     assert len(corpus_pipeline.STAGES) == 4
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF0001)
     assert last.count() == 3

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from usagelens.llm import chat, host_rules, license_dice, url_model
+from usagelens.llm import chat, host_rules, importance, license_dice, url_model
 
 OP3 = rf"""
 WITH w AS (
@@ -225,3 +225,73 @@ SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIG
        toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
 FROM steps
 """
+
+
+def importance_sql() -> str:
+    """CRC-32 byte by byte from its table; each distinct run of words once."""
+    table = ", ".join(str(int(x)) for x in importance._CRC)
+    buckets, (part, whole) = importance.BUCKETS, importance.SHARE
+    return rf"""
+WITH t AS (
+  SELECT 'd' AS k, row_number() OVER () AS r, doc_id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark),
+w AS (
+  SELECT k, r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM t),
+pieces AS (  -- a stretch of 100 words and the two after it, so that no long list is repeated a word
+  SELECT k, r, w[a:a + 101] AS w, len(w) - a + 1 AS n FROM (SELECT k, r, w, unnest(range(1, len(w) + 1, 100)) AS a FROM w)),
+runs AS (
+  SELECT k, r, w[i] AS run FROM (SELECT k, r, w, unnest(range(1, least(n, 100) + 1)) AS i FROM pieces)
+  UNION ALL SELECT k, r, w[i] || ' ' || w[i + 1] FROM (SELECT k, r, w, unnest(range(1, least(n - 1, 100) + 1)) AS i FROM pieces)
+  UNION ALL SELECT k, r, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM (
+    SELECT k, r, w, unnest(range(1, least(n - 2, 100) + 1)) AS i FROM pieces)),
+crc AS (SELECT [{table}]::BIGINT[] AS c),
+bytes AS (
+  SELECT run, list_transform(range(1, length(x) // 2 + 1), lambda i:
+    16 * (instr('0123456789ABCDEF', substr(x, 2 * i - 1, 1)) - 1) + instr('0123456789ABCDEF', substr(x, 2 * i, 1)) - 1) AS b
+  FROM (SELECT run, hex(run) AS x FROM (SELECT DISTINCT run FROM runs))),
+buckets AS (
+  SELECT run, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda x, y:
+    xor(c[(xor(x, y::BIGINT) & 255) + 1], x >> 8)), 4294967295::BIGINT) % {buckets} AS bucket FROM bytes, crc),
+counts AS (SELECT k, bucket, count(*) AS n FROM runs JOIN buckets USING (run) GROUP BY k, bucket),
+sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (k = 'd'), 0)::BIGINT AS s, coalesce(sum(n) FILTER (k = 'b'), 0)::BIGINT AS t
+  FROM counts GROUP BY bucket),
+total AS (SELECT sum(s)::BIGINT AS s_all, sum(t)::BIGINT AS t_all FROM sums),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (s_all + {buckets}))::DOUBLE / ((s + 1) * (t_all + {buckets}))::DOUBLE))::BIGINT AS gain
+  FROM sums, total),
+weights AS (
+  SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS weight
+  FROM runs JOIN buckets USING (run) JOIN gains USING (bucket) WHERE k = 'd' GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((
+           ('0x' || substr(sha256('{importance.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+           / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM w LEFT JOIN weights ON w.r = weights.r WHERE k = 'd'),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= {importance.MIN_WORDS} ORDER BY score DESC, doc_id) AS place,
+         count(*) FILTER (n_words >= {importance.MIN_WORDS}) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_words >= {importance.MIN_WORDS} AND place <= {part} * n // {whole} THEN place END AS rank FROM ranked
+"""
+
+
+OP11 = importance_sql()
+
+OP13 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, unnest(hashes) AS h, unnest(range(1, len(hashes) + 1)) AS i FROM (
+    SELECT r, doc_id, list_transform(range(1, len(w) - 48), lambda i: md5(array_to_string(w[i:i + 49], ' '))) AS hashes FROM t)),
+firsts AS (SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 50)) AS j FROM windows JOIN firsts USING (h) WHERE doc_id > first_id),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM t),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY j) AS k, count(*) AS n FROM words ANTI JOIN gone USING (r, j) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM t LEFT JOIN kept ON t.r = kept.r
+"""

@@ -14,7 +14,7 @@ from usagelens.llm import (
     token_shards, url_model,
 )
 from usagelens.llm.minhash_dedup import near_duplicates
-from usagelens.llm.oracles import OP2, OP3, OP5, OP12, url_model_sql
+from usagelens.llm.oracles import OP2, OP3, OP5, OP11, OP12, OP13, url_model_sql
 from usagelens.llm.shared import shared_path, table
 from usagelens.llm.substring_dedup import remove_repeats
 
@@ -114,5 +114,7 @@ ORACLES: dict[str, str] = {
     "op3_host_rules": OP3,
     "op5_license_dice": OP5,
     "op9_url_model": url_model_sql(URL_RULES),
+    "op11_importance": OP11,
     "op12_filter_audit": OP12,
+    "op13_substring_dedup": OP13,
 }
