@@ -4,10 +4,11 @@ Quality rules, MinHash near-dedup, benchmark decontamination, and byte-level
 BPE.  Every stage works on all its predecessor kept, written as Parquet and
 read again; all but the last return the columns of ``documents``.
 
-Defined cases: the operators' own (see their modules); a document without
-``doc_id`` cannot be named as a copy or as contaminated, so only the quality
-rules judge it; rows that repeat a ``doc_id`` are one document, of which the
-row with the smallest text hash stays; columns of documents other than
+Defined cases: the operators' own (see their modules); rows without a
+``doc_id`` are judged like any other, by a key made of their text, which comes
+after all ids, so that of copies the one with an id stays, and of copies
+without an id one; rows that repeat a ``doc_id`` are one document, of which
+the row with the smallest text hash stays; columns of documents other than
 doc_id, text and source pass through, whatever their names.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from usagelens.llm import byte_bpe, decontaminate, host_rules
 from usagelens.llm.minhash_dedup import near_duplicates
-from usagelens.llm.shared import stored, table
+from usagelens.llm.shared import files_for, stored, table
 
 SHINGLE_WORDS = 5
 NEAR = Fraction(8, 10)
@@ -32,32 +33,49 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return host_rules.quality(docs).where("kept").select("doc.*")
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without those of the ids (a column ``gone``, distinct)."""
-    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
+#: Keys of rows without a ``doc_id`` lie from here on.
+UNNAMED = 1 << 62
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(key, doc): the rows of ``docs`` with a key that is never null."""
+    own = F.lit(UNNAMED) + F.xxhash64("text").bitwiseAND(F.lit(UNNAMED - 1))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), own).alias("key"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
+def _texts(keyed: DataFrame) -> DataFrame:
+    return keyed.select(F.col("key").alias("doc_id"), F.col("doc.text").alias("text"))
+
+
+def _without(keyed: DataFrame, gone: DataFrame) -> DataFrame:
+    """``keyed`` without the keys of a table (a column ``gone``, distinct)."""
+    return keyed.join(gone, keyed["key"] == gone["gone"], "left_anti")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the smallest ``doc_id``."""
-    found = stored(near_duplicates(docs, SHINGLE_WORDS, NEAR), "near")
-    gone = stored(found.where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "copies")
-    left = _without(docs, gone)
-    again = stored(found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("gone"))
-                   .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gone"), "repeats")
+    keyed = _keyed(docs)
+    found = stored(near_duplicates(_texts(keyed), SHINGLE_WORDS, NEAR), "near")
+    files = files_for(spark, found.count())
+    gone = stored(found.where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "copies", files)
+    left = _without(keyed, gone)
+    again = stored(found.where("kept").groupBy(F.col("doc_id").alias("gone"))
+                   .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gone"), "repeats", files)
     if again.isEmpty():
-        return left
-    # rows that repeat a doc_id: the one of the smallest hash stays
-    rows = left.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    named = rows.join(again, F.col("doc.doc_id") == F.col("gone"), "left_semi")
-    one = (named.groupBy(F.col("doc.doc_id").alias("id"))
-           .agg(F.min_by("doc", F.struct(F.xxhash64("doc.text"), F.xxhash64("doc"))).alias("doc")).select("doc.*"))
-    return _without(left, again).unionByName(one)
+        return left.select("doc.*")
+    # rows that repeat a key: the one of the smallest hash stays
+    named = left.join(again, left["key"] == again["gone"], "left_semi")
+    one = named.groupBy("key").agg(F.min_by("doc", F.struct(F.xxhash64("doc.text"), F.xxhash64("doc"))).alias("doc"))
+    return _without(left, again).unionByName(one).select("doc.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, stored(found.select(F.col("doc_id").alias("gone")).distinct(), "contaminated"))
+    keyed = _keyed(docs)
+    found = decontaminate.contaminated(_texts(keyed), table(spark, sf_dir, "benchmark"))
+    gone = stored(found.select(F.col("doc_id").alias("gone")).distinct(), "contaminated")
+    return _without(keyed, gone).select("doc.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
