@@ -435,9 +435,10 @@ GROUP BY 1, 2"""),
         "first_plan_text_arrival": _with(_FIRST_BY.format("CAST(activity_seq AS VARCHAR)")),
         "first_plan_time_arrival": _with(_FIRST_BY.format("to_timestamp(activity_seq % 1000)")),
         "topk_empty": _with("""
-SELECT CAST(rank AS BIGINT) AS rank, plan_name FROM (
-  SELECT plan_name, row_number() OVER (ORDER BY n DESC, plan_name) AS rank FROM (
-    SELECT plan_name, count(*) AS n FROM plan_named WHERE series = 'all' GROUP BY 1 HAVING count(*) < 0))
+SELECT age_band, CAST(rank AS BIGINT) AS rank, plan_name FROM (
+  SELECT age_band, plan_name, row_number() OVER (PARTITION BY age_band ORDER BY n DESC, plan_name) AS rank FROM (
+    SELECT series AS age_band, plan_name, count(*) AS n FROM plan_named WHERE series <> 'all' GROUP BY 1, 2
+    HAVING count(*) < 0))
 WHERE rank <= 5"""),
         "rate_plan_trends_unfilled": _with(_ranked(_counts("plan_named", "plan_name", "keys"), "plan_name", 70)
                                            + _pivot(TREND_SERIES, None)),

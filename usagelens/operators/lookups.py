@@ -41,7 +41,9 @@ def salted_lookup(fact: DataFrame, catalogue: DataFrame, key: str, value: str, s
     """``lookup`` for facts with very many rows a key: the key is dealt out by
     a hash of ``salt_by`` as well, against as many copies of the deduplicated
     catalogue, so that no task gets all rows of a hot key."""
-    salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    names = dedupe_catalogue(catalogue.select(key, value), key, value).withColumn("lookup_salt", salt)
+    # copied before it is deduplicated, so that adaptive execution sees the size of all copies
+    copies = catalogue.where(F.col(key).isNotNull()).select(
+        key, value, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("lookup_salt"))
+    names = copies.groupBy(key, "lookup_salt").agg(F.min(value).alias(value))
     dealt = fact.withColumn("lookup_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     return dealt.join(names, [key, "lookup_salt"], "left").drop("lookup_salt")
