@@ -113,10 +113,10 @@ def brute(pages, min_pages):
     for of in {h for h, *_ in parsed.values() if h}:
         own = {n: x for n, x in parsed.items() if x[0] == of}
         vectors = {}
-        for n, (_, _, tokens, _, _) in own.items():
-            for path, t, count, _ in tokens:
+        for n, (_, _, tokens, _) in own.items():
+            for path, t, count, *_ in tokens:
                 vectors.setdefault((path, t), {})[n] = count
-        votes = {k: len({own[n][4] for n in v} - {None}) for k, v in vectors.items()}
+        votes = {k: len({own[n][3] for n in v} - {None}) for k, v in vectors.items()}
         classes = {}
         for k, v in vectors.items():
             if votes[k] >= min_pages:
@@ -189,7 +189,7 @@ def test_extract_is_main_text_with_the_template(spark):
     for r in html_template.extract(df).collect():
         source = rows[r.page_id][2]
         inside = {b[:2]: bool(b[3]) for b in html_template.parse(source)[0]}
-        own = frozenset(k for k, everywhere in gone.get(r.page_id, {}).items() if everywhere or not inside[k])
+        own = frozenset(k for k, everywhere in gone.get(r.page_id, {}).items() if everywhere or not inside.get(k))
         assert (r.text, r.n_chars) == (main_text(source, own), len(main_text(source, own)))
 
 

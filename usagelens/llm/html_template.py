@@ -157,50 +157,53 @@ def _digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode(errors="replace"), digest_size=8).digest(), "big", signed=True) or 1
 
 
-#: What a page is parsed to.  ``t`` is a text's digest, or 0 for an element;
-#: ``n`` counts a token on the page, ``at`` is where it comes first.
-PARSED = ("blocks array<struct<path:string,t:long,text:string,content:string,hidden:boolean,wraps:int>>, "
-          "tokens array<struct<path:string,t:long,n:int,at:int>>, framed boolean, main long")
-_BLOCK = pa.struct([("path", pa.string()), ("t", pa.int64()), ("text", pa.string()), ("content", pa.string()),
-                    ("hidden", pa.bool_()), ("wraps", pa.int32())])
-_TOKEN = pa.struct([("path", pa.string()), ("t", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
-
-
-def parse(page: str) -> tuple[list[tuple], list[tuple], bool, int | None]:
-    """(blocks of text, tokens, whether a visible article or main element
-    opens, hash of the longest text at one path that no name hides) of a page."""
-    found, counts, first = [], Counter([("", 0)]), {("", 0): 0}
+#: What a page is parsed to.  ``blocks`` are the texts that names leave; ``t`` is
+#: a text's digest, or 0 for an element; ``n`` counts a token on the page, ``at``
+#: is where it comes first, ``shown`` tells whether it is among the blocks.
+PARSED = ("blocks array<struct<path:string,t:long,text:string,content:boolean>>, "
+          "tokens array<struct<path:string,t:long,n:int,at:int,shown:boolean>>, main long")
+_BLOCK = pa.struct([("path", pa.string()), ("t", pa.int64()), ("text", pa.string()), ("content", pa.bool_())])
+_TOKEN = pa.struct([("path", pa.string()), ("t", pa.int64()), ("n", pa.int32()), ("at", pa.int32()), ("shown", pa.bool_())])
+
+
+def parse(page: str) -> tuple[list[tuple], list[tuple], int | None]:
+    """(blocks, tokens, hash of the longest text at one path that no name
+    hides) of a page."""
+    seen, counts, first = [], Counter([("", 0)]), {("", 0): 0}
     framed, slots = False, {}
     for place, (element, text) in enumerate(blocks(page), 1):
         hidden = element.hidden
-        framed |= bool(element.content) and not hidden
+        framed |= bool(element.content) and not hidden  # a visible article or main element opens
         token = (element.path, _digest(text) if text else 0)
         counts[token] += 1
         first.setdefault(token, place)
-        if text:
-            found.append((*token, text, element.content, hidden, element.wraps))
-            if not hidden:
-                slots.setdefault(element.path, []).append(text)
-    tokens = [(path, t, n, first[path, t]) for (path, t), n in counts.items()]
+        if text and not hidden:
+            seen.append((element, token, text))
+            slots.setdefault(element.path, []).append(text)
+    least: dict[str, int] = {}
+    for element, *_ in seen:
+        least[element.content] = min(element.wraps, least.get(element.content, element.wraps))
+    own = [(*token, text, bool(element.content)) for element, token, text in seen
+           if not framed or (element.content and element.wraps == least[element.content])]
+    shown = {x[:2] for x in own}
+    tokens = [(*token, n, first[token], token in shown) for token, n in counts.items()]
     longest = max(("\n".join(texts) for texts in slots.values()), key=len, default="")
-    return found, tokens, framed, _digest(longest) if longest else None
+    return own, tokens, _digest(longest) if longest else None
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.names.index("html")
-        found, tokens, framed, main = [], [], [], []
+        found, tokens, main = [], [], []
         for source in batch.column(at):
             own = parse(source.as_py() or "")
             found.append([dict(zip(_BLOCK.names, x)) for x in own[0]])
             tokens.append([dict(zip(_TOKEN.names, x)) for x in own[1]])
-            framed.append(own[2])
-            main.append(own[3])
+            main.append(own[2])
         kept = [i for i in range(batch.num_columns) if i != at]
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(i) for i in kept], pa.array(found, pa.list_(_BLOCK)), pa.array(tokens, pa.list_(_TOKEN)),
-             pa.array(framed), pa.array(main, pa.int64())],
-            names=[*[batch.schema.names[i] for i in kept], "blocks", "tokens", "framed", "main"])
+             pa.array(main, pa.int64())], names=[*[batch.schema.names[i] for i in kept], "blocks", "tokens", "main"])
 
 
 def parsed_pages(pages: DataFrame) -> DataFrame:
@@ -214,7 +217,7 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_tokens(parsed: DataFrame) -> DataFrame:
-    """(page, host, main, path, t, n, at) of every token of a host's page."""
+    """(page, host, main, path, t, n, at, shown) of every token of a host's page."""
     return parsed.where("host != ''").select("page", "host", "main", F.inline("tokens"))
 
 
@@ -258,65 +261,45 @@ def nested(valid: DataFrame) -> DataFrame:
 
 
 def template_texts(tokens: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(page, path, t, everywhere): the texts of each page that are its
+    """(page, path, t, shown, everywhere): the texts of each page that are its
     host's template; ``everywhere`` if they stand once on all its pages."""
     valid = nested(valid_tokens(tokens, min_pages))
     own = valid.withColumnsRenamed({"host": "of", "path": "own_path", "t": "own_t"})
     placed = stored(tokens.join(own, (F.col("host") == F.col("of")) & (F.col("path") == F.col("own_path"))
-                                & (F.col("t") == F.col("own_t"))).select("page", "host", "vector", "path", "t", "at"), "placed")
+                                & (F.col("t") == F.col("own_t"))).select("page", "host", "vector", "path", "t", "at", "shown"), "placed")
     sequence = F.array_sort(F.collect_list(F.struct("at", F.xxhash64("path", "t").alias("token"))))["token"]
     orders = placed.groupBy("host", "vector", "page").agg(F.xxhash64(sequence).alias("order"))
     whole = valid.where("path = '' and t = 0").select(F.col("host").alias("of"), F.col("vector").alias("all_pages"))
     ordered = orders.groupBy("host", "vector").agg(F.min("order").alias("low"), F.max("order").alias("top")).where("low = top")
     ordered = stored(ordered.join(whole, F.col("host") == F.col("of"), "left").select(
         "host", "vector", F.coalesce(F.col("vector") == F.col("all_pages"), F.lit(False)).alias("everywhere")), "ordered")
-    return placed.where("t != 0").join(ordered, ["host", "vector"]).select("page", "path", "t", "everywhere")
-
-
-def _text(blocks: Column, framed: Column) -> Column:
-    """The blocks that names, frames and the template leave."""
-    seen = F.filter(blocks, lambda b: ~b["hidden"])
-
-    def least_of(kind: str) -> Column:
-        return F.array_min(F.transform(F.filter(seen, lambda b: b["content"] == kind), lambda b: b["wraps"]))
-    least = {kind: least_of(kind) for kind in sorted(CONTENT)}
-    own = F.filter(seen, lambda b: ~framed | F.coalesce(
-        *[F.when(b["content"] == kind, b["wraps"] == n) for kind, n in least.items()], F.lit(False)))
-    return F.filter(own, lambda b: ~b["gone"])
+    return placed.where("t != 0").join(ordered, ["host", "vector"]).select("page", "path", "t", "shown", "everywhere")
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """Pages (page_id, url, html) -> (page_id, url, text, n_chars, n_blocks,
-    n_template): the text, and of all blocks of text how many are the
-    template's."""
+    n_template): the text, and of the blocks that names leave how many the
+    template takes."""
     parsed = parsed_pages(pages)
-    gone = template_texts(page_tokens(parsed), min_pages).groupBy(F.col("page").alias("of")).agg(
+    # a page is listed only if the template takes something that names leave
+    gone = template_texts(page_tokens(parsed), min_pages).where("shown").groupBy(F.col("page").alias("of")).agg(
         F.collect_set(F.struct("path", "t", "everywhere")).alias("template"))
-    rows = parsed.select("page", "page_id", "url", "blocks", "framed").join(
-        stored(gone, "template"), F.col("page") == F.col("of"), "left")
+    rows = parsed.select("page", "page_id", "url", "blocks").join(stored(gone, "template"), F.col("page") == F.col("of"), "left")
     template = F.coalesce("template", F.array().cast("array<struct<path:string,t:bigint,everywhere:boolean>>"))
 
-    def drops(b: Column) -> Column:
+    def stays(b: Column) -> Column:
         named = lambda everywhere: F.struct(b["path"].alias("path"), b["t"].alias("t"),
                                             F.lit(everywhere).alias("everywhere"))
-        return F.array_contains(template, named(True)) | ((b["content"] == "") & F.array_contains(template, named(False)))
+        return ~F.array_contains(template, named(True)) & (b["content"] | ~F.array_contains(template, named(False)))
 
-    blocks_ = F.transform("blocks", lambda b: F.struct(b["text"].alias("text"), b["content"].alias("content"),
-                                                       b["hidden"].alias("hidden"), b["wraps"].alias("wraps"),
-                                                       drops(b).alias("gone")))
-    rows = rows.select("page_id", "url", "framed", blocks_.alias("blocks"))
-    left = _text(F.col("blocks"), F.col("framed"))
-    out = rows.select("page_id", "url", F.array_join(F.transform(left, lambda b: b["text"]), "\n\n").alias("text"),
-                      F.size("blocks").cast("long").alias("n_blocks"),
-                      F.size(F.filter("blocks", lambda b: b["gone"])).cast("long").alias("n_template"))
-    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks", "n_template")
+    left = F.when(F.col("template").isNull(), F.col("blocks")).otherwise(F.filter("blocks", stays))
+    out = rows.select("page_id", "url", left.alias("left"), F.size("blocks").cast("long").alias("n_blocks"))
+    return out.select("page_id", "url", F.array_join("left.text", "\n\n").alias("text"), "n_blocks",
+                      (F.col("n_blocks") - F.size("left")).cast("long").alias("n_template")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks", "n_template")
 
 
 def main_text(page: str, template: frozenset[tuple[str, int]] = frozenset()) -> str:
     """The text of one page, for a template of (path, digest) texts known
     otherwise; ``extract`` does the same for a table."""
-    found, _, framed, _ = parse(page)
-    seen = [b for b in found if not b[4]]
-    least = {kind: min((b[5] for b in seen if b[3] == kind), default=0) for kind in CONTENT}
-    own = [b for b in seen if not framed or (b[3] and b[5] == least[b[3]])]
-    return "\n\n".join(b[2] for b in own if b[:2] not in template)
+    return "\n\n".join(text for path, t, text, _ in parse(page)[0] if (path, t) not in template)
