@@ -211,6 +211,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
 
     # tables below have some rows a document at most, so its number tells how many tasks they ask for
     files = files_for(docs.sparkSession, signed.count())
+    wide = 4 * files  # of rows that hold whole sets
     full = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     # written first, as other sides of joins below: a join of two plain
     # exchanges is one whose hot keys Spark can split
@@ -242,9 +243,9 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
     # a component, and so a pivot, may be named after a class that met nobody but is one with another
     needed = met.select(F.col("class_id").alias("doc_id")).unionByName(same.select(F.col("b").alias("doc_id")))
     sets = stored(texts.join(needed.distinct(), "doc_id")
-                  .select("doc_id", "text").transform(arrow, _sets(k), "class_id long, shingles array<long>"), "sets", files)
+                  .select("doc_id", "text").transform(arrow, _sets(k), "class_id long, shingles array<long>"), "sets", wide)
     pairs = met.groupBy(F.col("class_id").alias("a")).agg(F.min("hub").alias("b")).where("a > b")
-    links = stored(_confirmed(pairs, sets, num, den).unionByName(same), "links", files)
+    links = stored(_confirmed(pairs, sets, num, den).unionByName(same), "links", wide)
     joined = stored(components(links), "joined", files)
 
     # tables that still hold several components: every member against one pivot class of the table
@@ -254,10 +255,10 @@ def near_duplicates(docs: DataFrame, k: int = 3, threshold: Fraction = Fraction(
     members = stored(named.join(several, "key").where("class_id != pivot")
                      .select("class_id", "component", "pivot").distinct(), "members", files)
     if not members.isEmpty():
-        apart = stored(_apart(members, sets, num, den), "apart", files)
+        apart = stored(_apart(members, sets, num, den), "apart", wide)
         joined = _merged(joined, apart.where("linked").select(F.col("component").alias("a"), F.col("pivot").alias("b")), files)
         renamed = _named(apart.drop("component"), joined)
-        found = _confirmed(_across(renamed, num, den, files), sets, num, den)
+        found = stored(_confirmed(_across(renamed, num, den, files), sets, num, den), "found", wide)
         # of the classes found, their components
         left, right = (joined.select(F.col("node").alias(f"node_{x}"), F.col("component").alias(f"of_{x}")) for x in "ab")
         edges = (found.join(left, F.col("a") == F.col("node_a"), "left").join(right, F.col("b") == F.col("node_b"), "left")
