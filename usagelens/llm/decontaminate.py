@@ -238,6 +238,7 @@ def near_prints(prints: DataFrame, items: DataFrame) -> DataFrame:
     near = F.explode(F.array(*[F.lit(x) for x in _NEAR]))
     index = (items.select("item_id", "size", F.col("print").alias("own")).select("*", _blocks("own"))
              .withColumn("flip", near).withColumn("value", F.col("value").bitwiseXOR(F.col("flip"))).drop("flip"))
+    index = stored(index, "index")  # whose size is then known, whatever the items' was
     return (prints.select("*", _blocks("print")).join(index, ["size", "block", "value"])
             .where(F.bit_count(F.col("print").bitwiseXOR(F.col("own"))) <= RADIUS)
             .select("size", "print", "item_id").distinct())
