@@ -141,7 +141,8 @@ def judge(pages: DataFrame, rules: list[Rule], held_out: tuple[str, ...] = HELD_
         F.count_if(is_("allow")).alias("all_a"), F.count_if(is_("block")).alias("all_r")), "grams")
     ratios = stored(log_ratios(counts), "ratios")
     mean = F.sum(F.when(F.col("label").isNull(), F.col("all_ratio")).otherwise(F.col("ratio"))) / F.count(F.lit(1))
-    scored = stored(places.where("label is null or held").select("url", "label", "gram").join(ratios, "gram")
+    # (by sorting: the size of the URLs says nothing about that of their grams, so these must not be broadcast)
+    scored = stored(places.where("label is null or held").select("url", "label", "gram").hint("merge").join(ratios, "gram")
                     .groupBy("url").agg(F.min("label").alias("label"),
                                         F.floor(mean / STEP).cast("long").alias("step")), "scores")
     threshold = _threshold(scored.where("label is not null"))
