@@ -213,7 +213,7 @@ def parsed_pages(pages: DataFrame) -> DataFrame:
                         F.coalesce(host(F.col("url").cast("string")), F.lit("")).alias("host"),
                         F.col("html").cast("string").alias("html"))
     kind = pages.schema["page_id"].dataType.simpleString()
-    return stored(arrow(rows, _parsed, f"page long, page_id {kind}, url string, host string, {PARSED}"), "parsed")
+    return stored(arrow(rows, _parsed, f"page long, page_id {kind}, url string, host string, {PARSED}"), "parsed", codec="zstd")
 
 
 def page_tokens(parsed: DataFrame) -> DataFrame:
@@ -266,7 +266,7 @@ def template_texts(tokens: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     valid = nested(valid_tokens(tokens, min_pages))
     own = valid.withColumnsRenamed({"host": "of", "path": "own_path", "t": "own_t"})
     placed = stored(tokens.join(own, (F.col("host") == F.col("of")) & (F.col("path") == F.col("own_path"))
-                                & (F.col("t") == F.col("own_t"))).select("page", "host", "vector", "path", "t", "at", "shown"), "placed")
+                                & (F.col("t") == F.col("own_t"))).select("page", "host", "vector", "path", "t", "at", "shown"), "placed", codec="zstd")
     sequence = F.array_sort(F.collect_list(F.struct("at", F.xxhash64("path", "t").alias("token"))))["token"]
     orders = placed.groupBy("host", "vector", "page").agg(F.xxhash64(sequence).alias("order"))
     whole = valid.where("path = '' and t = 0").select(F.col("host").alias("of"), F.col("vector").alias("all_pages"))

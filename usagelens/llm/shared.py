@@ -52,14 +52,15 @@ def files_for(spark: SparkSession, rows: int) -> int:
     return max(spark.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS))
 
 
-def stored(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, files: int | None = None, codec: str = "snappy") -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: it
     is computed once, its lineage ends there, and the loss of an executor
     cannot undo it.  ``files`` is the most tasks and files the last step
-    takes, whatever the number of shuffle partitions."""
+    takes, whatever the number of shuffle partitions; ``codec`` is for tables
+    that hold whole texts."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    (df if files is None else df.coalesce(files)).write.parquet(path)
+    (df if files is None else df.coalesce(files)).write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
