@@ -41,9 +41,12 @@ def salted_lookup(fact: DataFrame, catalogue: DataFrame, key: str, value: str, s
     """``lookup`` for facts with very many rows a key: the key is dealt out by
     a hash of ``salt_by`` as well, against as many copies of the deduplicated
     catalogue, so that no task gets all rows of a hot key."""
-    # copied before it is deduplicated, so that adaptive execution sees the size of all copies
-    copies = catalogue.where(F.col(key).isNotNull()).select(
-        key, value, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("lookup_salt"))
-    names = copies.groupBy(key, "lookup_salt").agg(F.min(value).alias(value))
+    # copied by a join with the salts, which the planner takes for larger than its sides (an explode for as large as
+    # its input), so copies are broadcast only where they are few; dealt out before they are deduplicated, as the
+    # smallest text is found by sorting, and the task that copies would sort all its copies
+    slots = fact.sparkSession.range(0, salts, 1, 1).select(F.col("id").cast("int").alias("lookup_salt"))
+    pairs = catalogue.where(F.col(key).isNotNull()).select(key, value).distinct()
+    names = (pairs.crossJoin(slots).repartition(key, "lookup_salt")
+             .groupBy(key, "lookup_salt").agg(F.min(value).alias(value)))
     dealt = fact.withColumn("lookup_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     return dealt.join(names, [key, "lookup_salt"], "left").drop("lookup_salt")
