@@ -2,12 +2,15 @@
 
 import contextlib
 import os
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF0001, make_inputs, rows
 from usagelens.operators.counting import SUBSCRIBERS
 from usagelens.operators.lookups import lookup, salted_lookup
+from usagelens.operators.selection import first_rows
 from usagelens.plans import trends
 
 
@@ -51,3 +54,25 @@ def test_the_task_that_copies_a_catalogue_sorts_no_copies(spark):
     copied = next(i for i, line in enumerate(plan) if "CartesianProduct" in line)
     above = [i for i, line in enumerate(plan[:copied]) if "Exchange" in line][-1]
     assert not any("Sort" in line for line in plan[above:copied])
+
+
+# ---------------------------------------------------------------- first rows
+def test_first_rows_join_only_what_the_first_column_leaves(spark, scratch_dir, monkeypatch):
+    """Usage whose subscriber comes from a join: no pass over the first column joins, and the
+    joins that are left get only the usage up to the n-th row."""
+    path = os.path.join(scratch_dir, "usage")
+    spark.range(30_000).selectExpr("id * 7 as seq", "id % 500 as owner").write.parquet(path)
+    usage = spark.read.parquet(path)
+    owners = spark.range(500).selectExpr("id as o", "concat('s', id) as sub").groupBy("o").agg(F.min("sub").alias("sub"))
+    joined = usage.join(owners, usage.owner == owners.o, "left").select("seq", "sub")
+    kind, plans = type(joined), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: plans.append(plan_of(df)) or collect(df))
+    first = first_rows(joined, 9_000, ["seq"])
+    assert any("Sample" in p for p in plans)
+    for p in [*plans, plan_of(first)]:
+        if "Join" in p:
+            scan = next(line for line in p.splitlines() if "FileScan parquet [seq" in line)
+            assert re.search(r"DataFilters: \[[^\]]*seq#\d+L? (<=>|<=) \d+", scan), scan
+    want = [(i * 7, f"s{i % 500}") for i in range(9_000)]
+    assert sorted(map(tuple, collect(first))) == want

@@ -57,33 +57,21 @@ def _key(columns: list[str], schema, row=None) -> Column:
     return F.struct(*[F.lit(v).cast(schema[c].dataType).alias(c) for c, v in zip(columns, row)])
 
 
-def nth_row(df: DataFrame, n: int, ranges: int = RANGES, sample: int = SAMPLE,
-            few: int = FEW) -> tuple[tuple, int] | None:
-    """(the n-th row of ``df`` ordered by its columns from left to right, nulls
-    first; the number of rows before those equal to it), or None without one.
-
-    Passes of range counts: bounds are quantiles of a small sample of the
-    range still open; one aggregate counts the rows below and up to each
-    bound, in partial sums; the range that holds the n-th row is open in the
-    next pass.  A pass leaves about 1 / ``ranges`` of the rows and never the
-    bounds themselves, so it ends on any ties.  A task counts its own rows, and
-    one task sees a row of counts from each.  The sample only places the
-    bounds, so the result is exact whatever it holds.
-    """
+def _nth_value(df: DataFrame, size: int, n: int, ranges: int, sample: int, few: int) -> tuple[object, int]:
+    """(the n-th value of the one column of ``df``, which has ``size`` rows, nulls
+    first; the number of rows below it), by passes of range counts (``nth_row``)."""
     columns, schema = df.columns, df.schema
-    in_order = [F.col(f"`{c}`").asc_nulls_first() for c in columns]
+    in_order = F.col(f"`{columns[0]}`").asc_nulls_first()
     key, at = _key(columns, schema), lambda row: _key(columns, schema, row)
-    size, before, low, high = df.count(), 0, None, None
-    if not 1 <= n <= size:
-        return None
+    before, low, high = 0, None, None
     while True:
         inside = df if low is None else df.where(key > at(low))
         inside = inside if high is None else inside.where(key < at(high))
         if size <= few:
-            rows = inside.orderBy(*in_order).collect()
+            rows = inside.orderBy(in_order).collect()
             row = rows[n - before - 1]
-            return tuple(row), before + rows.index(row)
-        seen = inside.sample(fraction=min(1.0, sample / size), seed=size).distinct().orderBy(*in_order).collect()
+            return row[0], before + rows.index(row)
+        seen = inside.sample(fraction=min(1.0, sample / size), seed=size).distinct().orderBy(in_order).collect()
         if not seen:  # a sample can come out empty; any row will do as a bound
             seen = inside.take(1)
         bounds = seen[len(seen) // ranges // 2::max(1, len(seen) // ranges)]
@@ -93,13 +81,49 @@ def nth_row(df: DataFrame, n: int, ranges: int = RANGES, sample: int = SAMPLE,
             if n > before + up_to:
                 low, lower = bound, up_to
             elif n > before + less:
-                return tuple(bound), before + less
+                return bound[0], before + less
             else:
                 high, upper = bound, less
                 break
         size, before = upper - lower, before + lower
 
 
+def nth_row(df: DataFrame, n: int, ranges: int = RANGES, sample: int = SAMPLE,
+            few: int = FEW) -> tuple[tuple, int] | None:
+    """(the n-th row of ``df`` ordered by its columns from left to right, nulls
+    first; the number of rows before those equal to it), or None without one.
+
+    Column by column: the n-th value of the first column, then, among the rows
+    that have it, the value of the second, and so on.  A pass over a column
+    reads that column alone, so what makes the others (a join, say) is not
+    worked out for every row in every pass, and a filter on the columns found
+    is one on single columns, which the planner moves below a join.
+
+    A column's value is found by passes of range counts: bounds are quantiles
+    of a small sample of the range still open; one aggregate counts the rows
+    below and up to each bound, in partial sums; the range that holds the n-th
+    row is open in the next pass.  A pass leaves about 1 / ``ranges`` of the
+    rows and never the bounds themselves, so it ends on any ties.  A task
+    counts its own rows, and one task sees a row of counts from each.  The
+    sample only places the bounds, so the result is exact whatever it holds.
+    """
+    columns, schema = df.columns, df.schema
+    inside, found, before = df, [], 0
+    for i, c in enumerate(columns):
+        size = inside.count()
+        if not 1 <= n - before <= size:
+            return None
+        if size <= few:
+            rest = [F.col(f"`{x}`") for x in columns[i:]]
+            rows = inside.select(*rest).orderBy(*[x.asc_nulls_first() for x in rest]).collect()
+            row = rows[n - before - 1]
+            return (*found, *row), before + rows.index(row)
+        value, less = _nth_value(inside.select(F.col(f"`{c}`")), size, n - before, ranges, sample, few)
+        found, before = [*found, value], before + less
+        inside = inside.where(F.col(f"`{c}`").eqNullSafe(F.lit(value).cast(schema[c].dataType)))
+    return tuple(found), before
+
+
 def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """The first ``n`` rows of ``df`` by ``order`` (ascending, nulls first; ties
     by the other columns): a filter on the n-th row, which ``nth_row`` finds by
@@ -114,5 +138,8 @@ def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     key = _key(columns, rows.schema)
     same = df.sparkSession.range(n - before).select(
         *[F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in zip(columns, row)])
-    return (rows.where(key < _key(columns, rows.schema, row)).unionByName(same)
+    # follows from the filter on all columns; on one alone, it goes below a join that makes the others
+    lead, value = F.col(f"`{columns[0]}`"), F.lit(row[0]).cast(rows.schema[columns[0]].dataType)
+    near = rows.where(lead.isNull() if row[0] is None else lead.isNull() | (lead <= value))
+    return (near.where(key < _key(columns, rows.schema, row)).unionByName(same)
             .select(*[F.col(f"`{c}`") for c in df.columns]))
