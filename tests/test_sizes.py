@@ -11,7 +11,9 @@ from conftest import SF0001, make_inputs, rows
 from usagelens.operators.counting import SUBSCRIBERS
 from usagelens.operators.lookups import lookup, salted_lookup
 from usagelens.operators.selection import first_rows
-from usagelens.plans import trends
+from usagelens.plans import activity, trends
+from usagelens.plans.rejects import rejects
+from usagelens.sources.testdata import load_inputs
 
 
 @contextlib.contextmanager
@@ -76,3 +78,16 @@ def test_first_rows_join_only_what_the_first_column_leaves(spark, scratch_dir, m
             assert re.search(r"DataFilters: \[[^\]]*seq#\d+L? (<=>|<=) \d+", scan), scan
     want = [(i * 7, f"s{i % 500}") for i in range(9_000)]
     assert sorted(map(tuple, collect(first))) == want
+
+
+# ---------------------------------------------------------------- rejects
+def test_rejects_read_usage_once(spark):
+    inputs = load_inputs(spark, SF0001, dirty=True)
+    found = rejects(inputs)
+    assert plan_of(found).count("lineitem.parquet") == 1
+    usage = found.where("source = 'mobile_data_activity'")
+    of_activity = activity.activity_rejects(inputs).where("source = 'mobile_data_activity'")
+    of_trends = trends.plan_rejects(inputs).where("source = 'mobile_data_activity'")
+    assert rows(usage.where("product = 'activity'"), "key", "value", "reason") == rows(
+        of_activity, "subscription_id", "value", "reason") != []
+    assert rows(usage.where("product = 'trends'"), "key", "value", "reason") == rows(of_trends, "key", "value", "reason") != []

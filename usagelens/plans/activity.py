@@ -15,7 +15,9 @@ subscribers merge into one row, as in the original co-group).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions.cleaning import (
@@ -96,19 +98,29 @@ def activity_snapshot(inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
     return out.to(ACTIVITY_SNAPSHOT)
 
 
-def activity_rejects(inputs: UsageInputs) -> DataFrame:
+#: source -> scan of its records
+SOURCES = {"voice_call_record": "voice_call", "sms_record": "sms_rec", "mobile_data_activity": "data_volume"}
+
+
+def reject(source: str) -> Column:
+    """(source, subscription_id, value, reason) of a record that lenient mode
+    keeps out of the snapshot; null for the others."""
+    own = F.col("subscription_id")
+    reason, value = F.when(id_is_bad("subscription_id", "long"), BAD_ID), own
+    if SOURCES[source] == "data_volume":
+        value = F.when(reason.isNotNull(), own).otherwise(F.concat_ws(
+            "|", F.coalesce("uplink_volume", F.lit("NULL")), F.coalesce("downlink_volume", F.lit("NULL"))))
+        reason = F.coalesce(reason, F.when(volume_is_bad("uplink_volume") | volume_is_bad("downlink_volume"), BAD_VOLUME))
+    return F.when(reason.isNotNull(), F.struct(
+        F.lit(source).alias("source"), own.alias("subscription_id"), value.alias("value"), reason.alias("reason")))
+
+
+def activity_rejects(inputs: UsageInputs, sources: Iterable[str] = tuple(SOURCES)) -> DataFrame:
     """(source, subscription_id, value, reason): a row for every record that
     lenient mode keeps out of the snapshot.  Each source is read once."""
-    bad_id = F.when(id_is_bad("subscription_id", "long"), BAD_ID)
-    bad_volume = F.when(volume_is_bad("uplink_volume") | volume_is_bad("downlink_volume"), BAD_VOLUME)
-    volumes = F.concat_ws("|", F.coalesce("uplink_volume", F.lit("NULL")),
-                          F.coalesce("downlink_volume", F.lit("NULL")))
     out = None
-    for source, name, reason in (("voice_call_record", "voice_call", bad_id), ("sms_record", "sms_rec", bad_id),
-                                 ("mobile_data_activity", "data_volume", F.coalesce(bad_id, bad_volume))):
-        value = F.when(F.col("reason") == BAD_ID, F.col("subscription_id"))
-        value = value.otherwise(volumes) if name == "data_volume" else value
-        bad = (scan(inputs, name).withColumn("reason", reason).where("reason is not null")
-               .select(F.lit(source).alias("source"), "subscription_id", value.alias("value"), "reason"))
+    for source in sources:
+        bad = (scan(inputs, SOURCES[source]).select(reject(source).alias("reject"))
+               .where("reject is not null").select("reject.*"))
         out = bad if out is None else out.unionByName(bad)
     return out

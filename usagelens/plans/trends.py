@@ -20,8 +20,9 @@ In ``subscribers`` mode both series come from one aggregate of usage by
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions.cleaning import (
@@ -59,16 +60,26 @@ def plan_usage(inputs: UsageInputs, truncate_ids: bool = False, mode: str = STRI
     return scan(inputs, "sub_rec", truncate_ids=truncate_ids, mode=mode)
 
 
-def plan_rejects(inputs: UsageInputs) -> DataFrame:
+#: source of plan ids -> what tells its rows apart
+PLAN_SOURCES = {"mobile_data_activity": "subscription_id", "rate_plan_product": "rate_plan_name"}
+
+
+def plan_reject(source: str) -> Column:
+    """(source, key, value, reason) of a row whose plan id is no integer; null for the others."""
+    return F.when(id_is_bad(PLAN_ID), F.struct(
+        F.lit(source).alias("source"), F.col(PLAN_SOURCES[source]).cast("string").alias("key"),
+        F.col(PLAN_ID).cast("string").alias("value"), F.lit("rate_plan_product_id is not an integer").alias("reason")))
+
+
+def plan_rejects(inputs: UsageInputs, sources: Iterable[str] = tuple(PLAN_SOURCES)) -> DataFrame:
     """(source, key, value, reason): plan ids lenient mode leaves out, of
     usage records and of catalogue documents."""
-    bad = id_is_bad(PLAN_ID)
-    reason = F.lit("rate_plan_product_id is not an integer").alias("reason")
-    value = F.col(PLAN_ID).cast("string").alias("value")
-    usage = inputs.mobile_data_activity.where(bad).select(
-        F.lit("mobile_data_activity").alias("source"), F.col("subscription_id").alias("key"), value, reason)
-    return usage.unionByName(inputs.rate_plan_product.where(bad).select(
-        F.lit("rate_plan_product").alias("source"), F.col("rate_plan_name").cast("string").alias("key"), value, reason))
+    out = None
+    for source in sources:
+        bad = (getattr(inputs, source).where(id_is_bad(PLAN_ID)).select(plan_reject(source).alias("reject"))
+               .select("reject.*"))
+        out = bad if out is None else out.unionByName(bad)
+    return out
 
 
 def parse_subscribers(inputs: UsageInputs, mode: str = STRICT) -> DataFrame:
